@@ -32,7 +32,7 @@ from .common import slices
 #: How byte-level tokenizers split text before merging; white space is Unicode's.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Words kept from one batch to the next by a Python worker, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 400_000, 48
+KEPT_WORDS, KEPT_LENGTH = 200_000, 48
 
 
 def byte_letters() -> dict[str, int]:
