@@ -7,6 +7,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..config import MITOCHONDRIAL
 
@@ -91,7 +92,7 @@ def empirical_p(x: Column, cdf: Column, step: Column, n: Column) -> Column:
     return F.when(p == 0, 1.0 / n).otherwise(p)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_quantile(q: pd.Series) -> pd.Series:
     """The quantile of the chi-squared law with one degree of freedom."""
     normal = NormalDist()

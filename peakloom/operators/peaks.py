@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
@@ -42,7 +43,7 @@ def genome_size(chrom_sizes: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return chrom_sizes.agg(F.floor(config.genome_share * F.sum("length")).cast("long").alias("gsize"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def poisson_tail(n: pd.Series, rate: pd.Series) -> pd.Series:
     """-log10 of the chance of n or more events at a rate."""
 
