@@ -48,7 +48,7 @@ def body_of(text: Column) -> Column:
     lines = F.split(text, "\n", -1)
     quoted = lambda x: F.coalesce(x, F.lit("")).rlike(MARKER)
     own = F.filter(lines, lambda x, i: ~(quoted(x) | (x.rlike(INTRODUCTION) & quoted(F.get(lines, i + 1)))))
-    return F.trim(F.array_join(own, "\n"))
+    return F.regexp_replace(F.array_join(own, "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
 def link(messages: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ met AS (SELECT q.rid, q.level, q.no, CASE WHEN n.near_turn < q.turn THEN n.near_
 votes AS (SELECT rid, level, near_turn, count(*) AS n FROM met WHERE near_turn IS NOT NULL GROUP BY ALL),
 parents AS (SELECT rid, near_turn AS parent_turn FROM votes QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level, n DESC, near_turn DESC) = 1),
 facts AS (SELECT rid, count(*) AS n_quoted, count(near_turn) AS n_linked, arg_min(far, no) FILTER (WHERE far IS NOT NULL) AS far FROM met GROUP BY rid),
-bodies AS (SELECT rid, trim(coalesce(string_agg(line, chr(10) ORDER BY no), '')) AS body FROM lines
+bodies AS (SELECT rid, regexp_replace(coalesce(string_agg(line, chr(10) ORDER BY no), ''), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS body FROM lines
   WHERE NOT (level > 0 OR (regexp_matches(line, '(?i)^\s*(on|le|am|el|il|op)\b.{0,200}\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.{0,80}:\s*$') AND regexp_matches(next, '^(\s*>)+'))) GROUP BY rid),
 steps AS (SELECT b.conv_id, b.turn, min(p.parent_turn) AS up FROM base b JOIN parents p USING (rid) GROUP BY ALL),
 chain AS (SELECT conv_id, turn, up FROM steps UNION ALL

@@ -1,0 +1,377 @@
+"""The corpus operators against brute force, other libraries and odd inputs."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+
+from peakloom.llm import bpe, components, exact_dedup, licenses, media, mixing, ngram_join, quotes, secret_scan, toxicity, url_filter
+
+SF = "/root/testdata/sf0.001"
+ODD = "doc_id long, text string, source string, kept boolean, size long, text_sha256 string, score double, fp string"
+
+
+def odd_docs(spark):
+    """Nulls, empty and very long texts, ties, repeated rows and columns with clashing names."""
+    long = " ".join(f"w{i % 7919}" for i in range(60_000))
+    rows = [(1, "a b  c", "s", True, 9, "x", 0.5, "f"), (2, "a b\tc", "s", None, None, None, None, None), (2, "a b\tc", "s", None, None, None, None, None), (None, "a b c", None, None, 1, "", 1.0, ""), (None, None, None, None, None, None, None, None)]
+    rows += [(3, "", "t", False, 0, None, None, None), (4, None, "é", False, 0, None, None, None), (5, long, "s", True, 1, None, None, None), (6, long + " end", "t", True, 1, None, None, None), (7, "one two three", "t", True, 1, None, None, None), (8, "One  two three", None, True, 1, None, None, None)]
+    return spark.createDataFrame(rows, ODD)
+
+
+def empty_docs(spark):
+    return spark.createDataFrame([], ODD)
+
+
+def norm(t):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+
+
+def test_exact_dedup_odd(spark):
+    docs = odd_docs(spark)
+    got = exact_dedup.decide(docs).collect()
+    assert len(got) == 11
+    by = Counter(norm(r.text) for r in docs.collect())
+    for r in docs.collect():
+        sha = hashlib.sha256(norm(r.text).encode()).hexdigest()
+        for g in (g for g in got if g.doc_id == r.doc_id and g.text_sha256 == sha):
+            assert g.group_size == by[norm(r.text)]
+    assert sum(g.kept for g in got) == len(by)
+    keep = exact_dedup.keep_first(docs)
+    assert keep.columns == docs.columns and Counter(norm(r.text) for r in keep.collect()) == dict.fromkeys(by, 1)
+    assert {r.doc_id for r in keep.collect()} == {1, 3, 5, 6, 7, 8}
+    assert exact_dedup.decide(empty_docs(spark)).count() == exact_dedup.keep_first(empty_docs(spark)).count() == 0
+
+
+def test_bloom_filter_loses_no_repeat(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "CELLS_A_ROW", 1)  # a crowded filter
+    docs = spark.createDataFrame([(i, f"t{i % 700}") for i in range(1000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in exact_dedup.decide(docs).collect()}
+    assert all(got[i].keep_id == i % 700 and got[i].group_size == (2 if i % 700 < 300 else 1) for i in range(1000))
+
+
+def grams(t):
+    w = (t or "").lower().split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def brute_links(rows, threshold=0.8):
+    g = [(i, grams(t)) for i, t in rows]
+    links, up = Counter(), {i: i for i, _ in rows}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for (i, a), (j, b) in itertools.combinations(g, 2):
+        if a and b and len(a & b) / len(a | b) >= threshold:
+            links[i] += 1
+            links[j] += 1
+            x, y = top(i), top(j)
+            up[max(x, y)] = min(x, y)
+    return {i: (top(i), links[i]) for i, _ in rows}
+
+
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)  # several blocks a group
+    r = random.Random(5)
+    words = [f"v{i}" for i in range(400)]
+    rows, n = [], 0
+    for _ in range(12):
+        base = r.choices(words, k=r.randrange(5, 120))
+        for _ in range(r.choice([1, 2, 25])):
+            copy = list(base)
+            for _ in range(r.randrange(3)):
+                copy[r.randrange(len(copy))] = r.choice(words)
+            rows.append((n, " ".join(copy)))
+            n += 1
+    rows += [(n, ""), (n + 1, None), (n + 2, "x y"), (n + 3, "X  y"), (n + 4, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.class_id, x.n_links) for x in ngram_join.near_duplicates(docs).collect()}
+    assert got == brute_links(rows)
+
+
+def test_near_duplicates_odd(spark):
+    got = ngram_join.near_duplicates(odd_docs(spark)).collect()
+    assert len(got) == 11
+    by = {(r.doc_id, r.class_id, r.n_links) for r in got}
+    assert {(5, 5, 1), (6, 5, 1), (7, 7, 1), (8, 7, 1), (3, 3, 0), (4, 4, 0), (None, None, 0)} <= by
+    kept = ngram_join.keep_one(odd_docs(spark))
+    assert kept.columns == odd_docs(spark).columns and {r.doc_id for r in kept.collect()} == {1, None, 3, 4, 5, 7}
+    assert ngram_join.near_duplicates(empty_docs(spark)).count() == 0
+
+
+def test_bands():
+    b, r = ngram_join.bands_for(0.8, 0.999)
+    assert 1 - (1 - 0.8**r) ** b >= 0.999 > 1 - (1 - 0.8**r) ** (b - 1)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 90: 90, 95: 90, 100: 90}
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = toxicity.predictions(docs, labels)
+    assert got.count() == docs.count()
+    held = got.filter("held_out").join(labels.filter("toxic is not null"), "doc_id").collect()
+    assert all((zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) and 0 <= r.score <= 1 for r in held)
+    hits = sum(r.predicted == 1 for r in held if r.toxic)
+    assert hits >= 0.8 * sum(r.toxic for r in held)
+    assert sum(r.predicted == 1 for r in held if not r.toxic) <= 0.01 * len(held)
+
+
+def test_toxicity_odd(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (5, 0), (7, None)], "doc_id long, toxic int")
+    for known in (labels, labels.filter("false")):
+        got = toxicity.predictions(odd_docs(spark), known).collect()
+        assert len(got) == 11 and all(0 <= r.score <= 1 for r in got)
+        assert toxicity.without_toxic(odd_docs(spark), known).columns == odd_docs(spark).columns
+    assert toxicity.predictions(empty_docs(spark), labels).count() == 0
+
+
+def brute_segments(scores):
+    """All maximal scoring segments by their recursive definition."""
+    if not any(s > 0 for s in scores):
+        return []
+    best = max(((i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), key=lambda x: (round(sum(scores[x[0] : x[1]]), 9), -(x[1] - x[0])))
+    i, j = best
+    return brute_segments(scores[:i]) + [best] + [(a + j, b + j) for a, b in brute_segments(scores[j:])]
+
+
+def test_segments_equal_definition():
+    r = random.Random(2)
+    for _ in range(200):
+        n = r.randrange(1, 25)
+        scores = [r.choice([2.0, 3.5, 1.3]) if r.random() < 0.3 else -1.0 for _ in range(n)]
+        got = [(a, b) for a, b, _ in toxicity.segments([(i, s) for i, s in enumerate(scores) if s > 0], -1.0, n)]
+        assert got == brute_segments(scores)
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.default_tokenizer())
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def test_bpe_equals_library(spark, library):
+    r = random.Random(4)
+    parts = [*"abcdeth rn  's'll\n\t019.,!?-_éñ中😀\u0085\x1c\x00ſ", "<|endoftext|>", "the", " re", "aaaa", "\r\n", "​", "ab" * 9, "don't"]
+    texts = ["", "<|endoftext|>", "a" * 5000, " " * 900, *("".join(r.choices(parts, k=r.randrange(50))) for _ in range(3000))]
+    c = bpe.codec(open(bpe.default_tokenizer()).read())
+    for t, p in zip(texts, c.encode_batch(texts), strict=True):
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert ",".join(p) == ",".join(map(str, ids))
+        assert c.decode_parts(p).decode("utf-8", "replace") == library.decode(ids, skip_special_tokens=False)
+
+
+def test_bpe_digests_of_documents(spark, library):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd_docs(spark).select("doc_id", "text"))
+    got = Counter(map(tuple, bpe.digests(docs).collect()))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = Counter()
+    for r in docs.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        want[r.doc_id, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))] += 1
+    assert got == want
+    whole = bpe.decode_column(bpe.encode_column(odd_docs(spark)))
+    assert all(r.decoded == (r.text or "") for r in whole.collect())
+    assert bpe.digests(empty_docs(spark)).count() == 0
+
+
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def brute_licenses(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    places = sorted((i, x) for p, x in PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
+    return len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None, ",".join(sorted({x for _, x in places}))
+
+
+def test_licenses(spark):
+    r = random.Random(8)
+    bits = ["under the MIT", "license", "License.", "under the mit license under the mit license", "Apache-License, version 2", "CC BY-NC", "cc by nc cc by nc", "é", "İ", "K", "x", "\n", "SPDX-License-Identifier: (MIT OR GPL-3.0-only WITH Classpath-exception-2.0) AND BSD-3-Clause\n"]
+    docs = spark.createDataFrame([(i, " ".join(r.choices(bits, k=r.randrange(12)))) for i in range(300)], "doc_id long, text string").unionByName(odd_docs(spark).select("doc_id", "text"))
+    got = licenses.scan(docs)
+    both = got.join(docs, got.doc_id.eqNullSafe(docs.doc_id)).filter(got.doc_id.isNotNull() & (got.doc_id > 8)).collect()
+    for x in both:
+        assert (x.n_words, x.n_base, x.first_word, x.last_word, x.base_labels) == brute_licenses(x.text)
+        assert set(filter(None, x.base_labels.split(","))) <= set(x.labels.split(",")) and 0 <= x.score <= 1
+    assert got.count() == 311 and licenses.scan(empty_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "postfix", "labels", "value"),
+    [("MIT", "MIT", ["mit"], 0.1), ("MIT OR GPL-3.0", "MIT GPL-3.0 or", ["mit", "gpl"], 0.1), ("MIT AND (GPL-2.0 OR Apache-2.0)", "MIT GPL-2.0 Apache-2.0 or and", ["mit", "gpl", "apache-2"], 0.15),
+     ("GPL-2.0 WITH x AND MIT", "GPL-2.0 x with MIT and", ["gpl", "mit"], 0.35), ("MIT OR", "MIT", ["mit"], 0.1), ("MIT) x", "MIT", ["mit"], 0.1), ("", "", [], 0.0), ("(MIT", "MIT", ["mit"], 0.1)],
+)
+def test_license_expressions(text, postfix, labels, value):
+    assert " ".join(licenses.parse(text)) == postfix
+    assert licenses.evaluate(licenses.parse(text)) == (labels, pytest.approx(value))
+
+
+def test_media_round_trip(spark):
+    docs = odd_docs(spark)
+    got = Counter(map(tuple, media.digests(docs).drop("media_sha256", "media_bytes", "feature").collect()))
+    want = Counter()
+    for r in docs.collect():
+        raw = (r.text or "").encode()
+        full = raw + bytes(-len(raw) % 64) if raw else bytes(64)
+        want[r.doc_id, len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:])] += 1
+    assert got == want
+    info = media.inspect(media.pack(media.padded(b"x" * 64 * 40)))
+    assert info["samples"] == 40 and [n for _, n in info["keyframes"]] == [1024, 1024, 512] and info["duration"] == 0.32
+    for bad in (b"", b"\0\0\0\x05abcd", media.pack(bytes(64))[:-1]):
+        with pytest.raises(ValueError):
+            media.inspect(bad)
+    with pytest.raises(ValueError):
+        media.pack(b"x")
+    assert media.inspect_column(media.pack_column(docs)).filter("info.samples > 0").count() == 11
+    assert media.digests(empty_docs(spark)).count() == 0
+
+
+def test_mixing(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
+    r = random.Random(1)
+    docs = spark.createDataFrame([(i, " ".join("w" * r.randrange(0, 60)), r.choice(["a", "b", "b", "b", "b", "é", None])) for i in range(400)], "doc_id long, text string, source string").cache()
+    got = mixing.mixed_sizes(docs).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mixed_sizes(docs).collect())) and len(got) == 400
+    source = {x.doc_id: x.source for x in docs.collect()}
+    taken, target = Counter(), {}
+    for x in got:
+        assert 0 <= x.taken <= 3 * x.size
+        taken[source[x.doc_id]] += x.taken
+        target[source[x.doc_id]] = x.target
+    total = sum(x.size for x in got)
+    assert sum(target.values()) == pytest.approx(total)
+    assert all(abs(taken[s] - t) <= 0.5 for s, t in target.items())
+    documents, sources = mixing.lay_out(docs)
+    plan = mixing.slots(sources).collect()
+    assert len({x.slot for x in plan}) == len(plan)
+    n = Counter(x.src for x in plan if x.slot < len(plan) // 2)
+    for s in sources.collect():  # half of the schedule has about half of each source's slots
+        assert abs(n[s.src] - s.slots / 2) <= 4
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and max(Counter(x.doc_id for x in mixed.collect()).values()) <= 3
+
+
+def test_mixing_targets_stop_at_three_times(spark):
+    rows = spark.createDataFrame([("a", 100), ("b", 10), ("c", 1), (None, 0)], "source string, size long")
+    got = {r.source: r.target for r in mixing.targets(rows).collect()}
+    assert got == {"a": 78.0, "b": 30.0, "c": 3.0, None: 0.0}
+
+
+def test_mixing_odd(spark):
+    got = mixing.mixed_sizes(odd_docs(spark)).collect()
+    assert len(got) == 11 and all(r.taken <= 3 * r.size for r in got) and all(r.taken == 0 for r in got if not r.size)
+    assert mixing.mix(odd_docs(spark)).columns == odd_docs(spark).columns
+    assert mixing.mixed_sizes(empty_docs(spark)).count() == mixing.mix(empty_docs(spark)).count() == 0
+
+
+def brute_rule(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fit = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fit, default=(0, None, "allow"))
+    return host, path, best[1], best[2]
+
+
+def test_urls(spark):
+    from peakloom.llm.queries import URL_RULES
+
+    r = random.Random(6)
+    urls = [None, "", "x", "://", "http://", "HTTP://COM/en/", "http://a.com", "http://net/de/?/", "http://.com/en/", "http://com./en/", "http://a..com/en/1"]
+    urls += [f"http{r.choice(['', 's'])}://{'.'.join(r.choices(['a', 'B', 'example', 'com', 'net', 'org', ''], k=r.randrange(1, 5)))}{r.choice(['', '/en/', '/en/7', '/de/', '/de/8', '/es/x', '/en', '/é/'])}{r.choice(['', '?q', '#x', '9'])}" for _ in range(3000)]
+    pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, host int")
+    got = {x.page_id: (x.host, x.path, x.rule, x.verdict) for x in url_filter.judge(pages, URL_RULES).collect()}
+    assert got == {i: brute_rule(u, URL_RULES) for i, u in enumerate(urls)}
+    assert {x.verdict for x in url_filter.judge(pages, []).collect()} == {"allow"}
+    assert url_filter.judge(pages.filter("false"), URL_RULES).count() == 0
+
+
+def test_cascade_is_exact():
+    listed, others = [f"k{i}" for i in range(300)], [f"o{i}" for i in range(5000)]
+    first = url_filter.Bloom(listed, 0.3, 0)
+    cascade = url_filter.Cascade(first).close(listed, [x for x in others if x in first])
+    assert len(cascade.levels) > 2 and all(x in cascade for x in listed) and not any(x in cascade for x in others)
+
+
+TALK = "conv_id long, turn long, role string, text string, body string"
+
+
+def test_quotes(spark, duck):
+    rows = [
+        (1, 0, "u", "Hello  there\nsecond line", "x"), (1, 1, "a", "> hello there\nyes", None), (1, 2, "u", "On Monday A wrote:\n> > hello there\n> yes\n> yes\nthanks", None), (1, 3, "a", "unrelated", None),
+        (1, 4, "u", ">second   LINE\n\nok", None), (2, 0, "u", "> second line\n>no such line", None), (2, 0, "u", "> second line\n>no such line", None), (2, 1, None, None, None), (None, 0, "u", "a", None), (None, 1, "a", "> a\nb", None), (3, None, "u", ">a", None), (4, 5, "u", "", None),
+    ]
+    df = spark.createDataFrame(rows, TALK)
+    got = quotes.link(df)
+    one = {r.turn: r for r in got.filter("conv_id = 1").collect()}
+    assert [one[i].parent_turn for i in range(5)] == [None, 0, 1, None, 0]
+    assert [one[i].thread for i in range(5)] == [0, 0, 0, 3, 0]
+    assert sorted(one, key=lambda i: one[i].position) == [0, 1, 2, 4, 3]
+    assert [one[i].body for i in (1, 2, 4)] == ["yes", "thanks", "ok"]
+    two = got.filter("conv_id = 2 and turn = 0").collect()
+    assert [(r.source_conv, r.source_turn, r.n_quoted, r.n_linked) for r in two] == [(1, 0, 2, 0)] * 2
+    assert got.count() == 12 and quotes.link(df.filter("false")).count() == 0
+    con = duck.cursor()
+    pdf = df.drop("body").toArrow()
+    con.register("talk", pdf)
+    rel = con.sql(quotes.ORACLE_SQL.replace("FROM conversations)", "FROM talk)"))
+    names = sorted(got.columns)
+    at = [rel.columns.index(c) for c in names]
+    assert sorted(repr([r[c] for c in names]) for r in got.collect()) == sorted(repr([r[i] for i in at]) for r in rel.fetchall())
+
+
+def brute_base(text):
+    """The base patterns by their plain statement."""
+    text, out = text or "", []
+    for m in re.finditer(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        out += [(m.start(), 0, m.end())] if len(m[2]) >= 6 else []
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_secrets(spark):
+    r = random.Random(9)
+    bits = ["password", "PASSWD", "secret", "ſecret", "toKen", "api_key", "APIKEY", "=", ": ", " = ", '"', "'", "abc123", "x/+=", "AKIA", "ABCDEFGHIJKLMNOPQRST", "0123456789abcdef" * 2, "dead", "é", "\n", " "]
+    docs = spark.createDataFrame([(i, "".join(r.choices(bits, k=r.randrange(14)))) for i in range(2000)], "doc_id long, text string")
+    kinds = secret_scan.KINDS
+    for x in secret_scan.scan(docs).join(docs, "doc_id").collect():
+        base = brute_base(x.text)
+        shown = [f"{kinds[k]}:{a}:{b}" for a, k, b in base]
+        assert (x.n_assign, x.n_access, x.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
+        assert x.base_sha256 == hashlib.sha256(",".join(shown).encode()).hexdigest()
+        assert set(shown) <= set(x.spans.split(",") if x.spans else [])
+    assert secret_scan.scan(odd_docs(spark)).count() == 11 and secret_scan.scan(empty_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [('key = "aB3$xY9!kLmN"\ndb_password = key\n', ["aB3$xY9!kLmN"]), ('DB_PWD: "tR9#mm2K!zz0"', ["tR9#mm2K!zz0"]), ('title = "hello there"', []), ('a = "Xy12" + "Zw34!!aa"\nsecret = a', ["Xy12", "Zw34!!aa"]), ('{"client-secret": "s3cr3t-V4lue-99"}', ["s3cr3t-V4lue-99"]), ("http://token:8080", []), ("x == secret", [])],
+)
+def test_assignments(text, found):
+    assert [text[a:b] for a, b in secret_scan.lexed_spans(text)] == found
+
+
+def test_slices_cover_all_rows():
+    from peakloom.llm.common import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 9, None, "", "b" * 30, "c", "d"])], ["i", "t"])
+    for most in (1, 10, 1000):
+        assert [x for s in slices([batch], most=most) for x in s.column(0).to_pylist()] == list(range(6))
