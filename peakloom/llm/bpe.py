@@ -27,12 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import claim, release, slices
 
 #: How byte-level tokenizers split text before merging; white space is Unicode's.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: Words kept from one batch to the next by a Python worker, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 200_000, 48
+#: Words, and pairs of tokens, kept from one batch to the next by a Python worker, and the longest of the words.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 48
 
 
 def byte_letters() -> dict[str, int]:
@@ -72,7 +72,6 @@ class Codec:
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
         self.ending |= {b: i for b, i in self.ids.items() if self._merges_to(i)}
         self.words: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
 
     def spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one edge of a token while it is merged, first to last, each with the rank of the merge that ends it."""
@@ -166,7 +165,9 @@ class Codec:
         """For each text its words' ids, each as decimals joined by commas."""
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-            self.decoded.clear()
+        if len(self.follows) > KEPT_WORDS:
+            self.follows.clear()
+            self.spines.clear()
         known = self.words
         known.update((s, str(i)) for s, i in self.special.items())
         parts = [self.split(t) for t in texts]
@@ -182,10 +183,7 @@ class Codec:
 
     def decode_parts(self, parts: list[str]) -> bytes:
         """The bytes of ids, given as decimals joined by commas, in parts."""
-        known = self.decoded
-        for p in set(parts):
-            if p not in known:
-                known[p] = b"".join(self.bytes[int(i)] for i in p.split(","))
+        known = {p: b"".join(map(self.bytes.__getitem__, map(int, p.split(",")))) for p in set(parts)}
         return b"".join(map(known.__getitem__, parts))
 
 
@@ -244,8 +242,9 @@ def digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     shipped = _shipped(docs, tokenizer)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bpe", _codecs.clear)
         c, sha = codec(shipped.value), lambda b: hashlib.sha256(b).hexdigest()
-        for batch in slices(batches):
+        for batch in slices(batches, most=2 << 20):
             n, ids, back = [], [], []
             for parts in c.encode_batch([t or "" for t in batch.column(1).to_pylist()]):
                 joined = ",".join(parts)
@@ -253,5 +252,6 @@ def digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 ids.append(sha(joined.encode()))
                 back.append(sha(c.decode_parts(parts).decode("utf-8", "replace").encode()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

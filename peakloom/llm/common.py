@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,30 @@ def slices(batches: Iterable[pa.RecordBatch], column: int = 1, most: int = 4 <<
             yield batch.slice(start)
 
 
+def release() -> None:
+    """Gives memory that this worker has freed back to the system, so that it isn't held while the worker waits for its next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+#: What operators keep in this Python worker from task to task, with what drops it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def claim(operator: str, drop: Callable[[], None] | None = None) -> None:
+    """To be called as a task of an operator starts: drops what other operators have kept in this worker."""
+    others = [x for x in _kept if x != operator]
+    for other in others:
+        _kept.pop(other)()
+    if others:
+        release()
+    if drop:
+        _kept[operator] = drop
+
+
 def _lengths(texts: pa.Array) -> list[int]:
     import pyarrow.compute as pc
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialise
+from .common import BROADCAST_ROWS, materialise, small
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -138,6 +138,7 @@ def mix(docs: DataFrame) -> DataFrame:
     n = materialise(taken(documents, sources).filter("starts > 0").groupBy("doc_id", "size", "starts").agg(F.count("*").alias("rows")))
     # Rows that share an id and a size are alike to the mix: how often each of them is in it, most often first.
     runs = n.groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size")).agg(F.sort_array(F.collect_list(F.struct("starts", "rows")), asc=False).alias("__runs"))
+    runs = small(materialise(runs))
     names = docs.columns
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__doc"), F.col("doc_id").alias("__id"), n_words(F.col("text")).alias("__size"))
     joined = keyed.join(runs, keyed["__id"].eqNullSafe(runs["__id"]) & (keyed["__size"] == runs["__size"]))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, attach, materialise, slices
+from .common import BROADCAST_ROWS, attach, claim, materialise, release, slices, small
 from .components import components
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -73,7 +73,7 @@ def ngrams(texts: pa.Array, n: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
         place = np.arange(len(words)) - starts[doc]
         for i in range(n):
             ahead = np.zeros(len(words), np.uint64)
-            ahead[: len(words) - i] = words[i:] if i else words
+            ahead[: max(len(words) - i, 0)] = words[i:]
             inside = place + i < sizes[doc]
             rolled = rolled * STEP + np.where(inside, mixed(ahead + np.uint64(i + 1)), np.uint64(0))
     full = (place + n <= sizes[doc]) | ((place == 0) & (sizes[doc] < n))
@@ -106,12 +106,14 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, bands: int, rows:
     """doc_id, fp (of the set, null if it is empty), size, bands."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngrams")
         for batch in slices(batches):
             offsets, hashes = ngrams(batch.column(1))
             some = np.diff(offsets) > 0
             sig = iter(signatures(offsets, hashes, bands, rows).view(np.int64))
             fps = [xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), pa.array(np.diff(offsets), pa.int64()), pa.array([next(sig) if s else None for s in some], pa.list_(pa.int64()))], ["doc_id", "fp", "size", "bands"])
+        release()
 
     ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return ids.mapInArrow(run, "doc_id long, fp binary, size long, bands array<long>")
@@ -122,10 +124,12 @@ def sets_of(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngrams")
         for batch in slices(batches):
             offsets, hashes = ngrams(batch.column(1))
             grams = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary()), *batch.columns[2:]], ["doc_id", "grams", *others])
+        release()
 
     form = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others)
     return docs.select("doc_id", "text", *others).mapInArrow(run, f"doc_id long, grams binary{', ' if form else ''}{form}")
@@ -235,6 +239,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, with their columns, but of each class only the document with the class's id (null ids and texts without words all stay)."""
     found = near_duplicates(docs, id_col, text_col)
-    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
-    return kept
+    gone = materialise(found.filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct())
+    return docs.join(small(gone), docs[id_col] == F.col("__gone"), "left_anti")

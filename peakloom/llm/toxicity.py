@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices
+from .common import claim, materialise, release, slices
 
 PREFIXES = (4, 5)
 PRIOR, PRIOR_WEIGHT = 0.5, 10.0
@@ -128,6 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
     rows = training(docs, labels, **names)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for batch in slices(batches, column=0):
             toxic = pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
             offsets, codes, words = tokens(batch.column(0))
@@ -152,6 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*names_, "", " "]), pa.array([*out[0], sizes[0], docs_[0]], pa.int64()), pa.array([*out[1], sizes[1], docs_[1]], pa.int64())], ["feature", "clean", "toxic"]
             )
+        release()
 
     counts = materialise(rows.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     whole = {r.feature: (r.clean, r.toxic) for r in counts.filter(F.col("feature").isin("", " ")).collect()}
@@ -179,6 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
     high = 4.0 / scale
 
     def exceed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         m, memo = shipped.value, {}
         for batch in slices(batches, column=0):
             found = expected = 0.0
@@ -231,6 +234,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         m, memo = shipped.value, {}
         for batch in slices(batches):
             out, where = [], []
@@ -239,6 +243,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 where.append([{"first": a, "end": b, "score": s} for a, b, s in parts if chance([(a, b, s)], n, m.scale, m.k) <= TOLERATED])
             columns = [batch.column(0), pa.array(out, pa.float64())] + ([pa.array(where, kind)] if passages else [])
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "passages"][: len(columns)])
+        release()
 
     kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -257,13 +262,14 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def rate(texts):
-        import pandas as pd
+    place = docs.columns.index("text")
 
-        m, memo, out = shipped.value, {}, []
-        for batch in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"])], column=0):
-            out += [TOLERATED / (TOLERATED + chance(parts, n, m.scale, m.k)) for n, parts in scan_batch(batch.column(0), m, memo)]
-        return pd.Series(out, dtype=float)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
+        m, memo = shipped.value, {}
+        for batch in slices(batches, column=place):
+            clean = [TOLERATED / (TOLERATED + chance(parts, n, m.scale, m.k)) < 0.5 for n, parts in scan_batch(batch.column(place), m, memo)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+        release()
 
-    return docs.filter(rate(F.col("text").cast("string")) < 0.5)
+    return docs.mapInArrow(run, docs.schema)
