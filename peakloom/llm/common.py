@@ -11,9 +11,12 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A table is broadcast only if it has at most this many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of an Arrow batch on its way to a Python worker, about (a row at least).
+ARROW_BYTES = 4 << 20
 #: A key with more than 1/HEAVY_PARTS of all rows is heavy; there are fewer than HEAVY_PARTS of them.
 HEAVY_PARTS = 4096
 
@@ -54,6 +57,14 @@ def attach(df: DataFrame, groups: DataFrame, key: str, size: str, total: int) ->
     return df.join(hot, key).unionByName(df.join(hot, key, "left_anti").join(groups.filter(F.col(size) <= most), key, "left"))
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], form: str | StructType) -> DataFrame:
+    """df.mapInArrow(run, form) with batches of about ARROW_BYTES, where the session doesn't name a size: 10,000 whole texts can take most of a worker's memory."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name, None) is None:
+        conf.set(name, str(ARROW_BYTES))
+    return df.mapInArrow(run, form)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: int = 1, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of batches in slices of about `most` bytes of the text in one column, at least a row each."""
     for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_arrow, slices
 
 #: The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -147,4 +147,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kinds = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, expressions array<string>, findings array<string>"
-    return ids.mapInArrow(run, f"doc_id {ids.schema[0].dataType.simpleString()}, {kinds}")
+    return map_arrow(ids, run, f"doc_id {ids.schema[0].dataType.simpleString()}, {kinds}")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, attach, claim, materialise, release, slices, small
+from .common import BROADCAST_ROWS, attach, claim, map_arrow, materialise, release, slices, small
 from .components import components
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -116,7 +116,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, bands: int, rows:
         release()
 
     ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return ids.mapInArrow(run, "doc_id long, fp binary, size long, bands array<long>")
+    return map_arrow(ids, run, "doc_id long, fp binary, size long, bands array<long>")
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
         release()
 
     form = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others)
-    return docs.select("doc_id", "text", *others).mapInArrow(run, f"doc_id long, grams binary{', ' if form else ''}{form}")
+    return map_arrow(docs.select("doc_id", "text", *others), run, f"doc_id long, grams binary{', ' if form else ''}{form}")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_arrow, slices
 
 #: The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -139,4 +139,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], names)
 
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return ids.mapInArrow(run, f"doc_id {ids.schema[0].dataType.simpleString()}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return map_arrow(ids, run, f"doc_id {ids.schema[0].dataType.simpleString()}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

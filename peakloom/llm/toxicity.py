@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, materialise, release, slices
+from .common import claim, map_arrow, materialise, release, slices
 
 PREFIXES = (4, 5)
 PRIOR, PRIOR_WEIGHT = 0.5, 10.0
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
             )
         release()
 
-    counts = materialise(rows.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    counts = materialise(map_arrow(rows, count, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     whole = {r.feature: (r.clean, r.toxic) for r in counts.filter(F.col("feature").isin("", " ")).collect()}
     (n0, n1), (d0, d1) = whole.get("", (0, 0)), whole.get(" ", (0, 0))
     if not d0 or not d1:
@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
                 expected += n * math.exp(-m.scale * high)
             yield pa.RecordBatch.from_arrays([pa.array([found]), pa.array([expected])], ["found", "expected"])
 
-    found, expected = rows.filter("not toxic").mapInArrow(exceed, "found double, expected double").agg(F.sum("found"), F.sum("expected")).first()
+    found, expected = map_arrow(rows.filter("not toxic"), exceed, "found double, expected double").agg(F.sum("found"), F.sum("expected")).first()
     k = min(1.0, max(0.01, ((found or 0.0) + 1) / ((expected or 0.0) + 1)))
     return Model(features, rest, scale, k)
 
@@ -248,7 +248,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     form = f"doc_id {ids.schema[0].dataType.simpleString()}, score double"
-    return ids.mapInArrow(run, form + ", passages array<struct<first: long, end: long, score: double>>" * passages)
+    return map_arrow(ids, run, form + ", passages array<struct<first: long, end: long, score: double>>" * passages)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -272,4 +272,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(clean, pa.bool_()))
         release()
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
