@@ -37,6 +37,8 @@ from .components import components
 
 NGRAM, THRESHOLD, RECALL = 5, 0.8, 0.999
 BLOCK = 256
+#: Bytes of text whose n-grams are made at once; values and matrix cells that a comparison holds at once.
+TEXT, RANGE, CELLS = 2 << 20, 1 << 18, 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -107,7 +109,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, bands: int, rows:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngrams")
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXT):
             offsets, hashes = ngrams(batch.column(1))
             some = np.diff(offsets) > 0
             sig = iter(signatures(offsets, hashes, bands, rows).view(np.int64))
@@ -125,7 +127,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngrams")
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXT):
             offsets, hashes = ngrams(batch.column(1))
             grams = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary()), *batch.columns[2:]], ["doc_id", "grams", *others])
@@ -136,22 +138,31 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
-    """Sizes of the intersections of each left set with each right one (None: with each left one)."""
+    """Sizes of the intersections of each left set with each right one (None: with each left one); sets are ascending.
+
+    Goes through the hashes by ranges of about RANGE values in all, so the memory it takes doesn't grow with the sets.
+    """
     every = [*left, *(right or [])]
-    values, codes = np.unique(np.concatenate(every), return_inverse=True)
-    owner = np.repeat(np.arange(len(every)), [len(x) for x in every])
-    shared = np.bincount(codes, minlength=len(values)) > 1
-    keep = shared[codes]
-    codes, owner = (np.cumsum(shared) - 1)[codes[keep]], owner[keep]
-    order = np.argsort(codes, kind="stable")
-    codes, owner = codes[order], owner[order]
     n, total = len(left), np.zeros((len(left), len(right) if right is not None else len(left)), np.float32)
-    width = max(1, (8 << 20) // max(len(every), 1))
-    for start in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(codes, (start, start + width))
-        x = np.zeros((len(every), width), np.float32)
-        x[owner[a:b], codes[a:b] - start] = 1
-        total += x[:n] @ (x[:n] if right is None else x[n:]).T
+    parts = max(1, sum(map(len, every)) // RANGE)
+    inner = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(x, inner), [len(x)]]) for x in every]
+    width = max(1, CELLS // max(len(every), 1))
+    x = np.zeros((len(every), width), np.float32)
+    for k in range(parts):
+        own = [v[c[k] : c[k + 1]] for v, c in zip(every, cuts, strict=True)]
+        _, codes, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(every)), [len(v) for v in own])
+        shared = times > 1
+        keep = shared[codes]
+        codes, owner = (np.cumsum(shared) - 1)[codes[keep]], owner[keep]
+        order = np.argsort(codes, kind="stable")
+        codes, owner = codes[order], owner[order]
+        for start in range(0, int(shared.sum()), width):
+            a, b = np.searchsorted(codes, (start, start + width))
+            x[:] = 0
+            x[owner[a:b], codes[a:b] - start] = 1
+            total += x[:n] @ (x[:n] if right is None else x[n:]).T
     return total
 
 
