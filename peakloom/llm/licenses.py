@@ -111,9 +111,11 @@ def scan_text(text: str | None, find: ahocorasick.Automaton) -> dict:
     base, more, places, expressions, score, tagged = set(), set(), [], [], 0.0, False
     findings = []
     joined = f" {b' '.join(words).decode('latin-1')} "
+    last = ended = 0  # words that end before `last`
     for end, (size, found, is_base) in find.iter(joined):
-        word = joined.count(" ", 0, end - size)
-        word -= 1
+        ended += joined.count(" ", last, end)
+        last = end
+        word = ended - 1 - joined.count(" ", end - size, end)
         if found is None:
             tagged = True
             continue

@@ -109,7 +109,7 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
     out = set()
     for name, spans, names in assignments(text):
         own = [s for part in spans for s in (constants[text[slice(*part)]] if text[slice(*part)] in names and text[slice(*part)] in constants else [part])]
-        constants[name] = own[:64]
+        constants[name] = own = list(dict.fromkeys(own))  # a name that is added to itself would double
         score = name_score(name)
         if score:
             whole = "".join(text[a:b] for a, b in own)
