@@ -128,11 +128,11 @@ def p14_p15_p17_p22_chart_scalars(spark, d):
     return m.select("barcode", r6("log_uniq").alias("log_uniq"), r6("dup_pct").alias("dup_pct"), r6("mito_pct").alias("mito_pct"), r6(S.specificity_input(F.col("tsse") * 2.5)).alias("spec"), S.round3(F.col("tsse")).alias("r3"))
 
 
-@query("""WITH s AS (SELECT doc_id, regexp_replace(upper(substr(text, 1, 400)), '[^ACGT]', '', 'g') AS seq FROM documents)
+@query("""WITH s AS (SELECT doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS seq FROM documents)
   SELECT doc_id, CASE WHEN length(seq) >= 8 THEN list_reduce(list_prepend(0::BIGINT, list_transform(range(1, 9), lambda i: (strpos('ACGT', substr(seq, i, 1)) - 1)::BIGINT)), lambda a, x: a * 4 + x) END AS code,
   CASE WHEN length(seq) >= 8 THEN substr(seq, 1, 8) END AS back, round(CASE WHEN length(seq) > 0 THEN length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq) ELSE 0.5 END, 6) AS gc FROM s""")
 def p19_p21_dna(spark, d):
-    s = V.table(spark, d, "documents").select("doc_id", F.regexp_replace(F.upper(F.substring("text", 1, 400)), "[^ACGT]", "").alias("seq"))
+    s = V.table(spark, d, "documents").select("doc_id", F.regexp_replace(F.upper("text"), "[^ACGT]", "").alias("seq"))
     code = F.when(F.length("seq") >= 8, S.dna_to_int(F.col("seq"), 8))
     return s.select("doc_id", code.alias("code"), S.int_to_dna(code, 8).alias("back"), r6(S.gc_content(F.col("seq"))).alias("gc"))
 
@@ -189,11 +189,11 @@ def f8_a18_clusters_to_split(spark, d):
     return C.to_subcluster(V.clusters(spark, d))
 
 
-SUB_SQL = "SELECT 'C' || (s_suppkey % 5 + 1) AS parent, 'C' || (s_suppkey % 3 + 1) AS cluster, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE (s_suppkey % 10) / 10.0::DOUBLE END AS repro FROM supplier WHERE s_suppkey <= 16"
+SUB_SQL = "SELECT 'C' || (s_suppkey % 5 + 1) AS parent, 'C' || (s_suppkey % 3 + 1) AS cluster, CASE WHEN s_suppkey % 15 % 4 = 0 THEN NULL ELSE (s_suppkey % 15 % 10) / 10.0::DOUBLE END AS repro FROM supplier"
 
 
 def _subclusters(spark, d):
-    s = V.table(spark, d, "supplier").filter("s_suppkey <= 16").selectExpr("concat('C', s_suppkey % 5 + 1) AS parent", "concat('C', s_suppkey % 3 + 1) AS cluster", "IF(s_suppkey % 4 = 0, NULL, (s_suppkey % 10) / 10.0D) AS reproducibility")
+    s = V.table(spark, d, "supplier").selectExpr("concat('C', s_suppkey % 5 + 1) AS parent", "concat('C', s_suppkey % 3 + 1) AS cluster", "IF(s_suppkey % 15 % 4 = 0, NULL, (s_suppkey % 15 % 10) / 10.0D) AS reproducibility")
     return s.groupBy("parent", "cluster").agg(F.max("reproducibility").alias("reproducibility"))
 
 
@@ -535,7 +535,7 @@ def k4_u9_wide_table(spark, d):
 
 @query()
 def k9_k10_report(spark, d):
-    return Q.report(V.metrics(spark, d).filter("uniq > 0"), "sample").select("sample", "cells", "json")
+    return Q.report(V.metrics(spark, d).withColumn("uniq", F.greatest("uniq", F.lit(1))), "sample").select("sample", "cells", "json")
 
 
 @query("SELECT CASE WHEN tsse < 9 THEN 0 WHEN tsse >= 21 THEN 13 ELSE CAST(floor((tsse - 9) / 1) AS BIGINT) + 1 END AS bin, count(*) AS n FROM qc GROUP BY 1")
@@ -632,5 +632,5 @@ def m18_j22_motif_sites(spark, d):
 def m20_a28_deviations(spark, d):
     m = _matrix(spark, d).withColumnRenamed("barcode", "cell")
     p = m.groupBy("peak").agg(F.sum("count").alias("reads")).withColumn("gc", (F.col("peak") % 10) / 10.0)
-    pairs = p.select(F.concat(F.lit("M"), F.col("peak") % 3).alias("motif"), "peak").filter("peak % 4 = 0")
+    pairs = p.select(F.concat(F.lit("M"), F.col("peak") % 12).alias("motif"), "peak")
     return motifs.deviations(m, pairs, motifs.backgrounds(p, 10))

@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Positions: 4,096 orders share a megabase of each chromosome, so that the genome grows with the data and its density doesn't.
+BLOCK = "{} {} 4096 * 1000000"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,8 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sample, barcode, chrom, start, end, score, strand (null)."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "l_returnflag AS sample", "CAST(l_partkey AS STRING) AS barcode", "IF(l_suppkey % 6 = 0, 'chrM', concat('chr', l_suppkey % 6)) AS chrom", "CAST(floor(l_extendedprice * 10) AS BIGINT) AS start",
-        "CAST(floor(l_extendedprice * 10) AS BIGINT) + 31 + CAST(l_quantity * 10 AS BIGINT) AS end", "CAST(l_linenumber AS BIGINT) AS score", "CAST(NULL AS BOOLEAN) AS strand",
+        "l_returnflag AS sample", "CAST(l_partkey AS STRING) AS barcode", "IF(l_suppkey % 6 = 0, 'chrM', concat('chr', l_suppkey % 6)) AS chrom", f"CAST(floor(l_extendedprice * 10) AS BIGINT) + {BLOCK.format('l_orderkey', 'div')} AS start",
+        f"CAST(floor(l_extendedprice * 10) AS BIGINT) + {BLOCK.format('l_orderkey', 'div')} + 31 + CAST(l_quantity * 10 AS BIGINT) AS end", "CAST(l_linenumber AS BIGINT) AS score", "CAST(NULL AS BOOLEAN) AS strand",
     )
 
 
@@ -32,14 +35,14 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """peak, cluster, chrom, start, end, name, signal, pvalue, summit."""
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 5 = 0").selectExpr(
-        "o_orderkey AS peak", "concat('C', o_custkey % 4 + 1) AS cluster", "concat('chr', o_custkey % 5 + 1) AS chrom", "CAST(floor(o_totalprice * 2) AS BIGINT) AS start", "CAST(floor(o_totalprice * 2) AS BIGINT) + 400 AS end",
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS peak", "concat('C', o_custkey % 4 + 1) AS cluster", "concat('chr', o_custkey % 5 + 1) AS chrom", f"CAST(floor(o_totalprice * 2) AS BIGINT) + {BLOCK.format('o_orderkey', 'div')} AS start", f"CAST(floor(o_totalprice * 2) AS BIGINT) + {BLOCK.format('o_orderkey', 'div')} + 400 AS end",
         "lpad(CAST(o_orderkey AS STRING), 12, '0') AS name", "o_totalprice / 1000 AS signal", "CAST(o_orderkey % 97 AS DOUBLE) AS pvalue", "o_orderkey % 400 AS summit",
     )
 
 
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").selectExpr("concat('chr', c_custkey % 5 + 1) AS chrom", "c_custkey * 450 AS start", "c_custkey * 450 + 700 AS end")
+    return table(spark, sf_dir, "customer").selectExpr("concat('chr', c_custkey % 5 + 1) AS chrom", "c_custkey * 450 AS start", "c_custkey * 450 + 700 AS end")
 
 
 def promoters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,35 +57,35 @@ def genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """barcode, sample, cluster, x, y: a cell for each part but every eleventh."""
-    return table(spark, sf_dir, "part").filter("p_partkey % 11 <> 0").selectExpr(
-        "CAST(p_partkey AS STRING) AS barcode", "concat('S', p_partkey % 3) AS sample", "concat('C', p_size * p_size % 7 + 1) AS cluster", "CAST(p_size AS DOUBLE) AS x", "p_retailprice AS y"
+    """barcode, sample, cluster, x, y: a cell for each customer. There are fewer of them than barcodes, which are parts."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS barcode", "concat('S', c_custkey % 3) AS sample", "concat('C', c_custkey * c_custkey % 7 + 1) AS cluster", "CAST(c_custkey % 50 AS DOUBLE) AS x", "c_acctbal AS y"
     )
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """barcode, sample, dup_rate, mito_rate, tsse, uniq, doublet."""
-    return table(spark, sf_dir, "part").filter("p_partkey % 7 <> 0").selectExpr(
+    return table(spark, sf_dir, "part").selectExpr(
         "CAST(p_partkey AS STRING) AS barcode", "concat('S', p_partkey % 3) AS sample", "IF(p_partkey % 5 = 0, NULL, (p_partkey % 50) / 100.0D) AS dup_rate", "(p_partkey % 20) / 100.0D AS mito_rate",
         "p_retailprice / 100 AS tsse", "p_partkey % 900 AS uniq", "IF(p_partkey % 4 = 0, NULL, (p_partkey % 10) / 10.0D) AS doublet",
     )
 
 
 VIEWS: dict[str, str] = {
-    "fr": """SELECT l_returnflag AS sample, CAST(l_partkey AS VARCHAR) AS barcode, CASE WHEN l_suppkey % 6 = 0 THEN 'chrM' ELSE 'chr' || (l_suppkey % 6) END AS chrom, CAST(floor(l_extendedprice * 10) AS BIGINT) AS cstart,
-      CAST(floor(l_extendedprice * 10) AS BIGINT) + 31 + CAST(l_quantity * 10 AS BIGINT) AS cend, CAST(l_linenumber AS BIGINT) AS score FROM lineitem""",
+    "fr": f"""SELECT l_returnflag AS sample, CAST(l_partkey AS VARCHAR) AS barcode, CASE WHEN l_suppkey % 6 = 0 THEN 'chrM' ELSE 'chr' || (l_suppkey % 6) END AS chrom, CAST(floor(l_extendedprice * 10) AS BIGINT) + {BLOCK.format('l_orderkey', '//')} AS cstart,
+      CAST(floor(l_extendedprice * 10) AS BIGINT) + {BLOCK.format('l_orderkey', '//')} + 31 + CAST(l_quantity * 10 AS BIGINT) AS cend, CAST(l_linenumber AS BIGINT) AS score FROM lineitem""",
     "rd": """SELECT l_partkey || ':' || l_orderkey || ':' || l_linenumber AS name, CAST(CASE l_linenumber % 4 WHEN 0 THEN 99 WHEN 1 THEN 163 WHEN 2 THEN 73 ELSE 1123 END AS INT) AS flag, 'chr' || (l_suppkey % 3) AS chrom,
       CAST(floor(l_extendedprice / 2000) AS BIGINT) * 100 AS cstart, CAST(floor(l_extendedprice / 2000) AS BIGINT) * 100 + 50 AS cend, CAST(l_quantity AS BIGINT) % 3 * 480 + 40 AS tlen,
       CAST(trunc(l_discount * 1000) AS INT) AS mapq, CAST(trunc(l_tax * 100) AS BIGINT) AS quality, l_orderkey * 10 + l_linenumber AS ord FROM lineitem""",
-    "pk": """SELECT o_orderkey AS peak, 'C' || (o_custkey % 4 + 1) AS cluster, 'chr' || (o_custkey % 5 + 1) AS chrom, CAST(floor(o_totalprice * 2) AS BIGINT) AS cstart, CAST(floor(o_totalprice * 2) AS BIGINT) + 400 AS cend,
-      lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS name, o_totalprice / 1000 AS signal, CAST(o_orderkey % 97 AS DOUBLE) AS pvalue, o_orderkey % 400 AS summit FROM orders WHERE o_orderkey % 5 = 0""",
-    "bl": "SELECT 'chr' || (c_custkey % 5 + 1) AS chrom, c_custkey * 450 AS cstart, c_custkey * 450 + 700 AS cend FROM customer WHERE c_custkey % 10 = 0",
+    "pk": f"""SELECT o_orderkey AS peak, 'C' || (o_custkey % 4 + 1) AS cluster, 'chr' || (o_custkey % 5 + 1) AS chrom, CAST(floor(o_totalprice * 2) AS BIGINT) + {BLOCK.format('o_orderkey', '//')} AS cstart, CAST(floor(o_totalprice * 2) AS BIGINT) + {BLOCK.format('o_orderkey', '//')} + 400 AS cend,
+      lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS name, o_totalprice / 1000 AS signal, CAST(o_orderkey % 97 AS DOUBLE) AS pvalue, o_orderkey % 400 AS summit FROM orders""",
+    "bl": "SELECT 'chr' || (c_custkey % 5 + 1) AS chrom, c_custkey * 450 AS cstart, c_custkey * 450 + 700 AS cend FROM customer",
     "pr": "SELECT p_partkey AS feature, p_brand AS gene, 'chr' || (p_partkey % 5 + 1) AS chrom, p_partkey * 500 - 2000 AS cstart, p_partkey * 500 + 2001 AS cend, p_size % 2 = 0 AS strand FROM part",
     "gn": "SELECT 'Gene' || p_partkey AS gene, 'chr' || (p_partkey % 5 + 1) AS chrom, p_size % 2 = 0 AS strand, p_partkey * 500 AS lft, p_partkey * 500 + 300 AS rgt, p_partkey, p_size FROM part",
     "tx": "SELECT gene, chrom, strand, p_partkey * 500 + i * 40 AS lft, p_partkey * 500 + i * 40 + 90 AS rgt, (p_partkey + i) % 3 = 0 AS coding FROM (SELECT *, unnest(range(0, p_size % 3 + 1)) AS i FROM gn)",
-    "cl": "SELECT CAST(p_partkey AS VARCHAR) AS barcode, 'S' || (p_partkey % 3) AS sample, 'C' || (p_size * p_size % 7 + 1) AS cluster, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part WHERE p_partkey % 11 <> 0",
+    "cl": "SELECT CAST(c_custkey AS VARCHAR) AS barcode, 'S' || (c_custkey % 3) AS sample, 'C' || (c_custkey * c_custkey % 7 + 1) AS cluster, CAST(c_custkey % 50 AS DOUBLE) AS x, c_acctbal AS y FROM customer",
     "qc": """SELECT CAST(p_partkey AS VARCHAR) AS barcode, 'S' || (p_partkey % 3) AS sample, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE (p_partkey % 50) / 100.0::DOUBLE END AS dup_rate, (p_partkey % 20) / 100.0::DOUBLE AS mito_rate,
-      p_retailprice / 100 AS tsse, p_partkey % 900 AS uniq, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE (p_partkey % 10) / 10.0::DOUBLE END AS doublet FROM part WHERE p_partkey % 7 <> 0""",
+      p_retailprice / 100 AS tsse, p_partkey % 900 AS uniq, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE (p_partkey % 10) / 10.0::DOUBLE END AS doublet FROM part""",
     "cut": "SELECT sample, barcode, chrom, unnest([cstart, cend - 1]) AS pos FROM fr WHERE chrom <> 'chrM'",
     "hit": "SELECT c.sample, c.barcode, k.peak, k.cluster AS pcluster FROM cut c JOIN pk k ON c.chrom = k.chrom AND c.pos >= k.cstart AND c.pos < k.cend",
     "mat": "SELECT barcode, peak, count(*) AS n FROM hit GROUP BY ALL",
