@@ -3,7 +3,10 @@
 Lines that start with `>` are quotes; the number of `>` is their level. Each quoted line is normalised (markers
 removed, white space collapsed, lower case) and hashed, and the hash is joined to the lines that
 messages wrote themselves (level 0): first to an earlier message of the same conversation, otherwise to the
-first message anywhere that wrote the line. A message's parent is the earlier message of its conversation that
+first message of another conversation that wrote the line. Quotes that were wrapped anew or cite a part of a line have no such
+line; they are linked as passages: runs of quoted lines of one level. A quoted line's words (with the passage's words around it up to
+WORDS) are sought as a sequence in the words that a message wrote, across its lines; a passage of fewer
+than WORDS words is sought only in its own conversation. Links by whole lines come first. A message's parent is the earlier message of its conversation that
 most of its lowest-level quoted lines come from (then the latest). Conversations are ordered by threads: a
 thread starts at a message without parent, threads come in the order of their first messages, and messages in
 a thread by turn, so that every reply follows what it answers. Bodies have neither quotes nor the
@@ -24,24 +27,80 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach, materialise
+from .common import attach, materialise, small
 
 MARKER = r"^(\s*>)+"
 INTRODUCTION = r"(?i)^\s*(on|le|am|el|il|op)\b.{0,200}\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.{0,80}:\s*$"
+WHITE = r"[\x20\x09-\x0D]+"
+#: Words that a passage needs to be sought in other conversations, and of the seeds by which places are found.
+WORDS = 5
 #: Messages of a conversation that one task ranks, about.
 PART = 4096
 
 
 def normalised(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, MARKER, ""), r"[\x20\x09-\x0D]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, MARKER, ""), WHITE, " ")))
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
-    """The lines of each message: __row, conv_id, turn, no, level, hash (null if empty)."""
+    """The lines of each message: __row, conv_id, turn, no, level, hash (null if empty), text (normalised)."""
     marks = lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKER, 0), r"[^>]", ""))
     split = rows.select("__row", "conv_id", "turn", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
     text = normalised(F.col("line"))
-    return split.select("__row", "conv_id", "turn", "no", marks("line").alias("level"), F.when(text != "", F.md5(text.cast("binary"))).alias("hash"))
+    return split.select("__row", "conv_id", "turn", "no", marks("line").alias("level"), F.when(text != "", F.md5(text.cast("binary"))).alias("hash"), text.alias("text"))
+
+
+def conv_name() -> Column:
+    return F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
+
+
+def seed_of(words: Column, short: Column) -> Column:
+    """The hash of up to WORDS words by which places are found; those of a short passage are of its conversation."""
+    return F.xxhash64(F.when(short, F.concat(F.array(F.lit("short"), conv_name()), words)).otherwise(words))
+
+
+def place_of(words: Column, short: Column) -> Column:
+    """The hash of a sequence of words, unequal to any line's."""
+    return F.md5(F.concat(F.when(short, F.concat(F.lit("short:"), conv_name(), F.lit(":"))).otherwise(F.lit("words:")), F.array_join(words, " ")).cast("binary"))
+
+
+def passages_of(lines: DataFrame) -> DataFrame:
+    """The quoted lines that aren't empty, with what is sought of their passage: words (the line's, and those around it up to WORDS), short, seed, place."""
+    run = F.col("no") - F.row_number().over(Window.partitionBy("__row", "level").orderBy("no"))
+    runs = lines.withColumn("run", run).filter("hash is not null").withColumn("words", F.split("text", " "))
+    around = Window.partitionBy("__row", "level", "run").orderBy("no")
+    beside = lambda a, b: F.flatten(F.collect_list("words").over(around.rowsBetween(a, b)))
+    runs = runs.withColumns({"before": beside(1 - WORDS, -1), "after": beside(1, WORDS - 1)})
+    lacks = lambda *x: F.greatest(F.lit(0), F.lit(WORDS) - sum(F.size(y) for y in x))
+    last = F.least(F.size("before"), lacks("words"))
+    runs = runs.withColumn("words", F.concat(F.slice("before", F.size("before") - last + 1, last), "words"))
+    runs = runs.withColumn("words", F.concat("words", F.slice("after", F.lit(1), lacks("words")))).withColumn("short", F.size("words") < WORDS)
+    return runs.withColumns({"seed": seed_of(F.slice("words", 1, WORDS), F.col("short")), "place": place_of(F.col("words"), F.col("short"))}).drop("text", "run", "before", "after")
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """The words that each message wrote itself, in a row for each run of lines between quotes: __row, conv_id, turn, run, words."""
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.when(x.rlike(MARKER), F.lit("\0")).otherwise(x))
+    runs = F.split(F.lower(F.regexp_replace(F.array_join(lines, "\n"), WHITE, " ")), r"\x00")
+    split = rows.select("__row", "conv_id", "turn", F.posexplode(runs).alias("run", "text")).withColumn("text", F.trim("text")).filter("text != ''")
+    return split.select("__row", "conv_id", "turn", "run", F.split("text", " ").alias("words"))
+
+
+def sought(rows: DataFrame, quoted: DataFrame) -> DataFrame:
+    """Where messages wrote a sequence of words that a passage seeks: conv_id, turn, hash. Places are found by their first words, and of those places the whole sequences are compared."""
+    wanted = materialise(quoted.groupBy("seed", "short").agg(F.collect_set(F.size("words")).alias("sizes")))
+    runs = written(rows)
+    places = F.sequence(F.lit(1), F.size("words"))
+    whole = runs.select("__row", "run", F.posexplode(F.transform(places, lambda i: seed_of(F.slice("words", i, WORDS), F.lit(False)))).alias("at", "seed"))
+    found = whole.join(small(wanted.filter("not short")), "seed")
+    talks = materialise(quoted.filter("short").select(conv_name().alias("name")).distinct())
+    own = runs.join(small(talks), conv_name() == F.col("name"), "left_semi")
+    short = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(WORDS - 1)), lambda n: F.transform(places, lambda i: F.struct((i - 1).alias("at"), seed_of(F.slice("words", i, n), F.lit(True)).alias("seed")))))
+    parts = own.select("__row", "run", F.explode(short).alias("x")).select("__row", "run", "x.at", "x.seed")
+    found = found.unionByName(parts.join(small(wanted.filter("short")), "seed")).select("__row", "run", "at", "short", F.explode("sizes").alias("size")).distinct()
+    met = runs.join(materialise(found), ["__row", "run"])
+    hashes = met.select("conv_id", "turn", place_of(F.slice("words", F.col("at") + 1, F.col("size")), F.col("short")).alias("hash"))
+    return hashes.join(quoted.select(F.col("place").alias("hash")).distinct(), "hash", "left_semi").select("conv_id", "turn", "hash")
 
 
 def body_of(text: Column) -> Column:
@@ -56,21 +115,31 @@ def link(messages: DataFrame) -> DataFrame:
         messages.select("conv_id", "turn", "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("__row", F.monotonically_increasing_id())
     )
     has_quotes = F.col("text").rlike(r"(?m)" + MARKER)
-    quoted = materialise(lines_of(rows.filter(has_quotes)).filter("level > 0 and hash is not null"))
-    wanted = quoted.groupBy("hash").agg(F.count("*").alias("__n"))
-    # Only lines that someone quotes are kept of the originals.
+    quoted = materialise(passages_of(lines_of(rows.filter(has_quotes)).filter("level > 0")))
+    # Each line is met by its own hash and by its place in its passage.
+    keys = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("hash").alias("h")), F.struct(F.lit(1).alias("kind"), F.col("place").alias("h"))))
+    asked = materialise(quoted.select("__row", "conv_id", "turn", "no", "level", keys.alias("x")).select("__row", "conv_id", "turn", "no", "level", "x.kind", F.col("x.h").alias("hash")))
+    wanted = asked.groupBy("hash").agg(F.count("*").alias("__n"))
+    # Only lines and places that someone quotes are kept of the originals.
     own = lines_of(rows).filter("level = 0 and hash is not null")
-    own = materialise(own.join(wanted.select("hash"), "hash", "left_semi").select("conv_id", "turn", "hash"))
-    total = quoted.count()
-    key = lambda c: F.md5(F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), "hash").cast("binary"))
-    near = own.filter("turn is not null").select(key(0).alias("__key"), "turn").groupBy("__key").agg(F.min("turn").alias("near_turn"))
-    far = own.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("far"))
-    with_key = quoted.withColumn("__key", key(0))
+    own = own.join(wanted.select("hash"), "hash", "left_semi").select("conv_id", "turn", "hash")
+    own = materialise(own.unionByName(sought(rows, quoted)))
+    total = asked.count()
+    key = F.md5(F.concat_ws(":", conv_name(), "hash").cast("binary"))
+    near = own.filter("turn is not null").select(key.alias("__key"), "turn").groupBy("__key").agg(F.min("turn").alias("near_turn"))
+    # The least originals of two conversations: one of them isn't the quoter's own.
+    each = materialise(own.groupBy("hash", "conv_id").agg(F.min(F.struct("conv_id", "turn")).alias("at")))
+    far = materialise(each.groupBy("hash").agg(F.min("at").alias("far")))
+    other = each.join(far, "hash").filter(~F.col("at.conv_id").eqNullSafe(F.col("far.conv_id"))).groupBy("hash").agg(F.min("at").alias("other"))
+    far = far.join(other, "hash", "left")
+    with_key = asked.withColumn("__key", key)
     near = near.join(with_key.groupBy("__key").agg(F.count("*").alias("__n")), "__key")
     met = attach(with_key, materialise(near), "__key", "__n", total).drop("__n")
     met = attach(met, materialise(far.join(wanted, "hash")), "hash", "__n", total)
     in_conv = F.col("near_turn") < F.col("turn")
-    met = met.withColumns({"near_turn": F.when(in_conv, F.col("near_turn")), "far": F.when(F.coalesce(in_conv, F.lit(False)) | F.col("far.conv_id").eqNullSafe(F.col("conv_id")), None).otherwise(F.col("far"))})
+    met = met.withColumns({"near_turn": F.when(in_conv, F.col("near_turn")), "far": F.when(F.col("far.conv_id").eqNullSafe(F.col("conv_id")), F.col("other")).otherwise(F.col("far"))})
+    first = lambda x: F.min(F.when(F.col(x).isNotNull(), F.struct("kind", x)))[x].alias(x)
+    met = met.groupBy("__row", "no", "level").agg(first("near_turn"), first("far")).withColumn("far", F.when(F.col("near_turn").isNull(), F.col("far")))
     votes = met.filter("near_turn is not null").groupBy("__row", "level", "near_turn").agg(F.count("*").alias("n"))
     parents = votes.groupBy("__row").agg(F.min(F.struct("level", (-F.col("n")).alias("n"), (-F.col("near_turn")).alias("t"))).alias("best")).select("__row", (-F.col("best.t")).alias("parent_turn"))
     facts = met.groupBy("__row").agg(F.count("*").alias("n_quoted"), F.count("near_turn").alias("n_linked"), F.min(F.when(F.col("far").isNotNull(), F.struct("no", "far"))).alias("from"))
@@ -107,7 +176,7 @@ def in_order(df: DataFrame) -> DataFrame:
     return ranked.join(starts, ranked["conv_id"].eqNullSafe(starts["__c"]) & (ranked["__part"] == starts["__p"])).withColumn("position", F.col("__start") + F.col("__rank") - 1)
 
 
-#: The same in DuckDB's SQL.
+#: The same in DuckDB's SQL for quotes of whole lines; it has no passages, and of the originals elsewhere only the first.
 ORACLE_SQL = r"""
 WITH RECURSIVE base AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, row_number() OVER () AS rid FROM conversations),
 parts AS (SELECT rid, conv_id, turn, string_split(text, chr(10)) AS ls FROM base),

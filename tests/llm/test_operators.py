@@ -337,6 +337,23 @@ def test_quotes(spark, duck):
     assert sorted(repr([r[c] for c in names]) for r in got.collect()) == sorted(repr([r[i] for i in at]) for r in rel.fetchall())
 
 
+def test_quoted_passages(spark):
+    """Wrapped anew, a part of a line, a short part, and originals elsewhere when the own conversation is the least."""
+    words = [f"w{i}" for i in range(40)]
+    text = " ".join(words)
+    wrapped = "\n".join("> " + " ".join(words[i : i + 12]) for i in range(0, 40, 12))
+    by_80 = "\n".join(" ".join(words[i : i + 16]) for i in range(0, 40, 16))
+    rows = [
+        (1, 0, "u", f"first\n{text}\nlast", None), (1, 1, "a", "other words that are not quoted here", None), (1, 2, "u", wrapped + "\n\nyes", None), (1, 3, "u", "> w7 w8 w9 w10 w11 w12\nok", None), (1, 4, "a", "> w20 w21\nshort", None), (1, 5, "a", "> w21 w20 w3 w9 w1 w30\nno", None),
+        (2, 0, "u", by_80, None), (2, 1, "a", wrapped, None), (3, 0, "a", wrapped, None), (4, 0, "a", "> w20 w21", None),
+        (5, 1, "u", "copied line of the other", None), (5, 0, "a", "> copied line of the other", None), (6, 0, "u", "copied line of the other", None),
+    ]
+    got = {(r.conv_id, r.turn): (r.n_quoted, r.n_linked, r.parent_turn, r.source_conv, r.source_turn, r.thread) for r in quotes.link(spark.createDataFrame(rows, TALK)).collect()}
+    assert got[1, 2] == (4, 4, 0, None, None, 0) and got[1, 3] == (1, 1, 0, None, None, 0) and got[1, 4] == (1, 1, 0, None, None, 0)
+    assert got[1, 5] == (1, 0, None, None, None, 5) and got[2, 1] == (4, 4, 0, None, None, 0)
+    assert got[3, 0] == (4, 0, None, 1, 0, 0) and got[4, 0] == (1, 0, None, None, None, 0) and got[5, 0] == (1, 0, None, 6, 0, 0)
+
+
 def brute_base(text):
     """The base patterns by their plain statement."""
     text, out = text or "", []
