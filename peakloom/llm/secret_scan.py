@@ -1,13 +1,15 @@
 """Secret scans: assignment-aware lexing of source and configuration syntax.
 
 Three base patterns give the spans `assign`, `access` and `hex`. Around every = and : the lexer reads a name on the left and a
-literal on the right (quoted, or bare as in configuration files): name-literal pairs. A right side that is
+literal on the right (quoted, or bare as in configuration files): name-literal pairs. A declared type between them
+(`name: type =`, `var name type =`) is passed over. A right side that is
 a name takes the literal of that name from the last assignment before it (constants propagate, also along
 chains and + concatenations). A pair is scored by its name's sensitive words and its literal's
 length, mix of characters and entropy; literals that score at least THRESHOLD are spans `lexed`.
 
 Spans are code points, end exclusive. Defined cases: a null text is an empty text without spans; literals are read
-up to their closing quote or the end of the line; a literal found by several assignments is one span;
+with escapes up to their own closing quote: triple and backtick quotes across lines, others across lines if what follows the quote ends an
+expression and what precedes it doesn't begin one, without a closing quote to the end of the line; a literal found by several assignments is one span;
 rows are independent, so ties, repeated rows and other columns don't matter.
 """
 
@@ -34,10 +36,28 @@ KINDS = ("assign", "access", "hex", "lexed")
 ASSIGN_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: How sensitive a word in a name is.
-SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "api_key": 1.0, "credential": 0.9, "private_key": 1.0, "access_key": 0.9, "auth": 0.6, "bearer": 0.8, "signature": 0.5, "salt": 0.5}
+SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "api_key": 1.0, "credential": 0.9, "private_key": 1.0, "access_key": 0.9, "auth": 0.6, "bearer": 0.8, "signature": 0.6, "salt": 0.6}
 THRESHOLD = 0.55
-NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w$.-]{0,127})["'\]]{0,2}[^\S\n]*$""", re.ASCII)
-LITERAL = re.compile(r"""[^\S\n]*(?:(?P<q>"{3}|'{3}|["'`])(?P<quoted>.*?)(?P=q)|(?P<bare>[^\s"'`,;#(){}\[\]+]+))""")
+NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_$.-")
+QUOTE = re.compile(r"""[^\S\n]*("{3}|'{3}|["'`])""")
+#: The rest of a literal by its quote.
+QUOTED = {q: re.compile(rf"((?:\\.|(?!{q})[^\\])*+){q}", re.DOTALL) for q in ('"""', "'''", "`")} | {q: re.compile(rf"((?:\\.|[^{q}\\\n])*+){q}", re.DOTALL) for q in "\"'"}
+QUOTED_LINES = {q: re.compile(rf"((?:\\.|[^{q}\\])*+){q}(?=[^\S\n]*(?:[,;)}}\]+]|$))", re.DOTALL | re.MULTILINE) for q in "\"'"}
+OPENS = re.compile(r"[=:(,\[{+][^\S\n]*\Z")
+UNCLOSED = re.compile(r"(?:\\[^\n]|[^\\\n])*")
+BARE = re.compile(r"""[^\S\n]*([^\s"'`,;#(){}\[\]+]+)""")
+def _type() -> str:
+    inner = r"""(?:[^\n"`=:;<>\[\]]|::)"""
+    body = inner + "*+"
+    for _ in range(3):
+        body = rf"(?:{inner}|[<\[]{body}[>\]])*+"
+    word = r"[A-Za-z_$][\w$]*+(?:(?:\.|::)[A-Za-z_$][\w$]*+)*+"
+    one = rf"(?:[&*]?(?:'\w++[^\S\n]++)?(?:mut[^\S\n]++)?{word}(?:[<\[]{body}[>\]])*+|\[{body}\])[?!]?+"
+    return rf"[^\S\n]*+{one}(?:[^\S\n]*+[|&][^\S\n]*+{one})*+"
+
+
+#: A declared type and the = after it. Without white space before the = only a quoted literal may follow.
+TYPE = re.compile(_type() + r"""(?:[^\S\n]++=(?![=>])|=(?=[^\S\n]*+["'`]))""")
 MORE = re.compile(r"[^\S\n]*\+")
 IDENTIFIER = re.compile(r"[A-Za-z_$][\w$.]*\Z", re.ASCII)
 SIGN = re.compile(r"[:=]")
@@ -71,6 +91,46 @@ def literal_score(value: str) -> float:
     return min(1.0, 0.4 + 0.1 * min(n, 20) / 4 * 0.4 + 0.1 * kinds + 0.05 * entropy)
 
 
+def name_before(text: str, end: int) -> tuple[int, int]:
+    """Where the name is that ends before end, but for white space and up to two quotes or brackets."""
+    while end and text[end - 1].isspace() and text[end - 1] != "\n":
+        end -= 1
+    if text[max(0, end - 2) : end] == "[]":
+        end -= 2
+    for _ in range(2):
+        end -= end > 0 and text[end - 1] in "\"']"
+    start = end
+    while start and text[start - 1] in NAME_CHARS:
+        start -= 1
+    while start < end and text[start] in "0123456789.-":
+        start += 1
+    return start, end
+
+
+def names_before(text: str, end: int) -> list[str]:
+    """The name before end, and that of a declaration with its type behind the name (var name type =)."""
+    start, stop = name_before(text, end)
+    if start == stop:
+        return []
+    first, last = name_before(text, start)
+    word = text[slice(*name_before(text, first))] if first < last < start else ""
+    return [text[start:stop], *([text[first:last]] if word in ("var", "const") else [])]
+
+
+def literal_at(text: str, at: int) -> tuple[tuple[int, int], int, bool] | None:
+    """(span, end with its quote, whether it is bare) of the literal at a place."""
+    if opening := QUOTE.match(text, at):
+        q, start = opening[1], opening.end()
+        if found := QUOTED[q].match(text, start):
+            return found.span(1), found.end(), False
+        if q in QUOTED_LINES and (found := QUOTED_LINES[q].match(text, start)) and not OPENS.search(text[text.rfind("\n", start, found.end(1)) + 1 : found.end(1)]):
+            return found.span(1), found.end(), False
+        end = start + len(UNCLOSED.match(text, start)[0].rstrip())
+        return (start, end), end, False
+    bare = BARE.match(text, at)
+    return (bare.span(1), bare.end(), True) if bare else None
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
     """(name, spans of the literals on the right, names on the right), in order."""
     past = 0
@@ -79,26 +139,27 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[st
         if i < past or text.startswith("://", i) or text[i + 1 : i + 2] == "=" and text[i] == "=":
             continue
         left = i - 1 if text[i - 1 : i] in ("+", ":") and text[i] == "=" else i
-        name = NAME_BEFORE.search(text[max(0, left - 140) : left])
-        if not name:
-            continue
         at = i + 2 if text.startswith(("=>", ":="), i) else i + 1
+        typed = TYPE.match(text, at) if text[i] == ":" and at == i + 1 else None
+        if typed:
+            at = typed.end()
+            left -= left > 0 and text[left - 1] in "?!"
+        known = names_before(text, left)
+        if not known:
+            continue
         spans, names = [], []
-        while right := LITERAL.match(text, at):
-            at = right.end()
-            if right["q"]:
-                spans.append(right.span("quoted"))
-            elif IDENTIFIER.match(right["bare"]):
-                names.append(right["bare"])
-                spans.append(right.span("bare"))
-            else:
-                spans.append(right.span("bare"))
+        while right := literal_at(text, at):
+            span, at, bare = right
+            spans.append(span)
+            if bare and IDENTIFIER.match(text[slice(*span)]):
+                names.append(text[slice(*span)])
             if not (plus := MORE.match(text, at)):
                 break
             at = plus.end()
         if spans:
-            past = spans[-1][1] if text[i] == "=" else i + 1
-            yield name[1], spans, names
+            # What is within a literal of several lines is read too, and the = of a typed declaration with the name before it.
+            past = spans[-1][1] if text[i] == "=" and "\n" not in text[i : spans[-1][1]] else i + 1
+            yield from ((name, spans, names) for name in known)
 
 
 def lexed_spans(text: str) -> list[tuple[int, int]]:
