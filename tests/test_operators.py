@@ -156,3 +156,15 @@ def test_called_peaks_are_where_sites_gather(spark):
     sites = spark.createDataFrame([(c, k, p, p + 1, True) for c, k, p in rows], "cluster string, chrom string, start long, end long, strand boolean")
     got = peaks.call_peaks(sites, 1_000_000).collect()
     assert len(got) == 1 and got[0].start < 50_000 + 50 and got[0].end > 50_000
+
+
+def test_clusters_of_any_size_honour_the_resolution(spark, monkeypatch):
+    """A ring of cliques: all of them at a high resolution, fewer clusters at a low one."""
+    rows = [(f"n{c}_{i}", f"n{c}_{j}", 1.0) for c in range(12) for i in range(4) for j in range(i + 1, 4)] + [(f"n{c}_0", f"n{(c + 1) % 12}_1", 1.0) for c in range(12)]
+    edges = spark.createDataFrame(rows, "src string, dst string, weight double").coalesce(1)
+    monkeypatch.setattr(cluster, "MAX_NODES", 1, raising=False)
+    for resolution in (0.05, 1.0):
+        found = cluster.clusters(edges, resolution)
+        assert dict(found.dtypes)["cluster"] == "int"
+        assert {r.cell: r.cluster for r in found.collect()} == cluster.modularity_clusters(rows, resolution)
+    assert len(set(cluster.modularity_clusters(rows, 0.05).values())) < 12 == len(set(cluster.modularity_clusters(rows, 1.0).values()))
