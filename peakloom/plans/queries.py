@@ -596,7 +596,7 @@ def m7_layout(spark, d):
 
 
 def _graph(spark, d):
-    return embed.with_weights(embed.neighbours(_vectors(spark, d), 15))
+    return embed.with_weights(embed.neighbours(_vectors(spark, d)))
 
 
 @query()
@@ -606,7 +606,7 @@ def m8_clusters(spark, d):
 
 @query()
 def m9_m10_a25_a26_o12_search(spark, d):
-    table, _ = cluster.search(_graph(spark, d), _vectors(spark, d), [0.5, 1.0], seeds=1)
+    table, _ = cluster.search(_graph(spark, d), _vectors(spark, d), [0.5, 1.0])
     return table
 
 
@@ -633,4 +633,4 @@ def m20_a28_deviations(spark, d):
     m = _matrix(spark, d).withColumnRenamed("barcode", "cell")
     p = m.groupBy("peak").agg(F.sum("count").alias("reads")).withColumn("gc", (F.col("peak") % 10) / 10.0)
     pairs = p.select(F.concat(F.lit("M"), F.col("peak") % 12).alias("motif"), "peak")
-    return motifs.deviations(m, pairs, motifs.backgrounds(p, 10))
+    return motifs.deviations(m, pairs, motifs.backgrounds(p))
