@@ -168,3 +168,22 @@ def test_clusters_of_any_size_honour_the_resolution(spark, monkeypatch):
         assert dict(found.dtypes)["cluster"] == "int"
         assert {r.cell: r.cluster for r in found.collect()} == cluster.modularity_clusters(rows, resolution)
     assert len(set(cluster.modularity_clusters(rows, 0.05).values())) < 12 == len(set(cluster.modularity_clusters(rows, 1.0).values()))
+
+
+def test_doublet_threshold_weighs_scores_by_cells(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        x, n = np.sort(rng.random(8)), rng.integers(1, 1000, 8)
+        every = np.repeat(x, n)
+        at = min(np.cumsum(n)[:-1], key=lambda i: every[:i].var() * i + every[i:].var() * (len(every) - i))
+        assert doublets._between(x, n) == pytest.approx((every[at - 1] + every[at]) / 2)
+    seen, between = [], doublets._between
+    monkeypatch.setattr(doublets, "_between", lambda x, n: seen.append((x, n)) or between(x, n))
+    rows = [(f"c{i}", f"f{g}", 1) for i in range(120) for g in sorted({*rng.choice(20, 6) + (i % 2) * 20})]
+    m = spark.createDataFrame(rows, "cell string, feature string, count long")
+    scores, cut = doublets.doublet_scores(m, k=10, dims=5)
+    (x, n), = seen
+    assert n.sum() == doublets.simulated(embed.packed(m)).count() > len(x)
+    every = np.repeat(x, n.astype(int))
+    for r in scores.collect():
+        assert r.doublet == pytest.approx(1 / (1 + np.exp(-(r.score - cut) / every.std() * 4)))
