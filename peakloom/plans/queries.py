@@ -572,7 +572,7 @@ def m1_m2_m3_m4_spectral(spark, d):
 @query()
 def m5_batch_correction(spark, d):
     v = _vectors(spark, d)
-    return embed.corrected(v, v.select("cell", F.concat(F.lit("b"), F.col("cell").cast("long") % 2).alias("batch"))).select("cell", F.size("vec").alias("dims"))
+    return embed.corrected(v, v.select("cell", F.concat(F.lit("b"), F.col("cell").cast("long") % 2).alias("batch")))
 
 
 @query()

@@ -187,3 +187,48 @@ def test_doublet_threshold_weighs_scores_by_cells(spark, monkeypatch):
     every = np.repeat(x, n.astype(int))
     for r in scores.collect():
         assert r.doublet == pytest.approx(1 / (1 + np.exp(-(r.score - cut) / every.std() * 4)))
+
+
+def brute_corrected(cells, z, b, n, k, first, rounds=5):
+    """Harmony's rounds over all cells at once; first(round) are the cells that the centres begin at."""
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    count = np.bincount(b, minlength=n).astype(float)
+    for turn in range(rounds):
+        c, seen = unit(z[first(turn)]), np.tile(count / k, (k, 1))
+        for _ in range(10):
+            r = np.exp(-20 * (1 - unit(z) @ c.T))
+            r = r / r.sum(axis=1, keepdims=True) * (count / count.sum() * (seen + 1).sum(axis=1, keepdims=True) / (seen + 1)).T[b]
+            r /= r.sum(axis=1, keepdims=True)
+            c, seen = unit(r.T @ unit(z)), r.T @ np.eye(n)[b]
+        moved = z.copy()
+        for j in range(k):
+            mean = r[:, j] @ z / r[:, j].sum()
+            for i in range(n):
+                w = r[:, j] * (b == i)
+                moved -= np.outer(w, (w @ z - w.sum() * mean) / (w.sum() + 1))
+        z = moved
+    return z
+
+
+def test_batch_correction_is_of_all_cells(spark):
+    """Equal to brute force over all cells, with a batch of few cells; cells without a batch stay."""
+    rng = np.random.default_rng(5)
+    b = np.array([0] * 300 + [1] * 300 + [2] * 6)
+    z = rng.standard_normal((606, 4)) * 0.3 + np.eye(4)[rng.integers(0, 3, 606)] * 3 + np.array([0.0, 1.0, -2.0])[b][:, None]
+    cells = [f"c{i}" for i in range(606)]
+    v = spark.createDataFrame([*((c, x.tolist()) for c, x in zip(cells, z)), ("none", [1.0, 2.0, 3.0, 4.0])], "cell string, vec array<double>")
+    batches = spark.createDataFrame([(c, f"b{i}") for c, i in zip(cells, b)], "cell string, batch string")
+    got = {r.cell: np.array(r.vec) for r in embed.corrected(v, batches).collect()}
+    order = {t: sorted(r.cell for r in batches.orderBy(F.xxhash64("cell", F.lit(t)), "cell").limit(20).collect()) for t in range(5)}
+    want = brute_corrected(cells, z.copy(), b, 3, 20, lambda t: [cells.index(c) for c in order[t]])
+    assert got["none"].tolist() == [1.0, 2.0, 3.0, 4.0]
+    assert np.abs(np.array([got[c] for c in cells]) - want).max() < 1e-6
+    centre = lambda x, i: x[b == i].mean(axis=0)
+    assert np.linalg.norm(centre(want, 2) - centre(want, 0)) < 0.7 * np.linalg.norm(centre(z, 2) - centre(z, 0))
+
+
+def test_batch_correction_query_returns_vectors(spark):
+    from peakloom.plans import queries
+
+    got = queries.QUERIES["m5_batch_correction"](spark, "/root/testdata/sf0.001")
+    assert dict(got.dtypes)["vec"] == "array<double>" and all(np.isfinite(r.vec).all() and len(r.vec) == 64 for r in got.collect())
