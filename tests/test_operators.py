@@ -232,3 +232,26 @@ def test_batch_correction_query_returns_vectors(spark):
 
     got = queries.QUERIES["m5_batch_correction"](spark, "/root/testdata/sf0.001")
     assert dict(got.dtypes)["vec"] == "array<double>" and all(np.isfinite(r.vec).all() and len(r.vec) == 64 for r in got.collect())
+
+
+def test_deviations_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 4, (7, 12))
+    x[:, 0] = 1
+    m = spark.createDataFrame([(f"c{i}", j, int(x[i, j])) for i in range(7) for j in range(12) if x[i, j]], "cell string, peak long, count long")
+    sets = {"A": [0, 2, 5], "B": [1, 7, 8, 9]}
+    pairs = spark.createDataFrame([(k, p) for k, v in sets.items() for p in v], "motif string, peak long")
+    p = spark.createDataFrame([(j, j % 3 / 3, int(x[:, j].sum())) for j in range(12)], "peak long, gc double, reads long")
+    other = {(r.peak, r.i): r.background for r in motifs.backgrounds(p, 6).collect()}
+    assert set(other) == {(j, i) for j in range(12) for i in range(1, 7)}
+    log = np.floor(np.log10(x.sum(axis=0) + 1) * 4)
+    assert all(j % 3 == o % 3 and log[j] == log[o] for (j, _), o in other.items())
+    share, depth = x.sum(axis=0) / x.sum(), x.sum(axis=1)
+    y = lambda at: x[:, at].sum(axis=1) / (share[at].sum() * depth) - 1
+    got = {(r.motif, r.cell): (r.deviation, r.z) for r in motifs.deviations(m, pairs, motifs.backgrounds(p, 6)).collect()}
+    assert len(got) == 14
+    for k, at in sets.items():
+        law = np.array([y([other[j, i] for j in at]) for i in range(1, 7)])
+        d, sd = y(at) - law.mean(axis=0), law.std(axis=0, ddof=1)
+        for i in range(7):
+            assert got[k, f"c{i}"] == pytest.approx((d[i], d[i] / sd[i] if sd[i] > 0 else 0.0), abs=1e-9)
