@@ -56,6 +56,26 @@ def test_bloom_filter_loses_no_repeat(spark, monkeypatch):
     assert all(got[i].keep_id == i % 700 and got[i].group_size == (2 if i % 700 < 300 else 1) for i in range(1000))
 
 
+def test_exact_dedup_in_slices_shuffles_only_possible_repeats(spark, monkeypatch):
+    """With a filter bound of two pages the same result comes in several slices, and beyond the broadcast bound no cleared row shuffles."""
+    from peakloom.llm import common
+
+    docs = spark.createDataFrame([(i, f"t{i % 9000}", "x" * 50) for i in range(10_000)] + [(None, "t1", ""), (0, "t0", "again")], "doc_id long, text string, more string").cache()
+    want = sorted(map(repr, exact_dedup.decide(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "FILTER_BYTES", 8192)
+    rows = exact_dedup.hashed(docs, "doc_id", "text")
+    parts = exact_dedup.slices(rows, rows.count())
+    assert len(parts) == 3 and sum(mine.count() for mine, _, _ in parts) == 10_002
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    assert sorted(map(repr, exact_dedup.decide(docs).collect())) == want
+    kept = exact_dedup.keep_first(docs)
+    assert {r.doc_id for r in kept.collect()} == set(range(9000)) and kept.count() == 9000
+    # The branch of the cleared rows, the first of the union, has the filter's join only, which is broadcast.
+    straight = kept._jdf.queryExecution().optimizedPlan().toString().split("\n:- ")[1]
+    assert straight.count("Join ") == straight.count("Hint=(strategy=broadcast)") == 1 and "Aggregate" not in straight.split("bits#")[0]
+
+
 def grams(t):
     w = (t or "").lower().split()
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
