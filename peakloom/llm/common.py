@@ -64,12 +64,13 @@ def running(df: DataFrame, group: list[str], order: list[str], into: str, value:
     sums = dealt.groupBy("__part", *keys).agg(F.sum(n).alias("__sum"))
     before = Window.partitionBy(*(f"__g{i}" for i in range(len(group)))).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).withColumnRenamed("__part", "__p").drop("__sum")
+    starts = small(materialise(starts))
     within = Window.partitionBy("__part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     own = dealt.withColumn("__own", F.coalesce(F.sum(n).over(within), F.lit(0)))
     met = own["__part"] == starts["__p"]
     for i, g in enumerate(group):
         met &= own[g].eqNullSafe(starts[f"__g{i}"])
-    return own.join(small(materialise(starts)), met).withColumn(into, F.col("__start") + F.col("__own")).select(*df.columns, into)
+    return own.join(starts, met).withColumn(into, F.col("__start") + F.col("__own")).select(*df.columns, into)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:

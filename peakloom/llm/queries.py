@@ -74,7 +74,7 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 _OP7 = r"""
-WITH docs AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
   md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS src FROM docs GROUP BY source),
 s1 AS (SELECT *, CAST(src % 3 + 1 AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS cap, CAST(sum(source_size) OVER () AS DOUBLE) AS total FROM s0),
@@ -82,13 +82,25 @@ s2 AS (SELECT *, cap / weight AS stop FROM s1),
 s3 AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY stop, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(weight) OVER (ORDER BY stop, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM s2),
 s4 AS (SELECT *, coalesce((SELECT lev FROM s3 AS x WHERE x.lev <= x.stop ORDER BY x.stop, x.src LIMIT 1), 0) AS level FROM s3),
-s AS (SELECT source, source_size, least(cap, level * weight) AS target, least(3 * source_size, CAST(floor(least(cap, level * weight) + 0.5) AS BIGINT)) AS words FROM s4),
-p AS (SELECT d.doc_id, d.size, s.source_size, s.target, s.words,
-  coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-  FROM docs d JOIN s ON s.source IS NOT DISTINCT FROM d.source)
-SELECT doc_id, size, source_size, target,
-  CAST(CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * size + greatest(0, least(size, words % source_size - place)) END AS BIGINT) AS taken
-FROM p
+s AS (SELECT source, src, source_size, least(cap, level * weight) AS target, least(3 * source_size, CAST(floor(least(cap, level * weight) + 0.5) AS BIGINT)) AS words FROM s4),
+k AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * blocks + ((words % source_size) + 1023) // 1024 END AS slots FROM (SELECT *, (source_size + 1023) // 1024 AS blocks FROM s)),
+total AS (SELECT CAST(coalesce(sum(slots), 0) AS BIGINT) AS total FROM k),
+parts AS (SELECT src, CAST(floor(CAST(cum - slots AS DOUBLE) / greatest(total, 1)::DOUBLE * 2147483648) AS BIGINT) AS lo, CAST(floor(CAST(cum AS DOUBLE) / greatest(total, 1)::DOUBLE * 2147483648) AS BIGINT) AS hi
+  FROM (SELECT *, sum(slots) OVER (ORDER BY src) AS cum FROM k), total),
+points AS (SELECT slot, ((slot % 2147483648) * 1327217885) % 2147483648 AS u FROM (SELECT unnest(range(total)) AS slot FROM total)),
+drawn AS (SELECT slot, src, row_number() OVER (PARTITION BY src ORDER BY slot) - 1 AS rank FROM points JOIN parts ON u >= lo AND u < hi),
+got AS (SELECT src, count(*) AS got FROM drawn GROUP BY src),
+short AS (SELECT src, unnest(range(coalesce(got, 0), slots)) AS rank FROM k LEFT JOIN got USING (src)),
+slots AS (SELECT slot, src, rank FROM drawn JOIN k USING (src) WHERE rank < slots
+  UNION ALL SELECT total + row_number() OVER (ORDER BY rank, src) - 1, src, rank FROM short, total),
+takes AS (SELECT slot, src, rank % blocks AS block, least(1024, source_size - (rank % blocks) * 1024, words - (rank // blocks) * source_size - (rank % blocks) * 1024) AS takes FROM slots JOIN k USING (src)),
+p AS (SELECT d.rid, d.doc_id, d.size, s.src, s.source_size, s.target,
+  CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size, d.rid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place
+  FROM docs d JOIN s ON s.source IS NOT DISTINCT FROM d.source),
+cut AS (SELECT rid, src, place, size, unnest(range(place // 1024, (place + size - 1) // 1024 + 1)) AS block FROM p WHERE size > 0),
+met AS (SELECT rid, slot, least(place + size, (block + 1) * 1024, block * 1024 + takes) - greatest(place, block * 1024) AS n FROM cut JOIN takes USING (src, block)),
+sums AS (SELECT rid, CAST(sum(n) AS BIGINT) AS taken, min(slot) AS first_slot, count(*) AS n_slots FROM met WHERE n > 0 GROUP BY rid)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, CAST(first_slot AS BIGINT) AS first_slot, coalesce(n_slots, 0) AS n_slots FROM p LEFT JOIN sums USING (rid)
 """
 
 _OP8 = r"""

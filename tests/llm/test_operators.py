@@ -10,6 +10,7 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from peakloom.llm import bpe, components, exact_dedup, licenses, media, mixing, ngram_join, quotes, secret_scan, toxicity, url_filter
 
@@ -284,8 +285,38 @@ def test_mixing(spark, monkeypatch):
     n = Counter(x.src for x in plan if x.slot < len(plan) // 2)
     for s in sources.collect():  # half of the schedule has about half of each source's slots
         assert abs(n[s.src] - s.slots / 2) <= 4
-    mixed = mixing.mix(docs)
-    assert mixed.columns == docs.columns and max(Counter(x.doc_id for x in mixed.collect()).values()) <= 3
+    mixed = mixing.mix(docs.withColumn("n_chars", F.length("text")))
+    assert mixed.columns == [*docs.columns, "n_chars"]
+    rows, words = mixed.collect(), Counter()
+    for x in rows:
+        words[x.doc_id] += len(x.text.split())
+        assert x.n_chars == len(x.text)
+    assert {x.doc_id: x.taken for x in got if x.taken} == words
+    # The rows come in the order of the slots, and a slot's words are those of its block of the source's stream.
+    order = {x.row: x for x in documents.collect()}
+    plan = sorted(mixing.schedule(documents, sources).collect(), key=lambda x: (x.slot, x.start))
+    assert [(order[x.row].doc_id, x.n_words) for x in plan] == [(x.doc_id, len(x.text.split())) for x in rows]
+    assert {x.doc_id: x.first_slot for x in got if x.taken} == {order[x.row].doc_id: x.slot for x in reversed(plan)}
+    assert Counter(order[x.row].doc_id for x in plan) == {x.doc_id: x.n_slots for x in got if x.taken}
+    # Another step of the schedule deals other slots.
+    monkeypatch.setattr(mixing, "GOLDEN", 3)
+    other = {x.doc_id: (x.first_slot, x.taken) for x in mixing.mixed_sizes(docs).collect()}
+    assert all(other[x.doc_id][1] == x.taken for x in got) and any(other[x.doc_id][0] != x.first_slot for x in got)
+
+
+def test_mixed_pieces_are_whole_texts_in_order(spark, monkeypatch):
+    """Long documents come in pieces, whose words in order are the document's; white space within a piece stays."""
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 7)
+    rows = [(i, "  ".join(f"w{i}_{j}\n" for j in range(n)) + " ", "s", i) for i, n in enumerate((50, 3, 0, 20, 1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot int")
+    got = mixing.mix(docs)
+    assert got.columns == docs.columns
+    pieces = {}
+    for x in got.collect():
+        pieces.setdefault(x.doc_id, []).append(x.text)
+    for i, text, _, _ in rows:
+        whole = [w for t in sorted(pieces.get(i, []), key=lambda t: int(t.split()[0].split("_")[1])) for w in t.split()]
+        assert whole == text.split() and all(t in text for t in pieces.get(i, []))
 
 
 def test_mixing_targets_stop_at_three_times(spark):
