@@ -79,7 +79,7 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def attach(df: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+def attach(df: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
     """Left join of df with groups (one row per non-null key, size = rows of df with that key).
 
     The rows of heavy keys meet a broadcast table of fewer than HEAVY_PARTS rows; the rest

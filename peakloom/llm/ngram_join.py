@@ -10,13 +10,14 @@ other bands joins the two.
 
 Groups are cut into blocks of about BLOCK representatives with sets of similar size; a task compares two blocks
 by a matrix product over the n-grams that at least two of its sets have. Two blocks whose sizes rule out the threshold are not
-compared. No pair is written out: tasks give counts of links and the edges of spanning forests.
+compared. A representative finds the comparisons of its block from the numbers of its group alone, so blocks aren't joined to each other, and
+a large group's rows never meet by its key (common.attach). No pair is written out: tasks give counts of links and the edges of spanning forests.
 
 Result, one row per document: doc_id, class_id (the least id of those linked to it, directly or through
 others), copy_id (the least id with an equal set), n_links (documents whose sets have at least the threshold's
 similarity with its own, copies included). Defined cases: a null text is an empty text; texts without words have an empty
-set and no links; doc_ids are whole numbers, rows with a null one have no links; rows that repeat an id count as copies;
-an empty table gives an empty result; other columns are not read.
+set and no links; doc_ids are whole numbers, rows with a null one have no links; rows that repeat an id are documents of their own,
+with equal or different texts; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def signatures(offsets: np.ndarray, hashes: np.ndarray, bands: int, rows: int) -
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """doc_id, fp (of the set, null if it is empty), size, bands."""
+    """doc_id, fp (of the set, null if it is empty), size, bands (by which sets are found)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngrams")
@@ -122,19 +123,18 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, bands: int, rows:
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, ...) with grams, the set's hashes as bytes, in place of text."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    """docs (node, fp, text), those with the fingerprint: node and grams, the set's hashes as bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngrams")
-        for batch in slices(batches, most=TEXT):
-            offsets, hashes = ngrams(batch.column(1))
+        for batch in slices(batches, column=2, most=TEXT):
+            offsets, hashes = ngrams(batch.column(2))
             grams = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary()), *batch.columns[2:]], ["doc_id", "grams", *others])
+            own = [xxhash.xxh3_128_digest(g) == fp for g, fp in zip(grams, batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["node", "grams"]).filter(pa.array(own, pa.bool_()))
         release()
 
-    form = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others)
-    return map_arrow(docs.select("doc_id", "text", *others), run, f"doc_id long, grams binary{', ' if form else ''}{form}")
+    return map_arrow(docs.select("node", "fp", "text"), run, "node long, grams binary")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
@@ -171,7 +171,7 @@ def compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     sides = [group[group.side == s] for s in (0, 1)]
     alone = sides[1].empty
     if sides[0].empty:
-        return pd.DataFrame({"doc_id": group.doc_id, "links": 0, "parent": group.doc_id})
+        return pd.DataFrame({"node": group.node, "links": 0, "parent": group.node})
     a = sides[0]
     b = a if alone else sides[1]
     grams = [[np.frombuffer(x, np.uint64) for x in s.grams] for s in ((a,) if alone else (a, b))]
@@ -180,8 +180,8 @@ def compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     linked = both >= threshold * (na[:, None] + nb[None, :] - both) - 1e-6
     if alone:
         np.fill_diagonal(linked, False)
-    ids = np.unique(np.concatenate([a.doc_id, b.doc_id]))
-    at = [np.searchsorted(ids, s.doc_id.to_numpy()) for s in (a, b)]
+    ids = np.unique(np.concatenate([a.node, b.node]))
+    at = [np.searchsorted(ids, s.node.to_numpy()) for s in (a, b)]
     links = np.zeros(len(ids), np.int64)
     links[at[0]] += linked @ b.copies.to_numpy()
     if not alone:
@@ -195,53 +195,72 @@ def compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
         np.minimum.at(root, high, low)
         while (root != root[root]).any():
             root = root[root]
-    return pd.DataFrame({"doc_id": ids, "links": links, "parent": ids[root]})
+    return pd.DataFrame({"node": ids, "links": links, "parent": ids[root]})
+
+
+def classes_of(prints: DataFrame) -> DataFrame:
+    """The classes of equal sets: fp, node (the number of the row that stands for it), rep (the least doc_id), copies."""
+    usable = prints.filter("fp is not null and doc_id is not null")
+    return usable.groupBy("fp").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.count("*").alias("copies")).select("fp", F.col("least.row").alias("node"), F.col("least.doc_id").alias("rep"), "copies")
+
+
+def candidates(reps: DataFrame) -> DataFrame:
+    """(node, comp): groups of representatives (node, bands) that share band hashes, directly or through others; only of two or more."""
+    hashes = reps.select("node", F.posexplode("bands").alias("band", "h"))
+    shared = hashes.groupBy("band", "h").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    n = (shared := materialise(shared)).count()
+    stars = hashes.join(F.broadcast(shared), ["band", "h"]) if n <= BROADCAST_ROWS else attach(hashes, shared, ["band", "h"], "n", hashes.count())
+    edges = stars.filter("node <> least").select("node", "least").distinct()
+    return components(edges, "node", "least").select(F.col("node"), F.col("component").alias("comp"))
+
+
+def comparisons(members: DataFrame, threshold: float, total: int) -> DataFrame:
+    """(node, copies, pair, side) of members (node, copies, size, comp): a row for each comparison that a block takes part in.
+
+    A set links only to sets of its own class of sizes or the next ones. The numbers of a group's members by class are a small map; from it each
+    member knows the blocks of its own class and of its neighbours.
+    """
+    step = -math.log(threshold)
+    rows = materialise(members.withColumn("sizes", F.floor(F.log("size") / step + 1e-9).cast("int")))
+    counts = rows.groupBy("comp", "sizes").agg(F.count("*").alias("n"))
+    groups = materialise(counts.groupBy("comp").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("sizes", "n"))).alias("by")))
+    met = attach(rows, groups, "comp", "all", total)
+    blocks = lambda at: F.coalesce(F.expr(f"cast((by[sizes + {at}] + {BLOCK - 1}) div {BLOCK} as int)"), F.lit(0))
+    met = met.withColumns({"before": blocks(-1), "own": blocks(0), "after": blocks(1)}).withColumn("block", F.pmod(F.xxhash64("node"), F.col("own")).cast("int"))
+    small_group = F.col("all") <= BLOCK
+    upto = lambda a, b: f"if({b} >= {a}, sequence({a}, {b}), array())"
+    pair = "concat_ws(':', comp, {}, {}, {}, {})"
+    first = F.expr(f"transform({upto('block', 'own - 1')}, b -> struct({pair.format('sizes', 'block', 'sizes', 'b')} as pair, 0 as side))")
+    second = F.expr(f"transform({upto('0', 'block - 1')}, b -> struct({pair.format('sizes', 'b', 'sizes', 'block')} as pair, 1 as side))")
+    larger = F.expr(f"transform({upto('0', 'after - 1')}, b -> struct({pair.format('sizes', 'block', 'sizes + 1', 'b')} as pair, 0 as side))")
+    lesser = F.expr(f"transform({upto('0', 'before - 1')}, b -> struct({pair.format('sizes - 1', 'b', 'sizes', 'block')} as pair, 1 as side))")
+    whole = F.expr("array(struct(concat_ws(':', comp) as pair, 0 as side))")
+    every = F.when(small_group, whole).otherwise(F.concat(first, second, larger, lesser))
+    return met.select("node", "copies", F.explode(every).alias("x")).select("node", "copies", "x.pair", "x.side")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id, copy_id, n_links."""
     bands, rows = bands_for(threshold, recall)
-    prints = materialise(fingerprints(docs, id_col, text_col, bands, rows))
+    prints = materialise(fingerprints(docs, id_col, text_col, bands, rows).withColumn("row", F.monotonically_increasing_id()))
     total = prints.count()
-    usable = prints.filter("fp is not null and doc_id is not null")
-    classes = materialise(usable.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    own = attach(prints.select("doc_id", "fp", "size", "bands"), classes, "fp", "copies", total)
-    own = own.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep")))
-    # One row per class: if rows repeat an id that has several texts, the classes of that id are one node.
-    reps = materialise(own.filter("doc_id = rep").groupBy("fp").agg(F.min("rep").alias("doc_id"), F.first("copies").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")))
-    hashes = reps.select("doc_id", F.posexplode("bands").alias("band", "h"))
-    shared = hashes.groupBy("band", "h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    n_shared = (shared := materialise(shared)).count()
-    shared = F.broadcast(shared) if n_shared <= BROADCAST_ROWS else shared
-    stars = hashes.join(shared, ["band", "h"]).filter("doc_id <> least").select("doc_id", "least").distinct()
-    groups = materialise(components(stars, "doc_id", "least").withColumnsRenamed({"node": "doc_id", "component": "comp"}))
-    # A set links only to sets of its own or the next class of sizes.
-    step = -math.log(threshold)
-    members = groups.join(reps.select("doc_id", "copies", "size"), "doc_id").withColumn("sizes", F.floor(F.log("size") / step + 1e-9).cast("int"))
-    counts = members.groupBy("comp", "sizes").agg(F.count("*").alias("n")).withColumn("blocks", F.expr(f"cast(ceil(n / {BLOCK}) as int)"))
-    members = members.join(counts.select("comp", "sizes", "blocks"), ["comp", "sizes"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    members = materialise(members.select("comp", "doc_id", "copies", "sizes", "block"))
-    lot = materialise(members.select("comp", "sizes", "block").distinct())
-    per = lot.groupBy("comp").agg(F.count("*").alias("lots"))
-    few = members.join(per.filter("lots <= 4"), "comp").groupBy("comp").agg(F.count("*").alias("n")).filter(f"n <= {BLOCK}").select("comp")
-    one = members.join(few, "comp", "left_semi").select("comp", "doc_id", "copies", F.concat_ws(":", "comp").alias("pair"), F.lit(0).alias("side"))
-    others = members.join(few, "comp", "left_anti")
-    lots = lot.join(few, "comp", "left_anti")
-    second = lots.select("comp", F.col("sizes").alias("s2"), F.col("block").alias("b2"))
-    pairs = lots.join(second, "comp").filter("(s2 = sizes and b2 >= block) or s2 = sizes + 1")
-    pair = F.concat_ws(":", "comp", "sizes", "block", "s2", "b2").alias("pair")
-    ends = pairs.select("comp", "sizes", "block", pair, F.lit(0).alias("side")).unionByName(pairs.filter("s2 <> sizes or b2 <> block").select("comp", F.col("s2").alias("sizes"), F.col("b2").alias("block"), pair, F.lit(1).alias("side")))
-    many = others.join(ends, ["comp", "sizes", "block"]).select("comp", "doc_id", "copies", "pair", "side")
+    classes = materialise(classes_of(prints))
+    reps = materialise(prints.join(classes.select(F.col("node").alias("row"), "copies"), "row").select(F.col("row").alias("node"), "doc_id", "fp", "copies", "size", "bands"))
+    groups = materialise(candidates(reps))
+    members = materialise(groups.join(reps.select("node", "doc_id", "fp", "copies", "size"), "node"))
+    # The members' sets are made again from their texts, found by id and fingerprint, as rows may repeat an id.
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    wanted = members.select("doc_id", "copies")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    grams = materialise(sets_of(texts.join(wanted, "doc_id")).filter("length(grams) > 0").dropDuplicates(["doc_id"]).select("doc_id", "grams"))
-    tasks = one.unionByName(many).join(grams, "doc_id").select("pair", "side", "doc_id", "copies", "grams")
-    found = materialise(tasks.groupBy("pair").applyInPandas(lambda g: compare(g, threshold), "doc_id long, links long, parent long"))
-    links = found.groupBy("doc_id").agg(F.sum("links").alias("links"))
-    merged = components(found.filter("doc_id <> parent").select("doc_id", "parent"), "doc_id", "parent")
-    final = classes.select("fp", F.col("rep"), "copies").join(links.withColumnRenamed("doc_id", "rep"), "rep", "left").join(merged.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    final = materialise(final.select("fp", "rep", "copies", F.coalesce("component", "rep").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
+    grams = materialise(sets_of(texts.join(small(members.select("doc_id", "node", "fp")), "doc_id")).dropDuplicates(["node"]))
+    tasks = comparisons(members.select("node", "copies", "size", "comp"), threshold, total).join(grams, "node").select("pair", "side", "node", "copies", "grams")
+    found = materialise(tasks.groupBy("pair").applyInPandas(lambda g: compare(g, threshold), "node long, links long, parent long"))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    merged = materialise(components(found.filter("node <> parent").select("node", "parent"), "node", "parent"))
+    # A class is named by the least id of its members, which needn't be that of its least node.
+    ids = merged.join(classes.select("node", "rep"), "node")
+    names = ids.groupBy("component").agg(F.min("rep").alias("class"), F.count("*").alias("n"))
+    named = attach(ids, materialise(names), "component", "n", total).select("node", "class")
+    final = classes.join(links, "node", "left").join(named, "node", "left")
+    final = materialise(final.select("fp", "rep", "copies", F.coalesce("class", "rep").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
     result = attach(prints.select("doc_id", "fp"), final, "fp", "copies", total)
     real = F.col("doc_id").isNotNull()
     return result.select("doc_id", F.when(real, F.coalesce("class", "doc_id")).alias("class_id"), F.when(real, F.coalesce("rep", "doc_id")).alias("copy_id"), F.when(real, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))

@@ -129,6 +129,33 @@ def test_near_duplicates_odd(spark):
     assert ngram_join.near_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that repeat an id with different texts are documents of their own."""
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, a), (4, "other words"), (4, "other words")]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.copy_id, r.n_links) for r in got) == [(1, 1, 1, 1), (1, 1, 1, 2), (2, 1, 2, 2), (3, 1, 3, 1), (4, 1, 1, 2), (4, 4, 4, 1), (4, 4, 4, 1)]
+
+
+def test_near_duplicates_in_a_hot_group(spark, monkeypatch):
+    """A group of different near copies that is most of the table, with every join beyond the broadcast bound and hot keys split off."""
+    from peakloom.llm import common, components
+
+    for module in (common, ngram_join):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    base = [f"v{i}" for i in range(60)]
+    rows = [(i, " ".join(w if j != i % 55 else f"x{i}" for j, w in enumerate(base))) for i in range(150)] + [(1000 + i, " ".join(f"z{i}_{j}" for j in range(i % 20))) for i in range(60)]
+    plain = {i: v for i, v in brute_links(rows, 0.7).items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (4096, 1):  # with one part a key is heavy from 1,001 rows or all of them on
+        monkeypatch.setattr(common, "HEAVY_PARTS", part)
+        assert {x.doc_id: (x.class_id, x.n_links) for x in ngram_join.near_duplicates(docs, threshold=0.7).collect()} == plain
+    members = spark.createDataFrame([(i, 1, 60, 7) for i in range(300)], "node long, copies long, size long, comp long")
+    met = ngram_join.comparisons(members, 0.8, 300).groupBy("pair").agg(F.count("*").alias("n")).collect()
+    assert len(met) == 19 * 20 // 2 and max(x.n for x in met) < 100
+
+
 def test_bands():
     b, r = ngram_join.bands_for(0.8, 0.999)
     assert 1 - (1 - 0.8**r) ** b >= 0.999 > 1 - (1 - 0.8**r) ** (b - 1)
