@@ -1,11 +1,18 @@
 """Secret scans: assignment-aware lexing of source and configuration syntax.
 
-Three base patterns give the spans `assign`, `access` and `hex`. Around every = and : the lexer reads a name on the left and a
-literal on the right (quoted, or bare as in configuration files): name-literal pairs. A declared type between them
-(`name: type =`, `var name type =`) is passed over. A right side that is
-a name takes the literal of that name from the last assignment before it (constants propagate, also along
-chains and + concatenations). A pair is scored by its name's sensitive words and its literal's
-length, mix of characters and entropy; literals that score at least THRESHOLD are spans `lexed`.
+Three base patterns give the spans `assign`, `access` and `hex`. The lexer reads the islands of syntax that pair a name with a
+literal, wherever they stand (code, configuration, comments, prose):
+- assignments and entries: a name, = or :, and a literal (quoted, or bare as in configuration files), with a declared type between
+  them (`name: type =`, `var name type =`) passed over, and + concatenations;
+- arguments: a quoted name, a comma and a quoted literal (`setenv("NAME", "literal")`, `put("name", "literal")`);
+- elements: `<name>literal</name>`, and attributes or neighbouring entries `name="NAME" value="literal"` (also key, id and content).
+A right side that is a name takes the literal of that name from the last assignment before it (constants propagate, also along
+chains and + concatenations). What stands for a value isn't a literal: references (`${X}`, `%X%`, `$X`, `{{ x }}`, `os.environ[...]`, `f(...)`, `settings.SECRET`)
+and placeholders (`changeme`, `<your password>`, `****`).
+
+A pair is scored by its name's sensitive words and its literal's length, mix of characters and entropy; literals that score at least
+THRESHOLD are spans `lexed`. Names are split into words at separators and changes of case; a word counts whole, and the unmistakable ones (JOINED) also
+at the end of a word (`dbpassword`), so `author`, `secretary` and `tokenizer` don't.
 
 Spans are code points, end exclusive. Defined cases: a null text is an empty text without spans; literals are read
 with escapes up to their own closing quote: triple and backtick quotes across lines, others across lines if what follows the quote ends an
@@ -20,6 +27,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,8 +43,10 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 KINDS = ("assign", "access", "hex", "lexed")
 ASSIGN_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-#: How sensitive a word in a name is.
+#: How sensitive a name's words are; those of several words stand next to each other.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 0.9, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "api_key": 1.0, "credential": 0.9, "private_key": 1.0, "access_key": 0.9, "auth": 0.6, "bearer": 0.8, "signature": 0.6, "salt": 0.6}
+#: Words that count at the end of a longer word too.
+JOINED = ("password", "passwd", "passphrase", "apikey", "secret", "token", "credential")
 THRESHOLD = 0.55
 NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_$.-")
 QUOTE = re.compile(r"""[^\S\n]*("{3}|'{3}|["'`])""")
@@ -59,6 +69,17 @@ def _type() -> str:
 #: A declared type and the = after it. Without white space before the = only a quoted literal may follow.
 TYPE = re.compile(_type() + r"""(?:[^\S\n]++=(?![=>])|=(?=[^\S\n]*+["'`]))""")
 MORE = re.compile(r"[^\S\n]*\+")
+#: A quoted name before a comma; elements; attributes.
+ARGUMENT = re.compile(r"""(["'`])([A-Za-z_$][\w$.-]*+)\1[^\S\n]*+,(?=[^\S\n]*+["'`])""")
+ELEMENT = re.compile(r"<([A-Za-z_][\w:.-]*+)(?:\s[^<>]*+)?>([^<>]++)</")
+OPENING = re.compile(r"<[A-Za-z_][^<>]*+>")
+ATTRIBUTE = re.compile(r"""([A-Za-z_][\w:.-]*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)')""")
+NAMING, VALUING = ("name", "key", "id"), ("value", "content")
+#: What stands for a value.
+REFERENCE = re.compile(r"\$\{[^}]*\}|\$\([^)]*\)|\$[A-Za-z_]\w*|%\(?\w+\)?[%s]?|\{\{.*\}\}|\{\w*\}|@\w+@|&\w+|\*\w+", re.DOTALL)
+PLACEHOLDER = re.compile(r"<[^>]*>|\[[^\]]*\]|(.)\1*|(?:your|my|some|enter|insert|put|the)[-_ ].*|.*[-_ ](?:here|goes[-_ ]here)|change[-_ ]?me.*|todo.*|fixme.*|redacted|placeholder|example|none|null|nil|true|false|undefined|required|optional|string|x{3,}.*", re.IGNORECASE | re.DOTALL)
+PATH = re.compile(r"[A-Za-z_$][\w$]*(?:(?:\.|::|->)[A-Za-z_$][\w$]*)*", re.ASCII)
+CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+|[^\W_A-Za-z0-9]+")
 IDENTIFIER = re.compile(r"[A-Za-z_$][\w$.]*\Z", re.ASCII)
 SIGN = re.compile(r"[:=]")
 HEX_AS_ONE = bytes(49 if chr(b) in "0123456789abcdef" else 48 for b in range(256))
@@ -76,9 +97,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def words_of(name: str) -> list[str]:
+    """A name's words, in lower case, without a plural's s."""
+    words = [w.lower() for w in CAMEL.findall(name)]
+    return [w[:-1] if len(w) > 4 and w.endswith("s") and not w.endswith("ss") else w for w in words]
+
+
+@lru_cache(maxsize=4096)
 def name_score(name: str) -> float:
-    words = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower().replace("-", "_").replace(".", "_")
-    return max((s for w, s in SENSITIVE.items() if w in words or w.replace("_", "") in words.replace("_", "")), default=0.0)
+    """How sensitive a name is: by its most sensitive words."""
+    words = words_of(name)
+    around = f"_{'_'.join(words)}_"
+    best = max((s for w, s in SENSITIVE.items() if f"_{w}_" in around), default=0.0)
+    return max(best, max((SENSITIVE[j] for j in JOINED for w in words if w.endswith(j)), default=0.0))
+
+
+def stands_for_another(text: str, span: tuple[int, int], bare: bool) -> bool:
+    """Whether what is at a literal's place is a reference or a placeholder."""
+    value = text[slice(*span)].strip()
+    if REFERENCE.fullmatch(value) or PLACEHOLDER.fullmatch(value):
+        return True
+    if not bare:
+        return False
+    if text[span[1] : span[1] + 1] in ("(", "[") or value[:1] in "$%&*@<":
+        return True
+    return bool(PATH.fullmatch(value)) and not any(c.isdigit() for c in value) and (any(x in value for x in (".", "::", "->")) or name_score(value) > 0)
 
 
 def literal_score(value: str) -> float:
@@ -162,20 +205,61 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[st
             yield from ((name, spans, names) for name in known)
 
 
+def arguments(text: str) -> Iterator[tuple[str, tuple[int, int]]]:
+    """(name, span) of quoted literals that follow a quoted name and a comma."""
+    for m in ARGUMENT.finditer(text):
+        if found := literal_at(text, m.end()):
+            value = text[slice(*found[0])]
+            if not value.isalpha():  # two words in a list, not a name and its literal
+                yield m[2], found[0]
+
+
+def elements(text: str) -> Iterator[tuple[str, tuple[int, int]]]:
+    """(name, span) of the elements that hold a literal alone, and of attributes value beside attributes that name it."""
+    if "<" not in text:
+        return
+    for m in ELEMENT.finditer(text):
+        if text.startswith(f"{m[1]}>", m.end()):
+            inner = m[2].strip()
+            start = m.start(2) + m[2].find(inner) if inner else m.start(2)
+            yield m[1], (start, start + len(inner))
+    for tag in OPENING.finditer(text):
+        named, value = None, None
+        for m in ATTRIBUTE.finditer(text, tag.start(), tag.end()):
+            which = 2 if m[2] is not None else 3
+            named = m[which] if m[1].lower() in NAMING else named
+            value = m.span(which) if m[1].lower() in VALUING else value
+        if named and value:
+            yield named, value
+
+
 def lexed_spans(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name."""
-    if ":" not in text and "=" not in text:
-        return []
+    low = text.lower()
+    if not any(w.rpartition("_")[2] in low for w in SENSITIVE):
+        return []  # no name here can be sensitive
     constants: dict[str, list[tuple[int, int]]] = {}
-    out = set()
-    for name, spans, names in assignments(text):
-        own = [s for part in spans for s in (constants[text[slice(*part)]] if text[slice(*part)] in names and text[slice(*part)] in constants else [part])]
-        constants[name] = own = list(dict.fromkeys(own))  # a name that is added to itself would double
+    out: set[tuple[int, int]] = set()
+
+    def judge(name: str, spans: list[tuple[int, int]]) -> None:
         score = name_score(name)
-        if score:
-            whole = "".join(text[a:b] for a, b in own)
-            if score * literal_score(whole) >= THRESHOLD:
-                out.update((a, b) for a, b in own if b > a)
+        if score and score * literal_score("".join(text[a:b] for a, b in spans)) >= THRESHOLD:
+            out.update((a, b) for a, b in spans if b > a)
+
+    if ":" in text or "=" in text:
+        before, named = "", ""  # the last entry's name, and its value if it is a name for the next entry
+        for name, spans, names in assignments(text):
+            parts = [p for p in spans if not stands_for_another(text, p, text[p[0] - 1 : p[0]] not in ("'", '"', "`")) or text[slice(*p)] in constants]
+            own = [s for part in parts for s in (constants[text[slice(*part)]] if text[slice(*part)] in names and text[slice(*part)] in constants else [part])]
+            constants[name] = own = list(dict.fromkeys(own))  # a name that is added to itself would double
+            judge(name, own)
+            last = name.lower().rpartition(".")[2]
+            if last in VALUING and before in NAMING:
+                judge(named, own)
+            before, named = last, "".join(text[a:b] for a, b in spans)
+    for name, span in (*arguments(text), *elements(text)):
+        if name_score(name) and not stands_for_another(text, span, False):
+            judge(name, [span])
     return sorted(out)
 
 

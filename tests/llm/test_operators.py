@@ -503,11 +503,55 @@ def test_every_sensitive_word_can_be_reached(word):
 
 def test_lexing_is_linear():
     began = time.process_time()
-    for bit in ("a[|", "a: b[<", "a=", "a = '\n", "a: b|", 'x = "\\"', "a: `", "= ", "a: b<c>|"):
+    for bit in ("<a>", "<a b='c'", '<a>b</b>', 'f("a", "b"', 'token("a",', "password = <", "a[|", "a: b[<", "a=", "a = '\n", "a: b|", 'x = "\\"', "a: `", "= ", "a: b<c>|"):
         secret_scan.lexed_spans(bit * 30_000)
     assert time.process_time() - began < 30
 
 
+SENSITIVE_NAMES = ["password", "DB_PASSWORD", "dbPassword", "api-key", "apiKey", "client_secret", "authToken", "privateKey", "aws.secret.access_key", "passphrase"]
+HARMLESS_NAMES = ["author", "secretary", "tokenizer", "passenger", "keyboard", "compass", "title", "user_name", "authority", "saltwater"]
+FORMS = [
+    '{n} = "{v}"', "{n} = '{v}';", "{n}: {v}\n", "{n}={v}\n", 'export {n}="{v}"', '"{n}": "{v}",', "const {n} = `{v}`;", '{n} := "{v}"', '{n} => "{v}"', '# {n} = "{v}"', '// {n}: "{v}"', "/* {n} = '{v}' */", "<!-- {n}: {v} -->",
+    'setenv("{n}", "{v}", 1);', "os.environ.setdefault('{n}', '{v}')", 'props.put("{n}", "{v}");', "<{n}>{v}</{n}>", '<add key="{n}" value="{v}"/>', "- name: {n}\n  value: {v}\n", '{{"name": "{n}", "value": "{v}"}}', '{n} = """{v}"""', 'a = "{v}"\n{n} = a\n',
+    'static final String {n} = "{v}";', "[section]\n{n} = {v}\n", 'it\'s {n}: "{v}" here',
+]
+OTHERS = ["${DB_VALUE}", "$DB_VALUE", "%DB_VALUE%", "{{ vault.value }}", "<your value>", "changeme", "********", "your-value-here", "xxxxxxxxxxxx", "REDACTED"]
+CALLS = ['{n} = os.environ["VALUE_2"]', "{n} = getpass('Enter 2')", "{n} = settings.SOME_VALUE", "{n}: process.env.VALUE_TOKEN", "{n} = read(path)[1]", '["{n}", "username", "email"]', "if {n} == other:", "def f({n}, x): ..."]
+
+
+def snippet(form, name, value):
+    plain = ("-" in name or "." in name) and form.startswith(("<{n}", "const", "static", "{n} :="))
+    return form.replace("{n}", name.replace("-", "_").replace(".", "_") if plain else name).replace("{{", "{").replace("}}", "}").replace("{v}", value)
+
+
+def test_snippets_of_source_and_configuration():
+    """Every form with every sensitive name gives its literal, none with a harmless name, a reference or a placeholder."""
+    n = 0
+    for form, name in itertools.product(FORMS, SENSITIVE_NAMES):
+        for value in ("Zk9fQ2xPw7Lm4Tt1", "t0p-S3cret_V4lue"):
+            text = snippet(form, name, value)
+            assert [text[a:b] for a, b in secret_scan.lexed_spans(text)] == [value], text
+            n += 1
+    for form, name in itertools.product(FORMS, HARMLESS_NAMES):
+        text = snippet(form, name, KEY)
+        assert not secret_scan.lexed_spans(text), text
+        n += 1
+    for form, name, value in itertools.product(FORMS, SENSITIVE_NAMES[:3], OTHERS):
+        if "{v}" in form and not (value.startswith("<") and "<" in form):
+            text = form.replace("{n}", name).replace("{{", "{").replace("}}", "}").replace("{v}", value)
+            assert not secret_scan.lexed_spans(text), text
+            n += 1
+    for form, name in itertools.product(CALLS, SENSITIVE_NAMES):
+        assert not secret_scan.lexed_spans(form.replace("{n}", name)), (form, name)
+        n += 1
+    assert n >= 200
+
+
+@pytest.mark.parametrize(("name", "sensitive"), [("author", False), ("secretary", False), ("tokenizer", False), ("basalt", False), ("salt", True), ("apiSecret", True), ("APIKey", True), ("dbpassword", True), ("PASSWORDS", True), ("my.private.key", True), ("privateer_keys", False), ("", False)])
+def test_names_are_taken_by_words(name, sensitive):
+    assert bool(secret_scan.name_score(name)) == sensitive
+
+
 def test_slices_cover_all_rows():
     from peakloom.llm.common import slices
 
