@@ -32,8 +32,8 @@ BLOCK_WORDS = 1024
 CHUNK = 1 << 14
 #: The golden ratio's fractional part times 2**31, made odd: i * GOLDEN modulo 2**31 runs through all points.
 POINTS, GOLDEN = 1 << 31, 1327217885
-#: Words of a source that are ordered in one task, about, and rows of them.
-PART_ROWS = 100_000
+#: A source of all rows would have at most a sixteenth of this many in a part of its order.
+PART_ROWS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
