@@ -39,8 +39,8 @@ PREFIXES = (4, 5)
 PRIOR, PRIOR_WEIGHT = 0.5, 10.0
 ODDS_LEAST = 3.5
 TOLERATED = 0.005
-#: Bounds of the model: labelled documents that it learns from, and features that it keeps.
-MAX_TRAINING, MAX_FEATURES = 400_000, 200_000
+#: The bound of the model: labelled documents that it learns from, whose words bound its features.
+MAX_TRAINING = 400_000
 FOLDS = 5
 WORDS = re.compile(r"[^\W_]+")
 
@@ -103,7 +103,7 @@ def chance(parts: list[tuple[int, int, float]], n: int, scale: float, k: float)
         return 1.0
     size = math.log(max(k * n, 1e-9))
     least, total = 1.0, 0.0
-    for r, s in enumerate(sorted((p[2] for p in parts), reverse=True)[:64], 1):
+    for r, s in enumerate(sorted((p[2] for p in parts), reverse=True), 1):
         total += scale * s - size
         if r == 1:
             p = -math.expm1(-math.exp(min(-total, 50.0)))
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
     n = F.col("clean") + F.col("toxic")
     g = 2 * sum(F.when(y > 0, y * F.log(y / (n * share))).otherwise(0.0) for y, share in ((F.col("toxic"), base), (F.col("clean"), 1 - base)))
     scored = counts.filter(~F.col("feature").isin("", " ") & (F.col("toxic") > 1)).select("feature", "clean", "toxic", delta.alias("s"), g.alias("z")).filter((F.col("s") >= ODDS_LEAST) & (F.col("z") >= 2 * many))
-    kept = scored.orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect()
+    kept = scored.orderBy(F.desc("z"), "feature").collect()
     features = {r.feature: r.s for r in kept}
     words = [r for r in kept if not r.feature.endswith("*")] or kept
     q, p = sum(r.toxic for r in words) / max(n1, 1), sum(r.clean for r in words) / max(n0, 1)
