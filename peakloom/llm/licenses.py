@@ -29,14 +29,22 @@ from .common import map_arrow, slices
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 #: More notices, in words.
 NOTICES = {
-    "gnu affero general public license": "agpl", "gnu lesser general public license": "lgpl", "gnu general public license": "gpl", "mozilla public license": "mpl",
-    "eclipse public license": "epl", "redistribution and use in source and binary forms": "bsd", "bsd 3 clause": "bsd", "bsd 2 clause": "bsd", "permission is hereby granted free of charge": "mit",
-    "the unlicense": "unlicense", "creative commons attribution noncommercial": "cc-by-nc", "creative commons attribution sharealike": "cc-by-sa", "creative commons attribution": "cc-by", "all rights reserved": "proprietary",
+    "gnu affero general public license": "agpl", "gnu lesser general public license": "lgpl", "gnu library general public license": "lgpl", "gnu general public license": "gpl", "mozilla public license": "mpl", "eclipse public license": "epl",
+    "common development and distribution license": "cddl", "european union public licence": "eupl", "redistribution and use in source and binary forms": "bsd", "bsd 3 clause": "bsd", "bsd 2 clause": "bsd", "permission is hereby granted free of charge": "mit",
+    "permission to use copy modify and or distribute this software": "isc", "boost software license": "bsl", "zlib license": "zlib", "sil open font license": "ofl", "artistic license": "artistic", "python software foundation license": "psf",
+    "the unlicense": "unlicense", "dedicated to the public domain": "public-domain", "creative commons zero": "cc0", "creative commons attribution noncommercial": "cc-by-nc", "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noderivatives": "cc-by-nd", "creative commons attribution": "cc-by", "all rights reserved": "proprietary", "confidential and proprietary": "proprietary",
 }
 TAG = "spdx license identifier"
 #: How identifiers start, and their label; the first that fits.
-IDENTIFIERS = {"mit": "mit", "apache-2": "apache-2", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa", "cc-by": "cc-by", "cc0": "cc0", "agpl": "agpl", "lgpl": "lgpl", "gpl": "gpl", "mpl": "mpl", "epl": "epl", "bsd": "bsd", "unlicense": "unlicense", "isc": "isc"}
-RESTRICTION = {"cc0": 0.05, "unlicense": 0.05, "mit": 0.1, "isc": 0.1, "bsd": 0.1, "apache-2": 0.15, "cc-by": 0.2, "mpl": 0.4, "epl": 0.4, "lgpl": 0.5, "cc-by-sa": 0.6, "gpl": 0.7, "agpl": 0.8, "cc-by-nc": 0.9, "proprietary": 1.0}
+IDENTIFIERS = {
+    "mit": "mit", "apache-2": "apache-2", "cc-by-nc": "cc-by-nc", "cc-by-nd": "cc-by-nd", "cc-by-sa": "cc-by-sa", "cc-by": "cc-by", "cc0": "cc0", "agpl": "agpl", "lgpl": "lgpl", "gpl": "gpl", "mpl": "mpl", "epl": "epl", "eupl": "eupl", "cddl": "cddl",
+    "bsd": "bsd", "bsl": "bsl", "unlicense": "unlicense", "isc": "isc", "zlib": "zlib", "ofl": "ofl", "artistic": "artistic", "psf": "psf",
+}
+RESTRICTION = {
+    "public-domain": 0.0, "cc0": 0.05, "unlicense": 0.05, "mit": 0.1, "isc": 0.1, "bsd": 0.1, "bsl": 0.1, "zlib": 0.1, "psf": 0.15, "apache-2": 0.15, "cc-by": 0.2, "ofl": 0.3, "artistic": 0.3, "mpl": 0.4, "epl": 0.4, "cddl": 0.4, "eupl": 0.5, "lgpl": 0.5,
+    "cc-by-sa": 0.6, "gpl": 0.7, "agpl": 0.8, "cc-by-nd": 0.9, "cc-by-nc": 0.9, "proprietary": 1.0,
+}
 UNKNOWN = 0.5
 #: Bytes that end words become spaces, A-Z become a-z.
 LETTERS = bytes(b if b >= 0x80 or chr(b).isalnum() and not chr(b).isupper() else b + 32 if chr(b).isupper() else 32 for b in range(256))
