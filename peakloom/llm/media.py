@@ -1,12 +1,13 @@
 """Media columns: ISO media containers, written, walked and read back without decoding.
 
 pack() stores a payload as the samples (SAMPLE bytes each) of one raw 8-bit audio track: ftyp, moov with nested
-boxes down to the sample tables, mdat. inspect() walks the boxes of any such file, decodes the
-sample tables and gives codec, duration, number of samples and the byte range of each keyframe's run of
-samples. unpack() joins the samples' bytes. Sizes over 32 bits take the long forms (64-bit box sizes, co64).
+boxes down to the sample tables, mdat. tracks() walks the boxes of any such file, decodes each track's
+sample tables and gives codec, duration, number of samples and the byte range and time of each keyframe's run of
+samples; inspect() is its first track. unpack() joins the samples' bytes. Sizes over 32 bits take the long forms (64-bit box sizes, co64).
 
 Defined cases: a null payload is an empty one; payloads are padded with zero bytes to a positive multiple of 64;
-a box that runs past its parent or a file without a sample table raises ValueError; rows are independent,
+a box that runs past its parent, nesting over DEEPEST, a file or track without sample tables, and tables that disagree or claim more
+samples than the file has bytes raise ValueError; rows are independent,
 so ties, repeated rows and other columns don't matter; equal texts give equal files.
 """
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices
 
 SAMPLE, CHUNK, KEYFRAME, TIMESCALE = 64, 1024, 16, 8000
+DEEPEST = 16
 CONTAINERS = frozenset([b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf"])
 UNITY = struct.pack(">9i", 0x10000, 0, 0, 0, 0x10000, 0, 0, 0, 0x40000000)
 
@@ -80,12 +82,16 @@ def pack(payload: bytes) -> bytes:
 def boxes(data: memoryview, start: int = 0, stop: int | None = None, inside: bytes = b"") -> Iterator[tuple[bytes, int, int]]:
     """(path like moov/trak, start and stop of the body) of every box, parents first."""
     stop = len(data) if stop is None else stop
+    if inside.count(b"/") >= DEEPEST:
+        raise ValueError("boxes are nested too deep")
     while start < stop:
         if stop - start < 8:
             raise ValueError("a box is cut off")
         size, kind = struct.unpack_from(">I4s", data, start)
         head = 8
         if size == 1:
+            if stop - start < 16:
+                raise ValueError("a box is cut off")
             (size,), head = struct.unpack_from(">Q", data, start + 8), 16
         size = size or stop - start
         if size < head or start + size > stop:
@@ -97,36 +103,95 @@ def boxes(data: memoryview, start: int = 0, stop: int | None = None, inside: byt
         start += size
 
 
-def inspect(data: bytes) -> dict:
-    """codec, duration (seconds), samples, chunks [(offset, bytes)] and keyframes [(offset, bytes)] of the first track."""
-    view, at = memoryview(data), {}
-    for path, start, stop in boxes(view):
-        at.setdefault(path.rpartition(b"/")[2], (start, stop))
-    if missing := {b"stsd", b"stts", b"stsc", b"stsz", b"mdhd"} - at.keys():
+def _table(view: memoryview, at: dict[bytes, tuple[int, int]], kind: bytes, form: str, skip: int = 0) -> list[tuple]:
+    """The rows of a table box: its number of rows, then the rows."""
+    start, stop = at[kind]
+    start += 4 + skip
+    if stop - start < 4:
+        raise ValueError(f"{kind!r} is cut off")
+    (n,) = struct.unpack_from(">I", view, start)
+    width = struct.calcsize(form)
+    if n * width > stop - start - 4:
+        raise ValueError(f"{kind!r} has fewer rows than it says")
+    return list(struct.iter_unpack(form, view[start + 4 : start + 4 + n * width]))
+
+
+def _sizes(view: memoryview, at: dict[bytes, tuple[int, int]]) -> list[int]:
+    start, stop = at[b"stsz"]
+    if stop - start < 12:
+        raise ValueError("b'stsz' is cut off")
+    size, n = struct.unpack_from(">II", view, start + 4)
+    if not size:
+        return [x for (x,) in _table(view, at, b"stsz", ">I", 4)]
+    if n * size > len(view):
+        raise ValueError("more samples than bytes")
+    return [size] * n
+
+
+def _track(view: memoryview, at: dict[bytes, tuple[int, int]]) -> dict:
+    if missing := {b"stsd", b"stts", b"stsc", b"stsz", b"mdhd"} - at.keys() or {b"stco", b"co64"} - at.keys() == {b"stco", b"co64"}:
         raise ValueError(f"no {missing}")
-    whole = lambda kind, form, more=0: struct.unpack_from(form, view, at[kind][0] + 4 + more)
-    codec = bytes(view[at[b"stsd"][0] + 12 : at[b"stsd"][0] + 16]).decode("latin-1")
-    scale, ticks = whole(b"mdhd", ">IQ", 16) if view[at[b"mdhd"][0]] else whole(b"mdhd", ">II", 8)
-    size, n = whole(b"stsz", ">II")
-    sizes = [size] * n if size else whole(b"stsz", f">{n}I", 8)
-    kind, form = (b"co64", "Q") if b"co64" in at else (b"stco", "I")
-    offsets = whole(kind, f">{whole(kind, '>I')[0]}{form}", 4)
-    runs = list(struct.iter_unpack(">III", view[at[b"stsc"][0] + 8 : at[b"stsc"][1]]))
-    keys = whole(b"stss", f">{whole(b'stss', '>I')[0]}I", 4) if b"stss" in at else range(1, n + 1)
-    places, k, chunks = [], 0, []
-    for i, (first, per, _) in enumerate(runs):
-        for c in range(first, runs[i + 1][0] if i + 1 < len(runs) else len(offsets) + 1):
-            offset = begin = offsets[c - 1]
+    start, stop = at[b"stsd"]
+    if stop - start < 16:
+        raise ValueError("b'stsd' is cut off")
+    codec = bytes(view[start + 12 : start + 16]).decode("latin-1")
+    start, stop = at[b"mdhd"]
+    if stop - start < 24:
+        raise ValueError("b'mdhd' is cut off")
+    (scale,) = struct.unpack_from(">I", view, start + (20 if view[start] else 12))
+    if not scale:
+        raise ValueError("no time scale")
+    sizes = _sizes(view, at)
+    n = len(sizes)
+    offsets = [x for (x,) in (_table(view, at, b"co64", ">Q") if b"co64" in at else _table(view, at, b"stco", ">I"))]
+    # Times: runs of samples that last equally long.
+    times, clock = [], 0
+    for count, ticks in _table(view, at, b"stts", ">II"):
+        if len(times) + count > n:
+            raise ValueError("the sample tables disagree")
+        times += range(clock, clock + count * ticks, ticks) if ticks else [clock] * count
+        clock += count * ticks
+    runs = [x[:2] for x in _table(view, at, b"stsc", ">III")]
+    firsts = [x for x, _ in runs]
+    if firsts != sorted(set(firsts)) or (firsts and not 1 <= firsts[0] <= firsts[-1] <= len(offsets) + (not n)):
+        raise ValueError("the sample tables disagree")
+    places, chunks, k = [], [], 0
+    for (first, per), after in zip(runs, [*firsts[1:], len(offsets) + 1], strict=True):
+        for offset in offsets[first - 1 : after - 1]:
+            begin = offset
             for s in sizes[k : k + per]:
                 places.append(offset)
                 offset += s
             k += per
             chunks.append((begin, offset - begin))
-    if len(places) != n:
+    if len(places) != n or k != n or len(times) != n or any(a + size > len(view) for a, size in chunks):
+        raise ValueError("the sample tables disagree")
+    keys = [x for (x,) in _table(view, at, b"stss", ">I")] if b"stss" in at else list(range(1, n + 1))
+    if keys != sorted(set(keys)) or (keys and not 1 <= keys[0] <= keys[-1] <= n):
         raise ValueError("the sample tables disagree")
     ends = [x - 1 for x in keys[1:]] + [n]
-    frames = [(places[a - 1], places[b - 1] + sizes[b - 1] - places[a - 1]) for a, b in zip(keys, ends, strict=True)] if n else []
-    return {"codec": codec, "duration": ticks / scale, "samples": n, "chunks": chunks, "keyframes": frames}
+    frames = [(places[a - 1], places[b - 1] + sizes[b - 1] - places[a - 1]) for a, b in zip(keys, ends, strict=True)] if keys else []
+    return {"codec": codec, "duration": clock / scale, "samples": n, "chunks": chunks, "keyframes": frames, "times": [times[a - 1] / scale for a in keys]}
+
+
+def tracks(data: bytes) -> list[dict]:
+    """codec, duration (seconds), samples, chunks [(offset, bytes)], keyframes [(offset, bytes)] and times (seconds) of those, for each track."""
+    view, found = memoryview(data), []
+    for path, start, stop in boxes(view):
+        parent, _, kind = path.rpartition(b"/")
+        if path == b"moov/trak":
+            found.append({})
+        elif parent.startswith(b"moov/trak") and found:
+            found[-1].setdefault(kind, (start, stop))
+    return [_track(view, at) for at in found]
+
+
+def inspect(data: bytes) -> dict:
+    """The first track of a file."""
+    found = tracks(data)
+    if not found:
+        raise ValueError("no track")
+    return found[0]
 
 
 def unpack(data: bytes, info: dict | None = None) -> bytes:
@@ -145,20 +210,20 @@ def pack_column(df: DataFrame, column: str = "text", into: str = "media") -> Dat
 
 def inspect_column(df: DataFrame, column: str = "media", into: str = "info") -> DataFrame:
     """df with a struct of what inspect() finds; null for null or malformed files."""
-    kind = "codec string, duration double, samples long, keyframes array<struct<offset: long, bytes: long>>"
+    kind = "codec string, duration double, samples long, keyframes array<struct<offset: long, bytes: long>>, times array<double>"
 
     def one(data):
         try:
             x = inspect(bytes(data))
         except (ValueError, struct.error, IndexError, TypeError):
-            return None, None, None, None
-        return x["codec"], x["duration"], x["samples"], x["keyframes"]
+            return None, None, None, None, None
+        return x["codec"], x["duration"], x["samples"], x["keyframes"], x["times"]
 
     @F.pandas_udf(kind)
     def run(files):
         import pandas as pd
 
-        return pd.DataFrame([one(f) for f in files], columns=["codec", "duration", "samples", "keyframes"])
+        return pd.DataFrame([one(f) for f in files], columns=["codec", "duration", "samples", "keyframes", "times"])
 
     return df.withColumn(into, run(F.col(f"`{column}`")))
 
