@@ -52,14 +52,14 @@ def discard(spark: SparkSession, paths: Iterable[str]) -> None:
             _made.remove(path)
 
 
-def running(df: DataFrame, group: list[str], order: list[str], into: str, value: str | None = None) -> DataFrame:
+def running(df: DataFrame, group: list[str], order: list[str], into: str, value: str | None = None, ranges: int | None = None) -> DataFrame:
     """df with the sum of value (None: the number of rows) over the rows of its group before it, in order, ties in any order.
 
-    Rows are dealt by ranges of group and order, and sums are made in two levels, within a range and over the ranges' sums, of which
+    Rows are dealt by ranges of group and order (the first `ranges` columns of it), and sums are made in two levels, within a range and over the ranges' sums, of which
     there are as many as partitions: no task holds a hot group, or all rows where group is empty.
     """
     n = F.lit(1).cast("long") if value is None else F.col(value)
-    dealt = materialise(df.repartitionByRange(*group, *order).withColumn("__part", F.spark_partition_id()))
+    dealt = materialise(df.repartitionByRange(*group, *order[:ranges]).withColumn("__part", F.spark_partition_id()))
     keys = [F.col(f"`{g}`").alias(f"__g{i}") for i, g in enumerate(group)]
     sums = dealt.groupBy("__part", *keys).agg(F.sum(n).alias("__sum"))
     before = Window.partitionBy(*(f"__g{i}" for i in range(len(group)))).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

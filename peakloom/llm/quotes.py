@@ -13,7 +13,7 @@ a thread by turn, so that every reply follows what it answers. Bodies have neith
 lines that introduce them.
 
 Heavy lines and conversations don't meet in one task: originals are reduced to one row per hash
-before the join (see common.attach), and ranks are made in two levels, by ranges of threads.
+before the join (see common.attach), and ranks are made in two levels, by ranges of messages.
 
 Result, one row per message: conv_id, turn, role, position (from 0), thread (the first turn), parent_turn, n_quoted (lines),
 n_linked (found in the conversation), source_conv and source_turn (of the first line found elsewhere), body.
@@ -27,15 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach, materialise, small
+from .common import attach, materialise, running, small
 
 MARKER = r"^(\s*>)+"
-INTRODUCTION = r"(?i)^\s*(on|le|am|el|il|op)\b.{0,200}\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.{0,80}:\s*$"
+INTRODUCTION = r"(?i)^\s*(on|le|am|el|il|op)\b.*\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.*:\s*$"
 WHITE = r"[\x20\x09-\x0D]+"
 #: Words that a passage needs to be sought in other conversations, and of the seeds by which places are found.
 WORDS = 5
-#: Messages of a conversation that one task ranks, about.
-PART = 4096
 
 
 def normalised(line: Column) -> Column:
@@ -166,14 +164,8 @@ def with_threads(linked: DataFrame) -> DataFrame:
 
 
 def in_order(df: DataFrame) -> DataFrame:
-    """Adds position: the rank in the conversation by thread and turn, in two levels."""
-    part = F.coalesce(F.expr(f"thread div {PART}"), F.lit(-(1 << 62)))
-    df = df.withColumn("__part", part)
-    sizes = df.groupBy("conv_id", "__part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("conv_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("conv_id").alias("__c"), F.col("__part").alias("__p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy("conv_id", "__part").orderBy("thread", "turn", "role", "body")))
-    return ranked.join(starts, ranked["conv_id"].eqNullSafe(starts["__c"]) & (ranked["__part"] == starts["__p"])).withColumn("position", F.col("__start") + F.col("__rank") - 1)
+    """Adds position: the rank in the conversation by thread and turn, in two levels, so that neither a long conversation nor a long thread meets in one task."""
+    return running(df, ["conv_id"], ["thread", "turn", "role", "body"], "position", ranges=3)
 
 
 #: The same in DuckDB's SQL for quotes of whole lines; it has no passages, and of the originals elsewhere only the first.
@@ -196,7 +188,7 @@ votes AS (SELECT rid, level, near_turn, count(*) AS n FROM met WHERE near_turn I
 parents AS (SELECT rid, near_turn AS parent_turn FROM votes QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level, n DESC, near_turn DESC) = 1),
 facts AS (SELECT rid, count(*) AS n_quoted, count(near_turn) AS n_linked, arg_min(far, no) FILTER (WHERE far IS NOT NULL) AS far FROM met GROUP BY rid),
 bodies AS (SELECT rid, regexp_replace(coalesce(string_agg(line, chr(10) ORDER BY no), ''), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS body FROM lines
-  WHERE NOT (level > 0 OR (regexp_matches(line, '(?i)^\s*(on|le|am|el|il|op)\b.{0,200}\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.{0,80}:\s*$') AND regexp_matches(next, '^(\s*>)+'))) GROUP BY rid),
+  WHERE NOT (level > 0 OR (regexp_matches(line, '(?i)^\s*(on|le|am|el|il|op)\b.*\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.*:\s*$') AND regexp_matches(next, '^(\s*>)+'))) GROUP BY rid),
 steps AS (SELECT b.conv_id, b.turn, min(p.parent_turn) AS up FROM base b JOIN parents p USING (rid) GROUP BY ALL),
 chain AS (SELECT conv_id, turn, up FROM steps UNION ALL
   SELECT c.conv_id, c.turn, s.up FROM chain c JOIN steps s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.turn = c.up),

@@ -1,9 +1,12 @@
 """The corpus operators against brute force, other libraries and odd inputs."""
 
+import contextlib
 import hashlib
 import itertools
+import math
 import random
 import re
+import struct
 import time
 import zlib
 from collections import Counter
@@ -196,6 +199,59 @@ def brute_segments(scores):
     return brute_segments(scores[:i]) + [best] + [(a + j, b + j) for a, b in brute_segments(scores[j:])]
 
 
+def test_chance_takes_all_segments():
+    """The best number of segments is sought among all of them, however many there are."""
+    one = [(i * 10, i * 10 + 1, 8.0) for i in range(300)]
+    at = [toxicity.chance(one[:n], 3000, 1.0, 0.1) for n in (1, 64, 65, 100, 300)]
+    assert at == sorted(at, reverse=True) and at[-1] < at[1]
+
+
+def brute_score(text, model):
+    """The score by plain statement: all maximal segments by their definition, then the least chance."""
+    scores = [model.token(w) for w in re.split(r"[\x20\t-\r]+", (text or "").strip(" \t\n\x0b\x0c\r")) if w]
+    sums = sorted((sum(scores[a:b]) for a, b in brute_segments(scores)), reverse=True)
+    best, total = 1.0, 0.0
+    for r, s in enumerate(sums, 1):
+        total += model.scale * s - math.log(max(model.k * len(scores), 1e-9))
+        p = 1 - math.exp(-math.exp(min(-total, 50))) if r == 1 else math.exp(-total) * total ** (r - 1) / math.factorial(r) / math.factorial(r - 1) * 2 if total > r else 1.0
+        best = min(best, p)
+    return toxicity.TOLERATED / (toxicity.TOLERATED + best)
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(30)]
+    model = toxicity.Model({"w3": 2.0, "w7": 3.5, "bad": 4.0, "nast*": 2.5}, -0.8, 0.9, 0.3)
+    docs = [(i, " ".join(r.choices([*words, "bad", "Nasty,", "bad!"], k=r.randrange(40)))) for i in range(200)] + [(900, None), (901, "")]
+    got = {x.doc_id: x.score for x in toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    assert all(got[i] == pytest.approx(brute_score(t, model), abs=1e-9) for i, t in docs)
+
+
+def test_toxicity_features_equal_brute_force(spark):
+    """fit()'s features and their log-odds from plain counts of documents."""
+    r = random.Random(11)
+    rows = []
+    for i in range(600):
+        toxic = int(i % 4 == 0)
+        rows.append((i, " ".join(r.choices([f"word{j}" for j in range(40)], k=15) + (["vileness", "vile"] if toxic else [])), toxic))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    known = [x for x in rows if zlib.crc32(str(x[0]).encode()) % 5]
+    sizes = [sum(x[2] == y for x in known) for y in (0, 1)]
+    counts = Counter((f, x[2]) for x in known for f in {f for w in x[1].split() for f in toxicity.features_of(w)})
+    want = {}
+    for f in {f for f, _ in counts}:
+        clean, toxic = counts[f, 0], counts[f, 1]
+        prior = 0.5 + 10 * (clean + toxic) / sum(sizes)
+        odds = [math.log((y + prior) / max(n + 10 + 1 - y - prior, 0.5)) for y, n in ((toxic, sizes[1]), (clean, sizes[0]))]
+        share = sizes[1] / sum(sizes)
+        g = 2 * sum(y * math.log(y / ((clean + toxic) * p)) for y, p in ((toxic, share), (clean, 1 - share)) if y)
+        if toxic > 1 and odds[0] - odds[1] >= 3.5 and g >= 2 * math.log(len({f for f, _ in counts}) + 2):
+            want[f] = odds[0] - odds[1]
+    assert want and model.features == pytest.approx(want)
+
+
 def test_segments_equal_definition():
     r = random.Random(2)
     for _ in range(200):
@@ -271,6 +327,129 @@ def test_license_expressions(text, postfix, labels, value):
     assert licenses.evaluate(licenses.parse(text)) == (labels, pytest.approx(value))
 
 
+def naive_value(text):
+    """(labels, restriction) of a whole, well-formed licence expression, by recursive descent."""
+    words = re.findall(r"[()]|[^\s()]+", text)
+
+    def any_of():
+        found = all_of()
+        while words and words[0] == "OR":
+            words.pop(0)
+            right = all_of()
+            found = (found[0] + right[0], min(found[1], right[1]))
+        return found
+
+    def all_of():
+        found = one()
+        while words and words[0] == "AND":
+            words.pop(0)
+            right = one()
+            found = (found[0] + right[0], max(found[1], right[1]))
+        return found
+
+    def one():
+        if words[0] == "(":
+            words.pop(0)
+            found = any_of()
+            words.pop(0)
+        else:
+            x = licenses.label(words.pop(0))
+            found = ([x], licenses.RESTRICTION.get(x, licenses.UNKNOWN))
+        if words and words[0] == "WITH":
+            del words[:2]
+            found = (found[0], found[1] / 2)
+        return found
+
+    return any_of()
+
+
+def test_license_labels_and_scores_equal_brute_force():
+    """All phrases by comparing words at every place, tags by their expressions."""
+    r = random.Random(12)
+    phrases = {**licenses.NOTICES, **licenses.BASE}
+    names = ["MIT", "Apache-2.0", "GPL-3.0-only", "BSD-3-Clause", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "Zlib", "Unknown-1.0", "LGPL-2.1+", "CC0-1.0"]
+
+    def expression(depth):
+        k = r.randrange(5 if depth else 2)
+        if k < 2:
+            return r.choice(names) + (" WITH Classpath-exception-2.0" if r.random() < 0.2 else "")
+        inner = f"{expression(depth - 1)} {r.choice(['AND', 'OR'])} {expression(depth - 1)}"
+        return f"({inner})" if k < 4 else inner
+
+    find = licenses.automaton()
+    assert all(x in licenses.RESTRICTION for x in [*phrases.values(), *licenses.IDENTIFIERS.values()])
+    for _ in range(400):
+        tags = [expression(3) for _ in range(r.randrange(3))]
+        parts = [r.choice(list(phrases)).title() if r.random() < 0.6 else r.choice(["some words", "gnu", "license", "the mit", "bsd", "é"]) for _ in range(r.randrange(8))]
+        text = "\n".join(r.sample(x := [", ".join(parts), *(f"# SPDX-License-Identifier: {t}" for t in tags)], len(x)))
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+        hits = [label for p, label in phrases.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        values = [naive_value(t) for t in tags]
+        got = licenses.scan_text(text, find)
+        assert got["labels"] == ",".join(sorted({*hits, *(x for labels, _ in values for x in labels)}))
+        assert got["score"] == pytest.approx(max([*(licenses.RESTRICTION[x] for x in hits), *(v for _, v in values), 0.0]))
+        assert sorted(x.split("@")[0] for x in got["findings"]) == sorted(hits) and len(got["expressions"]) == len(tags)
+
+
+def test_media_columns_equal_brute_force(spark):
+    """media_bytes, media_sha256 and feature from a plain statement of what a payload's container holds."""
+    docs = [(i, t) for i, t in enumerate([None, "", "a", "é" * 70, "x" * 64, "y" * 65, "long " * 40_000])]
+    got = {r.doc_id: r for r in media.digests(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, text in docs:
+        raw = (text or "").encode()
+        payload = raw + bytes(-len(raw) % 64) if raw else bytes(64)
+        file = media.pack(payload)
+        n, start = len(payload) // 64, file.index(b"mdat") + 4
+        assert file[start:] == payload and file[4:8] == b"ftyp"
+        ranges = ";".join(f"{start + 1024 * k}+{min(1024, len(payload) - 1024 * k)}" for k in range(-(-n // 16)))
+        feature = f"codec=raw,seconds={len(payload) / 8000:.6f},samples={n},keyframes={-(-n // 16)},ranges={zlib.crc32(ranges.encode()):08x}"
+        assert (got[i].media_bytes, got[i].media_sha256, got[i].feature) == (len(file), hashlib.sha256(file).hexdigest(), feature)
+
+
+def two_tracks():
+    """A file with an audio track of 4 samples without a table of keyframes and a video track of 6 samples with keyframes 1 and 4, and its bytes."""
+    box, full, u = media._box, media._full, struct.pack
+
+    def trak(codec, sizes, offsets, times, keys=None):
+        tables = [full(b"stsd", u(">I", 1), box(codec, bytes(8))), full(b"stts", u(">I", len(times)), *(u(">II", *t) for t in times)), full(b"stsc", u(">I", 1), u(">III", 1, len(sizes) // len(offsets), 1))]
+        tables += [full(b"stsz", u(f">II{len(sizes)}I", 0, len(sizes), *sizes)), full(b"stco", u(f">I{len(offsets)}I", len(offsets), *offsets))]
+        tables += [full(b"stss", u(f">I{len(keys)}I", len(keys), *keys))] if keys else []
+        return box(b"trak", box(b"mdia", box(b"mdhd", bytes(4), u(">IIII", 0, 0, 1000, 0), bytes(4)), box(b"minf", box(b"stbl", *tables))))
+
+    data = bytes(range(200))
+    mdat = box(b"mdat", data)
+    return mdat + box(b"moov", trak(b"mp4a", [5, 6, 7, 8], [8, 50], [(4, 20)]), trak(b"avc1", [10, 1, 1, 12, 1, 1], [100], [(3, 40), (3, 50)], [1, 4])), data
+
+
+def test_media_of_several_tracks():
+    audio, video = media.tracks(two_tracks()[0])
+    assert audio["codec"] == "mp4a" and audio["keyframes"] == [(8, 5), (13, 6), (50, 7), (57, 8)] and audio["times"] == [0, 0.02, 0.04, 0.06] and audio["duration"] == 0.08
+    assert video["codec"] == "avc1" and video["keyframes"] == [(100, 12), (112, 14)] and video["times"] == [0, 0.12] and video["duration"] == 0.27 and video["samples"] == 6
+
+
+def test_media_with_lying_tables():
+    """No count is believed that the file's bytes don't bear out; every damaged byte gives a track or a ValueError."""
+    file, _ = two_tracks()
+    at = file.index(b"stsz") + 12
+    with pytest.raises(ValueError):
+        media.tracks(file[:at] + struct.pack(">I", 0xFFFFFFFF) + file[at + 4 :])
+    fixed = media.pack(bytes(64 * 40))
+    at = fixed.index(b"stsz") + 12
+    with pytest.raises(ValueError):
+        media.inspect(fixed[:at] + struct.pack(">I", 0xFFFFFFF0) + fixed[at + 4 :])
+    nested = b""
+    for _ in range(200):
+        nested = media._box(b"moov", nested)
+    with pytest.raises(ValueError):
+        media.inspect(nested)
+    r = random.Random(3)
+    for _ in range(3000):
+        bad = bytearray(r.choice((file, fixed)))
+        bad[r.randrange(len(bad))] = r.choice((0, 1, 255, r.randrange(256)))
+        with contextlib.suppress(ValueError):
+            media.tracks(bytes(bad))
+
+
 def test_media_round_trip(spark):
     docs = odd_docs(spark)
     got = Counter(map(tuple, media.digests(docs).drop("media_sha256", "media_bytes", "feature").collect()))
@@ -447,6 +626,17 @@ def test_quoted_passages(spark):
     assert got[3, 0] == (4, 0, None, 1, 0, 0) and got[4, 0] == (1, 0, None, None, None, 0) and got[5, 0] == (1, 0, None, 6, 0, 0)
 
 
+def test_quotes_of_long_messages_and_hot_conversations(spark):
+    """A very long message, a conversation that is most of the table with one long thread, and a long introduction line."""
+    long = "\n".join(f"line {i} of the long message" for i in range(20_000))
+    rows = [(1, 0, "u", long, None), (1, 1, "a", "On Monday " + "x" * 500 + " wrote:" + "\n> line 19999 of the long message\nanswer", None)]
+    rows += [(2, i, "u", f"message {i} says so" + (f"\n> message {i - 1} says so" if i else ""), None) for i in range(600)]
+    got = quotes.link(spark.createDataFrame(rows, TALK).repartition(8)).collect()
+    by = {(r.conv_id, r.turn): r for r in got}
+    assert (by[1, 1].parent_turn, by[1, 1].n_linked, by[1, 1].body) == (0, 1, "answer")
+    assert [(by[2, i].position, by[2, i].thread, by[2, i].parent_turn) for i in range(600)] == [(i, 0, i - 1 if i else None) for i in range(600)]
+
+
 def brute_base(text):
     """The base patterns by their plain statement."""
     text, out = text or "", []
