@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
+from ..storage import small
 
 
 def sizes(cells: DataFrame) -> DataFrame:
@@ -17,7 +18,7 @@ def named_by_size(cells: DataFrame, first: str = "barcode") -> DataFrame:
     """Cells with clusters renamed C1, C2, ... from the largest, ties by their first cell."""
     ranked = cells.groupBy("cluster").agg(F.count("*").alias("n"), F.min(first).alias("first"))
     ranked = ranked.select("cluster", F.concat(F.lit("C"), F.row_number().over(Window.orderBy(F.desc("n"), "first"))).alias("name"))
-    return cells.join(F.broadcast(ranked), "cluster").drop("cluster").withColumnRenamed("name", "cluster")
+    return cells.join(small(ranked), "cluster").drop("cluster").withColumnRenamed("name", "cluster")
 
 
 def without_small(cells: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def routed(sites: DataFrame, cells: DataFrame, cell: str = "barcode") -> DataFra
 
 def composition(cells: DataFrame) -> DataFrame:
     """(cluster, sample, n), also where n is 0."""
-    grid = cells.select("cluster").distinct().crossJoin(F.broadcast(cells.select("sample").distinct()))
+    grid = cells.select("cluster").distinct().crossJoin(cells.select("sample").distinct())
     return grid.join(cells.groupBy("cluster", "sample").agg(F.count("*").alias("n")), ["cluster", "sample"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 

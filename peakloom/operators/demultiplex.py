@@ -12,8 +12,8 @@ from ..functions import scalars as S
 
 
 def barcode_counts(index: DataFrame, k: int, config: Config = DEFAULT) -> DataFrame:
-    """(barcode, n) of the first k bases of the first index reads, most frequent first."""
-    first = index.limit(config.index_reads)
+    """(barcode, n) of the first k bases of the first index reads of each file (by their number n in it, where index has that), most frequent first."""
+    first = index.filter(F.col("n") < config.index_reads) if "n" in index.columns else index
     return first.groupBy(F.substring("seq", 1, k).alias("barcode")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "barcode")
 
 

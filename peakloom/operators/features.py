@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
+from ..storage import materialise, running, small
 from . import fragments as fr
 from .intervals import interval_join, merged, tiles
 
@@ -72,9 +73,9 @@ def stacked(*matrices: DataFrame) -> DataFrame:
 
 
 def reindexed(matrix: DataFrame, feature: str = "feature") -> DataFrame:
-    """The matrix with column, a number from 0 for each feature that is left (for numeric code)."""
-    numbers = matrix.select(feature).distinct().withColumn("column", F.row_number().over(Window.orderBy(feature)) - 1)
-    return matrix.join(numbers, feature)
+    """The matrix with column, a number from 0 for each feature that is left (for numeric code), made by ranges of features."""
+    numbers = materialise(running(matrix.select(feature).distinct(), [], [feature], "column"))
+    return matrix.join(small(numbers), feature)
 
 
 def feature_set(peaks: DataFrame, tile: int | None = None) -> DataFrame:

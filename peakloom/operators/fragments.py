@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -44,16 +44,16 @@ def read_to_interval(paired: bool) -> list[Column]:
 def deduplicated(reads: DataFrame, paired: bool = True, config: Config = DEFAULT) -> DataFrame:
     """Fragments of a name-keyed read table (name, flag, chrom, start, end, tlen, mapq, quality, order).
 
-    Reads of one barcode and alignment count as one fragment: the one of highest quality, then the first. score is the number
-    of reads; ends are shifted for the insertion.
+    Reads of one barcode and alignment count as one fragment: the one of highest quality, then the first, whose name is read. score is the number
+    of reads; ends are shifted for the insertion. Reads are combined before they shuffle.
     """
     r = reads.filter(is_pair_lead(F.col("flag")) & is_normal_length(F.col("tlen"), config)) if paired else reads
     start, end = read_to_interval(paired)
     r = r.withColumn("barcode", S.barcode_of(F.col("name"))).withColumn("reverse", F.col("flag").bitwiseAND(REVERSE) != 0).withColumns({"s": start, "e": end})
-    key = Window.partitionBy("barcode", "chrom", "s", "e", *([] if paired else ["reverse"]))
-    best = r.withColumn("n", F.row_number().over(key.orderBy(F.desc("quality"), "order"))).withColumn("score", F.count("*").over(key)).filter("n = 1")
+    best = F.max(F.struct("quality", (-F.col("order")).alias("o"), "name"))
+    one = r.groupBy("barcode", "chrom", "s", "e", *([] if paired else ["reverse"])).agg(F.count("*").alias("score"), best["name"].alias("read"))
     strand = F.lit(None).cast("boolean") if paired else ~F.col("reverse")
-    return shifted(best.select("chrom", F.col("s").alias("start"), F.col("e").alias("end"), "barcode", "score", strand.alias("strand")), config)
+    return shifted(one.select("chrom", F.col("s").alias("start"), F.col("e").alias("end"), "barcode", "score", strand.alias("strand"), "read"), config)
 
 
 def shifted(fragments: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -7,9 +7,13 @@ a chromosome are made in two levels, by bins and over the bins' summaries, so th
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import materialise, running
+
 #: Base pairs of a bin of islands and coverage.
 SPAN = 1_000_000
 
@@ -87,18 +91,57 @@ def tiles(regions: DataFrame, size: int) -> DataFrame:
     return cut.select("chrom", F.col("__s").alias("start"), F.least(F.col("__s") + size, "end").alias("end"))
 
 
+#: Base pairs of a piece in which suppression is decided at once.
+PIECE = 100_000
+
+
 def suppressed(df: DataFrame, score: str, tie: list[str]) -> DataFrame:
-    """Greedy non-maximum suppression in each island: the best interval stays, those that overlap it go, and so on.
+    """Greedy non-maximum suppression: the best interval stays, those that overlap it go, and so on.
 
-    Of equal scores the last by `tie` is taken first. Adds rank, the order in which an island's intervals were taken.
-    An island's intervals are sorted and folded as one array; islands are small, being what overlaps in one place.
+    Of equal scores the last by `tie` is taken first. Adds island and rank, the order in which an island's intervals were taken.
+    Of equal intervals only the best can stay. The others are put into the pieces of the genome that they touch, and each
+    piece decides, in order, what its own rows decide: an interval goes if a better one of the piece stays, and is free if no better one is
+    undecided. One that is free in all its pieces stays. Rounds go on until all is decided; only chains of overlaps that run on through
+    pieces take more than two. No task holds more than a piece, whatever the size of an island.
     """
-    row = F.struct(score, *tie, *(c for c in df.columns if c not in (score, *tie)))
-    best = islands(df).groupBy("chrom", "island").agg(F.sort_array(F.collect_list(row), asc=False).alias("all"))
-    none = F.filter("all", lambda x: F.lit(False))
-    free = lambda kept, x: ~F.exists(kept, lambda k: overlaps(k["start"], k["end"], x["start"], x["end"]))
-    kept = best.select("island", F.posexplode(F.aggregate("all", none, lambda kept, x: F.when(free(kept, x), F.concat(kept, F.array(x))).otherwise(kept))).alias("rank", "x"))
-    return kept.select(*(F.col(f"x.{c}").alias(c) for c in df.columns), "island", F.col("rank").cast("long").alias("rank"))
+    others = [c for c in df.columns if c not in (score, *tie)]
+    best = df.groupBy("chrom", F.col("start").alias("__s"), F.col("end").alias("__e")).agg(F.max(F.struct(score, *tie, *(c for c in others if c not in ("chrom", "start", "end")))).alias("__x"))
+    best = best.select(*(F.col(c) if c == "chrom" else F.col("__s").alias(c) if c == "start" else F.col("__e").alias(c) if c == "end" else F.col(f"__x.{c}") for c in df.columns))
+    rows = materialise(best.withColumn("__id", F.monotonically_increasing_id()))
+    keys = [score, *(t for t in tie if t not in ("start", "end"))]
+    by = [score, *tie]
+    state = rows.select("__id", "chrom", "start", "end", *keys, F.lit(0).alias("__state"))  # 0 undecided, 1 stays
+
+    def decide(piece: pd.DataFrame) -> pd.DataFrame:
+        g = piece.sort_values(by, ascending=False, na_position="last", kind="stable")
+        start, end, known, alone = (g[c].to_numpy() for c in ("start", "end", "__state", "__alone"))
+        marks = np.unique(np.concatenate([start, end]))
+        first, last = np.searchsorted(marks, start), np.searchsorted(marks, end)
+        taken, open_ = np.zeros(len(marks), bool), np.zeros(len(marks), bool)
+        for i in np.flatnonzero(known == 1):
+            taken[first[i] : last[i]] = True
+        out = np.ones(len(g), np.int32)  # 1 free here, 0 undecided, 2 goes
+        for i in np.flatnonzero(known == 0):
+            a, b = first[i], last[i]
+            if taken[a:b].any():
+                out[i] = 2
+            elif open_[a:b].any() or not alone[i]:
+                out[i] = int(not open_[a:b].any())
+                open_[a:b] = True
+            else:
+                taken[a:b] = True
+        return pd.DataFrame({"__id": g["__id"].to_numpy(), "__said": out})
+
+    while True:
+        spread = state.withColumn("__a", first_bin(F.col("start"), PIECE)).withColumn("__b", last_bin(F.col("start"), F.col("end"), PIECE))
+        spread = spread.withColumn("__alone", F.col("__a") == F.col("__b")).withColumn("__piece", F.explode(F.sequence("__a", "__b"))).drop("__a", "__b")
+        said = spread.groupBy("chrom", "__piece").applyInPandas(decide, "__id long, __said int").groupBy("__id").agg(F.max("__said").alias("most"), F.min("__said").alias("least"))
+        state = state.join(said, "__id").filter((F.col("__state") == 1) | (F.col("most") < 2)).withColumn("__state", F.greatest("__state", F.col("least"))).drop("most", "least")
+        state = materialise(state)
+        if not state.filter("__state = 0").limit(1).count():
+            break
+    kept = materialise(islands(rows).join(state.select("__id"), "__id", "left_semi").drop("__id"))
+    return running(kept, ["chrom", "island"], [F.desc(c) for c in by], "rank")
 
 
 def coverage(df: DataFrame) -> DataFrame:

@@ -333,10 +333,10 @@ def j21_resolution_lookup(spark, d):
 # Aggregations
 
 
-@query("""WITH r AS (SELECT split_part(name, ':', 1) AS barcode, chrom, cstart AS s, cstart + tlen AS e, quality, ord FROM rd WHERE (flag & 64) <> 0 AND (flag & 1) <> 0 AND (flag & 8) = 0 AND tlen > 30 AND tlen < 1000)
-  SELECT barcode, chrom, s + 4 AS s, e - 5 AS e, count(*) AS score FROM r GROUP BY barcode, chrom, s, e""")
+@query("""WITH r2 AS (SELECT name, split_part(name, ':', 1) AS barcode, chrom, cstart AS s, cstart + tlen AS e, quality, ord FROM rd WHERE (flag & 64) <> 0 AND (flag & 1) <> 0 AND (flag & 8) = 0 AND tlen > 30 AND tlen < 1000)
+  SELECT barcode, chrom, s + 4 AS s, e - 5 AS e, count(*) AS score, arg_max(name, {'q': quality, 'o': -ord}) AS read FROM r2 GROUP BY barcode, chrom, s, e""")
 def a1_c4_deduplicated(spark, d):
-    return R.deduplicated(V.reads(spark, d)).select("barcode", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), "score")
+    return R.deduplicated(V.reads(spark, d)).select("barcode", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), "score", "read")
 
 
 TSSE_SQL = """o AS (SELECT f.barcode, f.pos - p.cstart AS off, count(*) AS n FROM cut f JOIN (SELECT DISTINCT chrom, cstart, cend FROM pr) p ON f.chrom = p.chrom AND f.pos >= p.cstart AND f.pos < p.cend GROUP BY ALL),
@@ -458,7 +458,13 @@ def w2_islands(spark, d):
     return I.merged(V.peaks(spark, d)).select("chrom", F.col("start").alias("s"), F.col("end").alias("e"), "n")
 
 
-@query()
+@query("""WITH r AS (SELECT chrom, greatest(0, cstart + summit - 200) AS s, cstart + summit + 200 AS e, name, pvalue FROM pk),
+  f AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM r),
+  i AS (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM f),
+  g AS (SELECT chrom, i, list([{'s': s, 'e': e, 'p': pvalue}] ORDER BY pvalue DESC, s DESC, e DESC, name DESC) AS l FROM i GROUP BY chrom, i),
+  k AS (SELECT chrom, i, list_reduce(l, lambda kept, x: CASE WHEN len(list_filter(kept, lambda y: y.s < x[1].e AND x[1].s < y.e)) = 0 THEN list_concat(kept, x) ELSE kept END) AS kept FROM g),
+  u AS (SELECT chrom, i, unnest(kept) AS x, unnest(range(len(kept))) AS rk FROM k)
+  SELECT 'p' || (row_number() OVER (ORDER BY chrom, i, rk) - 1) AS name, chrom, x.s AS s, x.e AS e, x.p AS pvalue FROM u""")
 def w3_w4_w7_c12_merged_peaks(spark, d):
     return P.merge_peaks(V.peaks(spark, d)).select("name", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), "pvalue")
 
@@ -510,7 +516,7 @@ def o7_distinct_sorted(spark, d):
     return V.fragments(spark, d).groupBy("barcode").agg(F.array_join(F.array_sort(F.collect_set("chrom")), ",").alias("chroms"))
 
 
-@query()
+@query("SELECT barcode AS cell FROM cl ORDER BY md5('7:' || barcode), barcode LIMIT 100")
 def o8_o10_sampled_rows(spark, d):
     return embed.sample_rows(V.clusters(spark, d).select(F.col("barcode").alias("cell")), 100, seed=7)
 
@@ -526,11 +532,12 @@ def u7_reindexed(spark, d):
     return X.reindexed(_matrix(spark, d), "peak").withColumn("column", F.col("column").cast("long"))
 
 
-@query("SELECT gene, coalesce(max(v) FILTER (WHERE cluster = 'C1'), 0) AS \"C1\", coalesce(max(v) FILTER (WHERE cluster = 'C2'), 0) AS \"C2\" FROM (SELECT p.gene, c.cluster, CAST(sum(g.n) AS BIGINT) AS v FROM gmat g JOIN cl c USING (barcode) JOIN pr p USING (feature) WHERE c.cluster IN ('C1', 'C2') GROUP BY ALL) GROUP BY gene")
+@query("""SELECT gene, coalesce(max(v) FILTER (WHERE cluster = 'C1'), 0) AS "C1", coalesce(max(v) FILTER (WHERE cluster = 'C2'), 0) AS "C2", coalesce(max(v) FILTER (WHERE cluster = 'C3'), 0) AS "C3", coalesce(max(v) FILTER (WHERE cluster = 'C5'), 0) AS "C5"
+  FROM (SELECT p.gene, c.cluster, CAST(sum(g.n) AS BIGINT) AS v FROM gmat g JOIN cl c USING (barcode) JOIN pr p USING (feature) GROUP BY ALL) GROUP BY gene""")
 def k4_u9_wide_table(spark, d):
     m = X.counts(_sites(spark, d), V.promoters(spark, d), "feature").join(V.promoters(spark, d).select("feature", "gene"), "feature")
     v = m.join(V.clusters(spark, d).select("barcode", "cluster"), "barcode").groupBy("gene", "cluster").agg(F.sum("count").alias("v"))
-    return X.wide(v.filter("cluster IN ('C1', 'C2')"), "gene", "cluster", "v", ["C1", "C2"])
+    return X.wide(v, "gene", "cluster", "v")
 
 
 @query()
@@ -575,10 +582,12 @@ def m5_batch_correction(spark, d):
     return embed.corrected(v, v.select("cell", F.concat(F.lit("b"), F.col("cell").cast("long") % 2).alias("batch")))
 
 
-@query()
+@query("""WITH v AS (SELECT vec_id, vec_id % 2 AS b, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT b, i, avg(x) AS m FROM v GROUP BY ALL), a AS (SELECT i, avg(x) AS a FROM v GROUP BY i)
+  SELECT CAST(vec_id AS VARCHAR) AS cell, CAST(i AS INT) AS i, round(x + (a - m), 6) AS x FROM v JOIN m USING (b, i) JOIN a USING (i)""")
 def m6_batch_centring(spark, d):
     v = _vectors(spark, d)
-    return embed.centred(v, v.select("cell", F.concat(F.lit("b"), F.col("cell").cast("long") % 2).alias("batch"))).select("cell", F.size("vec").alias("dims"))
+    moved = embed.centred(v, v.select("cell", F.concat(F.lit("b"), F.col("cell").cast("long") % 2).alias("batch")))
+    return moved.select("cell", F.posexplode("vec").alias("i", "x")).withColumn("x", r6("x"))
 
 
 NEAR_SQL = """WITH p AS (SELECT a.vec_id AS src, b.vec_id AS dst, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1]::DOUBLE - x[2]::DOUBLE) ** 2))) AS dd FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id),
@@ -628,9 +637,17 @@ def m18_j22_motif_sites(spark, d):
     return motifs.scan(s, [("TATA", [[0.02, 0.02, 0.02, 0.94], [0.94, 0.02, 0.02, 0.02]] * 2), ("CAT", [[0.01, 0.97, 0.01, 0.01], [0.97, 0.01, 0.01, 0.01], [0.01, 0.01, 0.01, 0.97]])], 0.005)
 
 
-@query()
+@query("""WITH p AS (SELECT peak, sum(n) AS reads, (peak % 10) / 10.0::DOUBLE AS gc FROM mat GROUP BY peak),
+  r AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY md5('bg:' || peak), peak) - 1 AS r, count(*) OVER (PARTITION BY a, b) AS m FROM (SELECT peak, CAST(floor(least(gc * 20, 19)) AS BIGINT) AS a, CAST(floor(log10(reads + 1) * 4) AS BIGINT) AS b FROM p)),
+  bg AS (SELECT w.peak, w.i, o.peak AS background FROM (SELECT *, unnest(range(1, 51)) AS i FROM r) w JOIN r o ON o.a = w.a AND o.b = w.b AND o.r = (w.r + w.i) % w.m),
+  d AS (SELECT barcode AS cell, sum(n) AS depth FROM mat GROUP BY barcode), x AS (SELECT peak, sum(n) / (SELECT sum(n) FROM mat) AS expected FROM mat GROUP BY peak),
+  sets AS (SELECT 'M' || (peak % 12) AS motif, 0 AS i, peak FROM p UNION ALL SELECT 'M' || (peak % 12), i, background FROM bg),
+  sh AS (SELECT motif, i, sum(expected) AS share FROM sets JOIN x USING (peak) GROUP BY ALL), sn AS (SELECT motif, i, barcode AS cell, sum(n) AS seen FROM sets JOIN mat USING (peak) GROUP BY ALL),
+  y AS (SELECT motif, i, cell, (coalesce(seen, 0) - share * depth) / (share * depth) AS y FROM sh CROSS JOIN d LEFT JOIN sn USING (motif, i, cell)),
+  l AS (SELECT motif, cell, avg(y) AS m, stddev_samp(y) AS s FROM y WHERE i > 0 GROUP BY ALL)
+  SELECT motif, cell, round(y - m, 5) AS deviation FROM y JOIN l USING (motif, cell) WHERE i = 0""")
 def m20_a28_deviations(spark, d):
     m = _matrix(spark, d).withColumnRenamed("barcode", "cell")
     p = m.groupBy("peak").agg(F.sum("count").alias("reads")).withColumn("gc", (F.col("peak") % 10) / 10.0)
     pairs = p.select(F.concat(F.lit("M"), F.col("peak") % 12).alias("motif"), "peak")
-    return motifs.deviations(m, pairs, motifs.backgrounds(p))
+    return motifs.deviations(m, pairs, motifs.backgrounds(p)).select("motif", "cell", F.round("deviation", 5).alias("deviation"))
