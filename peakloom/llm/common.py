@@ -4,81 +4,23 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: A table is broadcast only if it has at most this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+from ..storage import BROADCAST_ROWS, discard, made, materialise, running, small
+
+__all__ = ["BROADCAST_ROWS", "attach", "claim", "discard", "made", "map_arrow", "materialise", "release", "running", "slices", "small"]
+
 #: Bytes of an Arrow batch on its way to a Python worker, about (a row at least).
 ARROW_BYTES = 4 << 20
 #: A key with more than 1/HEAVY_PARTS of all rows is heavy; there are fewer than HEAVY_PARTS of them.
 HEAVY_PARTS = 4096
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset (tests)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/corpus-scratch"
-
-
-#: The tables that this driver has written to the shared folder and not deleted.
-_made: list[str] = []
-
-
-def materialise(df: DataFrame, **options: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back, which cuts its lineage and fixes its row ids."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/corpus-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    _made.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def made() -> list[str]:
-    """The intermediate tables that exist now."""
-    return list(_made)
-
-
-def discard(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Deletes intermediate tables: for those that nothing reads any more."""
-    for path in paths:
-        if path in _made:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-            _made.remove(path)
-
-
-def running(df: DataFrame, group: list[str], order: list[str], into: str, value: str | None = None, ranges: int | None = None) -> DataFrame:
-    """df with the sum of value (None: the number of rows) over the rows of its group before it, in order, ties in any order.
-
-    Rows are dealt by ranges of group and order (the first `ranges` columns of it), and sums are made in two levels, within a range and over the ranges' sums, of which
-    there are as many as partitions: no task holds a hot group, or all rows where group is empty.
-    """
-    n = F.lit(1).cast("long") if value is None else F.col(value)
-    dealt = materialise(df.repartitionByRange(*group, *order[:ranges]).withColumn("__part", F.spark_partition_id()))
-    keys = [F.col(f"`{g}`").alias(f"__g{i}") for i, g in enumerate(group)]
-    sums = dealt.groupBy("__part", *keys).agg(F.sum(n).alias("__sum"))
-    before = Window.partitionBy(*(f"__g{i}" for i in range(len(group)))).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).withColumnRenamed("__part", "__p").drop("__sum")
-    starts = small(materialise(starts))
-    within = Window.partitionBy("__part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    own = dealt.withColumn("__own", F.coalesce(F.sum(n).over(within), F.lit(0)))
-    met = own["__part"] == starts["__p"]
-    for i, g in enumerate(group):
-        met &= own[g].eqNullSafe(starts[f"__g{i}"])
-    return own.join(starts, met).withColumn(into, F.col("__start") + F.col("__own")).select(*df.columns, into)
-
-
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """df with a broadcast hint if it is known to have few rows, otherwise df as it is."""
-    n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
 def attach(df: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
     """Left join of df with groups (one row per non-null key, size = rows of df with that key).
 

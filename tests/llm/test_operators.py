@@ -62,7 +62,7 @@ def test_bloom_filter_loses_no_repeat(spark, monkeypatch):
 
 def test_exact_dedup_in_slices_shuffles_only_possible_repeats(spark, monkeypatch):
     """With a filter bound of two pages the same result comes in several slices, and beyond the broadcast bound no cleared row shuffles."""
-    from peakloom.llm import common
+    from peakloom import storage
 
     docs = spark.createDataFrame([(i, f"t{i % 9000}", "x" * 50) for i in range(10_000)] + [(None, "t1", ""), (0, "t0", "again")], "doc_id long, text string, more string").cache()
     want = sorted(map(repr, exact_dedup.decide(docs).collect()))
@@ -71,7 +71,7 @@ def test_exact_dedup_in_slices_shuffles_only_possible_repeats(spark, monkeypatch
     parts = exact_dedup.slices(rows, rows.count())
     assert len(parts) == 3 and sum(mine.count() for mine, _, _ in parts) == 10_002
     monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 1)
-    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 1)
     assert sorted(map(repr, exact_dedup.decide(docs).collect())) == want
     kept = exact_dedup.keep_first(docs)
     assert {r.doc_id for r in kept.collect()} == set(range(9000)) and kept.count() == 9000
@@ -142,9 +142,10 @@ def test_near_duplicates_of_repeated_ids(spark):
 
 def test_near_duplicates_in_a_hot_group(spark, monkeypatch):
     """A group of different near copies that is most of the table, with every join beyond the broadcast bound and hot keys split off."""
-    from peakloom.llm import common, components
+    from peakloom import storage
+    from peakloom.llm import common
 
-    for module in (common, ngram_join):
+    for module in (storage, ngram_join):
         monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     base = [f"v{i}" for i in range(60)]
