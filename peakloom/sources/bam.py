@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 
@@ -17,26 +17,60 @@ FORMS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I"}
 ADVANCING = (0, 2, 3, 7, 8)
 
 
-def inflated(data: bytes) -> bytes:
-    out = []
+def opened(path: str):
+    """A stream of a file in any store that pyarrow.fs knows."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path) if ":" in path else f"file://{path}")
+    return store.open_input_stream(place, compression=None)
+
+
+def inflated(stream, size: int = 1 << 18) -> Iterator[bytes]:
+    """The bytes of a stream of compressed blocks, a piece at a time."""
+    data = stream.read(size)
     while data:
         d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
-    return b"".join(out)
+        while data and not d.eof:
+            yield d.decompress(data)
+            data = d.unused_data if d.eof else stream.read(size)
+        data = data or stream.read(size)
+
+
+class Buffer:
+    """Bytes of a stream from a place on; what lies before it is forgotten."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.data, self.at = pieces, bytearray(), 0
+
+    def has(self, n: int) -> bool:
+        """Whether there are n bytes more, which are read if need be."""
+        if len(self.data) - self.at < n:
+            del self.data[: self.at]
+            self.at = 0
+            for piece in self.pieces:
+                self.data += piece
+                if len(self.data) >= n:
+                    break
+        return len(self.data) - self.at >= n
 
+    def take(self, n: int) -> bytes:
+        if not self.has(n):
+            raise ValueError("the file is cut off")
+        self.at += n
+        return bytes(memoryview(self.data)[self.at - n : self.at])
 
-def references(raw: bytes) -> tuple[list[str], int]:
-    """(names of the reference sequences, where the records start)."""
-    if raw[:4] != b"BAM\1":
+
+def references(buffer: Buffer) -> list[str]:
+    """The names of the reference sequences; the records follow."""
+    if not buffer.has(4) or buffer.take(4) != b"BAM\1":
         raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", raw, 4)[0]
-    (n,), at, names = struct.unpack_from("<i", raw, at), at + 4, []
-    for _ in range(n):
-        (size,) = struct.unpack_from("<i", raw, at)
-        names.append(raw[at + 4 : at + 3 + size].decode())
-        at += 8 + size
-    return names, at
+    number = lambda: struct.unpack("<i", buffer.take(4))[0]
+    buffer.take(number())
+    names = []
+    for _ in range(number()):
+        names.append(buffer.take(number())[:-1].decode())
+        buffer.take(4)
+    return names
 
 
 def mate_score(aux: bytes) -> int | None:
@@ -54,21 +88,55 @@ def mate_score(aux: bytes) -> int | None:
     return None
 
 
-def alignments(data: bytes, batch: int = 20_000) -> Iterator[pd.DataFrame]:
-    raw = inflated(data)
-    names, at = references(raw)
+def alignments(stream, batch: int = 20_000) -> Iterator[pd.DataFrame]:
+    buffer = Buffer(inflated(stream))
+    names = references(buffer)
     rows, order = [], 0
     columns = re.findall(r"(\w+) \w+", COLUMNS)
-    while at < len(raw):
-        size, ref, pos, l_name, mapq, _, n_ops, flag, l_seq, _, _, tlen = struct.unpack_from("<iiiBBHHHiiii", raw, at)
-        p, end = at + 36, at + 4 + size
+    while buffer.has(4):
+        raw = buffer.take(struct.unpack("<i", buffer.take(4))[0])
+        ref, pos, l_name, mapq, _, n_ops, flag, l_seq, _, _, tlen = struct.unpack_from("<iiBBHHHiiii", raw)
+        p = 32
         name, p = raw[p : p + l_name - 1].decode(), p + l_name
         ops, p = struct.unpack_from(f"<{n_ops}I", raw, p), p + 4 * n_ops + (l_seq + 1) // 2
         quality, p = sum(q for q in raw[p : p + l_seq] if q != 255 and q >= FLOOR), p + l_seq
         span = sum(x >> 4 for x in ops if x & 15 in ADVANCING)
-        rows.append((name, flag, names[ref] if ref >= 0 else None, pos, pos + span, mapq, tlen, quality, mate_score(raw[p:end]), order))
-        at, order = end, order + 1
+        rows.append((name, flag, names[ref] if ref >= 0 else None, pos, pos + span, mapq, tlen, quality, mate_score(raw[p:]), order))
+        order += 1
         if len(rows) >= batch:
-            yield pd.DataFrame(rows, columns=columns)
+            yield pd.DataFrame(rows, columns=columns).astype({"ms": "Int64"})
             rows = []
-    yield pd.DataFrame(rows, columns=columns)
+    yield pd.DataFrame(rows, columns=columns).astype({"ms": "Int64"})
+
+
+def write(path: str, names: list[str], batches: Iterable[pd.DataFrame], block: int = 60_000) -> int:
+    """Writes alignments (name, flag, chrom, start, end, mapq, tlen, ms) as a BAM file; their number."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path) if ":" in path else f"file://{path}")
+    store.create_dir(place.rpartition("/")[0], recursive=True)
+    index, n = {x: i for i, x in enumerate(names)}, 0
+
+    def packed(data: bytes) -> bytes:
+        """A block: a gzip member that says how long it is."""
+        c = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = c.compress(data) + c.flush()
+        return struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+    head = b"BAM\1" + struct.pack("<ii", 0, len(names)) + b"".join(struct.pack("<i", len(x.encode()) + 1) + x.encode() + b"\0" + struct.pack("<i", (1 << 31) - 1) for x in names)
+    with store.open_output_stream(place, compression=None) as out:
+        held = bytearray(head)
+        for batch in batches:
+            for name, flag, chrom, start, end, mapq, tlen, ms in batch.itertuples(index=False, name=None):
+                key = name.encode() + b"\0"
+                aux = b"" if pd.isna(ms) else b"msi" + struct.pack("<i", int(ms))
+                body = struct.pack("<iiBBHHHiiii", index.get(chrom, -1), int(start), len(key), int(mapq), 0, 1, int(flag), 0, -1, -1, int(tlen)) + key + struct.pack("<I", int(end - start) << 4) + aux
+                held += struct.pack("<i", len(body)) + body
+                n += 1
+                while len(held) >= block:
+                    out.write(packed(bytes(held[:block])))
+                    del held[:block]
+        if held:
+            out.write(packed(bytes(held)))
+        out.write(packed(b""))
+    return n

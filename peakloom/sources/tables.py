@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import materialise
+
 BED3 = "chrom string, start long, end long"
 BED = f"{BED3}, name string, score long, sign string"
 NARROW_PEAK = f"{BED3}, name string, score long, sign string, signal double, pvalue double, qvalue double, summit long"
@@ -109,8 +111,9 @@ def read_chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_by_key(df: DataFrame, key: str, path: str) -> None:
-    """Parquet in a folder per key (chromosome, cluster, sample), rows sorted inside."""
-    df.repartition(key).write.partitionBy(key).parquet(path)
+    """Parquet in a folder per key (chromosome, cluster, sample), rows sorted inside. Rows are dealt by ranges of the key and of the other columns, so a hot key has several files."""
+    others = [c for c in ("start", "barcode", "name") if c in df.columns] or [F.xxhash64(*df.columns)]
+    df.repartitionByRange(key, *others).sortWithinPartitions(key, *others).write.partitionBy(key).parquet(path)
 
 
 # Quality
@@ -151,11 +154,11 @@ def read_genes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFrame:
-    """(chrom, start, seq): sequences in pieces of about `chunk` bases. Files are read by record, split at the header mark."""
+    """(chrom, start, seq): sequences in pieces of about `chunk` bases. Files are read by record, split at the header mark, and a record is cut once."""
     records = spark.read.text(path, lineSep=">").filter("length(trim(value)) > 0")
-    parts = records.select(F.regexp_extract("value", r"^(\S+)", 1).alias("chrom"), F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n", ""), r"\s", "")).alias("s"))
-    cut = parts.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.length("s") - 1, F.lit(0)).cast("long"), F.lit(chunk).cast("long"))))
-    return cut.select("chrom", "start", F.expr(f"substring(s, cast(start as int) + 1, {chunk})").alias("seq"))
+    bases = F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n", ""), r"\s", ""))
+    parts = records.select(F.regexp_extract("value", r"^(\S+)", 1).alias("chrom"), F.posexplode(F.regexp_extract_all(bases, F.lit(f"[^\\s]{{1,{chunk}}}"), F.lit(0))).alias("i", "seq"))
+    return parts.select("chrom", (F.col("i").cast("long") * chunk).alias("start"), "seq")
 
 
 def sequences(regions: DataFrame, genome: DataFrame, chunk: int = 1 << 20) -> DataFrame:
@@ -190,36 +193,108 @@ def read_motifs(spark: SparkSession, path: str) -> list[tuple[str, list[list[flo
 
 
 def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(id, seq, quality, file, n): n is the record's number in its file. Records are framed by whole files, four lines each."""
+    """(id, seq, quality, file, n): n is the record's number in its file.
+
+    Files are read by lines, gzip ones as streams and plain ones in blocks; a first pass counts the lines of each block, so that every line knows
+    its number in the file. Records are framed as the lines go by; only those that a block's end cuts meet in a shuffle.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("m")).withColumn("start", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    blocks = materialise(blocks.select("file", "block", "start"))  # a row per block of a file
 
     def frame(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, lines_, held = None, 0, []  # held: the lines of the record that isn't complete, as (number, text)
         for batch in batches:
-            for file, text in zip(batch["file"], batch["value"], strict=True):
-                lines = text.split("\n")
-                n = len(lines) // 4
-                yield pd.DataFrame({"id": [x.split()[0][1:] for x in lines[0 : 4 * n : 4]], "seq": lines[1 : 4 * n : 4], "quality": lines[3 : 4 * n : 4], "file": file, "n": range(n)})
-
-    whole = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("file"))
-    return whole.mapInPandas(frame, "id string, seq string, quality string, file string, n long")
-
-
-def write_fastq(reads: DataFrame, path: str) -> None:
-    reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "id"), "seq", F.lit("+"), "quality").alias("value")).write.text(path, compression="gzip")
+            out: list[tuple] = []
+            for value, file, block, start in batch[["value", "file", "block", "start"]].itertuples(index=False, name=None):
+                if at != (file, block):
+                    if held and not (at[0] == file and start == at_start + lines_):
+                        out += [(None, None, None, at[0], k // 4, k % 4, v) for k, v in held]
+                        held = []
+                    at, at_start, lines_ = (file, block), start, 0
+                k = start + lines_
+                lines_ += 1
+                held.append((k, value))
+                if k % 4 == 3:
+                    if len(held) == 4:
+                        texts = [v for _, v in held]
+                        out.append((_read_id(texts[0]), texts[1], texts[3], file, k // 4, None, None))
+                    else:
+                        out += [(None, None, None, file, j // 4, j % 4, v) for j, v in held]
+                    held = []
+            yield pd.DataFrame(out, columns=FRAMED).astype({"part": "Int32"})
+        if held:
+            yield pd.DataFrame([(None, None, None, at[0], k // 4, k % 4, v) for k, v in held], columns=FRAMED).astype({"part": "Int32"})
+
+    framed = lines.join(F.broadcast(blocks), ["file", "block"]).select("value", "file", "block", "start").mapInPandas(frame, "id string, seq string, quality string, file string, n long, part int, text string")
+    whole = framed.filter("part is null").select("id", "seq", "quality", "file", "n")
+    if not blocks.filter("start > 0").limit(1).count():
+        return whole
+    part = lambda k: F.max(F.when(F.col("part") == k, F.col("text")))
+    cut = framed.filter("part is not null").groupBy("file", "n").agg(F.regexp_extract(part(0), r"^.(\S*)", 1).alias("id"), part(1).alias("seq"), part(3).alias("quality")).filter("id is not null and quality is not null")
+    return whole.unionByName(cut.select("id", "seq", "quality", "file", "n"))
+
+
+FRAMED = ["id", "seq", "quality", "file", "n", "part", "text"]
+
+
+def _read_id(line: str) -> str:
+    return line[1:].split(None, 1)[0] if line[1:].strip() else ""
+
+
+def write_fastq(reads: DataFrame, path: str, compression: str = "gzip") -> None:
+    reads.select(F.concat_ws("\n", F.concat(F.lit("@"), "id"), "seq", F.lit("+"), "quality").alias("value")).write.text(path, compression=compression)
 
 
 def read_bam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The alignments of BAM files: name, flag, chrom, start, end, mapq, tlen, quality (the sum of those of at least 15), ms, order.
 
-    A file is one record of Spark's binary reader, so each must fit in a task's memory.
+    A task streams a file, block by block, and holds a batch of alignments; files are in a store that pyarrow.fs knows.
     """
-    from .bam import COLUMNS, alignments
+    from .bam import COLUMNS, alignments, opened
 
     def decode(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for data in batch["content"]:
-                yield from alignments(bytes(data))
+            for one in batch["path"]:
+                with opened(one) as f:
+                    yield from alignments(f)
+
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.repartition(max(1, files.count()), "path").mapInPandas(decode, COLUMNS)
+
+
+def write_bam(reads: DataFrame, folder: str) -> None:
+    """A BAM file per partition of reads (name, flag, chrom, start, end, mapq, tlen, ms; one matching stretch each). Reference names are taken from the rows, of which there are few."""
+    from .bam import write
+
+    names = [r.chrom for r in reads.select("chrom").filter("chrom is not null").distinct().orderBy("chrom").collect()]
+    columns = ["name", "flag", "chrom", "start", "end", "mapq", "tlen", "ms"]
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        yield pd.DataFrame({"n": [write(f"{folder}/part-{TaskContext.get().partitionId():05d}.bam", names, batches)]})
+
+    reads.select(*columns).mapInPandas(run, "n long").agg(F.sum("n")).collect()
+
+
+def read_edges(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(src, dst, distance) of a neighbour graph as text: a line per edge, separated by tabs."""
+    return _tab(spark, path, "src string, dst string, distance double")
+
+
+def write_edges(edges: DataFrame, path: str) -> None:
+    edges.select("src", "dst", "distance").write.csv(path, sep="\t", compression="gzip")
+
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(decode, COLUMNS)
+def resolved(spark: SparkSession, given: str | None, known: dict[str, str], assembly: str) -> str:
+    """The path of a genome, annotation or motif file: the given one if something is there, else that of the assembly; nothing is fetched."""
+    for path in filter(None, (given, known.get(assembly))):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            return path
+    raise FileNotFoundError(f"neither {given} nor a file of {assembly}")
 
 
 # Matrices

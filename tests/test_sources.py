@@ -82,7 +82,38 @@ def test_bam(spark, tmp_path):
     (r,) = tables.read_bam(spark, str(tmp_path / "a.bam")).collect()
     assert (r.name, r.flag, r.chrom, r.start, r.end, r.mapq, r.tlen, r.quality, r.ms) == ("AA:1", 99, "chr1", 99, 102, 60, 100, 90, 77)
     with pytest.raises(ValueError, match="BAM"):
-        bam.references(b"nope")
+        bam.references(bam.Buffer(iter([b"nope"])))
+
+
+def test_bam_streams_in_bounded_memory(spark, tmp_path):
+    """A file of many blocks is read a piece at a time, and what was written comes back."""
+    reads = spark.range(30_000).selectExpr("concat('A', id % 50, ':', id) AS name", "99 AS flag", "concat('chr', id % 3) AS chrom", "id * 10 AS start", "id * 10 + 50 AS end", "30 AS mapq", "200L AS tlen", "IF(id % 2 = 0, id, NULL) AS ms")
+    tables.write_bam(reads.repartition(3), str(tmp_path / "b"))
+    got = tables.read_bam(spark, str(tmp_path / "b")).select(*reads.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, reads.collect()))
+    file = next((tmp_path / "b").glob("*.bam"))
+    sizes = []
+    with open(file, "rb") as f:
+        buffer = bam.Buffer(bam.inflated(f, 1000))
+        bam.references(buffer)
+        while buffer.has(4):
+            buffer.take(struct.unpack("<i", buffer.take(4))[0])
+            sizes.append(len(buffer.data))
+    assert 9000 < len(sizes) < 11_000 and max(sizes) < 200_000
+
+
+def test_fastq_in_blocks(spark, tmp_path):
+    """A plain file that is read in many blocks, which cut records, gives every record once with its number."""
+    text = "".join(f"@r{i} x\n{'ACGT' * (i % 9 + 1)}\n+\n{'@III' * (i % 9 + 1)}\n" for i in range(5000))
+    path = write(tmp_path / "r.fastq", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = sorted((r.n, r.id, r.seq, r.quality) for r in tables.read_fastq(spark, path).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == [(i, f"r{i}", "ACGT" * (i % 9 + 1), "@III" * (i % 9 + 1)) for i in range(5000)]
 
 
 def test_stream(spark, tmp_path):
