@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -51,3 +51,21 @@ def demultiplexed(reads: DataFrame, index: DataFrame, table: DataFrame, k: int)
     """Reads (by file and number with their index read) renamed barcode:id; reads without a known barcode are left out."""
     keyed = index.select("n", F.substring("seq", 1, k).alias("observed"))
     return reads.join(keyed, "n").join(table, "observed").withColumn("id", S.tagged(F.col("barcode"), F.col("id"))).select("n", "id", "seq", "quality")
+
+
+def demultiplexed_files(spark: SparkSession, index: str | list[str], reads: list[str | list[str]], k: int, keep: int | None = None) -> list[DataFrame]:
+    """The reads of each file set, named by the corrected barcodes of the index reads of the same number in the file of the same rank.
+
+    keep: the number of barcodes; None: as many as the rank curve's threshold says.
+    """
+    from ..sources.tables import read_fastq
+
+    def ranked(path: str | list[str]) -> DataFrame:
+        df = read_fastq(spark, path)
+        rank = df.select("file").distinct().select("file", F.row_number().over(Window.orderBy(F.substring_index("file", "/", -1), "file")).alias("f"))  # a row per file
+        return df.join(F.broadcast(rank), "file").withColumn("n", F.struct("f", "n"))
+
+    own = ranked(index)
+    counts = barcode_counts(own.select("seq", F.col("n.n").alias("n")), k)
+    table = corrections(counts, threshold(counts) if keep is None else keep)
+    return [demultiplexed(ranked(path), own, table, k) for path in reads]

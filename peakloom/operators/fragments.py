@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
+from ..storage import running
 
 #: Bits of alignment flags.
 MULTI, MATE_UNMAPPED, REVERSE, FIRST, DROPPED = 0x1, 0x8, 0x10, 0x40, 0x70C
@@ -91,3 +92,8 @@ def query_base(df: DataFrame) -> DataFrame:
     """Sites as the single base that is looked up in regions: the last for -, else the first."""
     at = F.when(~F.col("strand"), F.col("end") - 1).otherwise(F.col("start"))
     return df.withColumn("start", at).withColumn("end", F.col("start") + 1)
+
+
+def by_name(df: DataFrame, name: str = "barcode") -> DataFrame:
+    """df in the order of a name, with place, a row's number in it from 0: for tools that need rows of a name together; operators here group by hash."""
+    return running(df, [], [name], "place").orderBy("place")
