@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
+from ..storage import materialise
 from .intervals import coverage, interval_join, merged, suppressed
 
 
@@ -72,24 +73,27 @@ def call_peaks(sites: DataFrame, gsize: int, by: str = "cluster", config: Config
     """
     at = F.when(F.coalesce("strand", F.lit(True)), F.col("start") + config.peak_shift).otherwise(F.col("end") - config.peak_shift - config.peak_extend)
     tags = sites.select(by, "chrom", F.greatest(F.lit(0), at).alias("start"), (at + config.peak_extend).alias("end")).filter("end > start")
+    tags = materialise(tags)
     keyed = tags.withColumn("chrom", F.concat_ws("\t", by, "chrom"))
     depth = coverage(keyed).filter(F.col("depth") >= least)
     totals = tags.groupBy(by).agg(F.count("*").alias("total"))
     near = keyed.groupBy("chrom", F.floor(F.col("start") / local).alias("w")).agg(F.count("*").alias("near"))
     d = depth.withColumn("w", F.floor(F.col("start") / local)).join(near, ["chrom", "w"], "left").withColumn(by, F.split("chrom", "\t")[0]).join(totals, by)
     rate = F.greatest(F.col("total") * config.peak_extend / float(gsize), F.coalesce("near", F.lit(0)) * config.peak_extend / float(local), F.lit(1e-9))
-    law = d.select(by, "depth", F.bround(rate, 6).alias("rate")).distinct()
-    d = d.withColumn("rate", F.bround(rate, 6)).join(law.withColumn("pvalue", poisson_tail(F.col("depth").cast("double"), "rate")), [by, "depth", "rate"])
+    d = materialise(d.select(by, "chrom", "start", "end", "depth", F.bround(rate, 6).alias("rate")))
+    law = d.select(by, "depth", "rate").distinct()
+    d = d.join(law.withColumn("pvalue", poisson_tail(F.col("depth").cast("double"), "rate")), [by, "depth", "rate"])
+    d = materialise(d)
     # Benjamini and Hochberg over distinct p-values, each weighed by the bases that have it.
     bases = d.groupBy(by, "pvalue").agg(F.sum(F.col("end") - F.col("start")).alias("m"))
     down = Window.partitionBy(by).orderBy(F.desc("pvalue"))
     up = Window.partitionBy(by).orderBy("pvalue")
     q = F.col("pvalue") - F.log10(F.lit(float(gsize)) / F.sum("m").over(down.rowsBetween(Window.unboundedPreceding, 0)))
     bases = bases.withColumn("q", q).withColumn("qvalue", F.max("q").over(up.rowsBetween(Window.unboundedPreceding, 0)))
-    hits = d.join(bases.select(by, "pvalue", "qvalue"), [by, "pvalue"]).filter(F.col("qvalue") >= -math.log10(config.peak_q))
+    hits = materialise(d.join(bases.select(by, "pvalue", "qvalue"), [by, "pvalue"]).filter(F.col("qvalue") >= -math.log10(config.peak_q)))
     regions = merged(hits.select("chrom", "start", "end"))
     best = interval_join(regions.select("chrom", "start", "end"), hits.select("chrom", "start", "end", "depth", "pvalue", "qvalue"))
-    top = F.max_by(F.struct("r_start", "r_end", "depth", "pvalue", "qvalue"), F.struct("pvalue", -F.col("r_start")))
+    top = F.max_by(F.struct("r_start", "r_end", "depth", "pvalue", "qvalue"), F.struct(F.round("pvalue", 9), -F.col("r_start")))
     out = best.groupBy("chrom", "start", "end").agg(top.alias("t"))
     summit = F.expr("(t.r_start + t.r_end) div 2") - F.col("start")
     return out.select(F.split("chrom", "\t")[0].alias(by), F.split("chrom", "\t")[1].alias("chrom"), "start", "end", summit.alias("summit"), F.col("t.depth").cast("double").alias("signal"), "t.pvalue", "t.qvalue")

@@ -16,6 +16,7 @@ from ..operators import fragments as R
 from ..operators import intervals as I
 from ..operators import peaks as P
 from ..operators import qc as Q
+from ..storage import materialise
 from . import cluster, doublets, embed, motifs
 from . import views as V
 
@@ -573,7 +574,7 @@ def _vectors(spark, d):
 @query()
 def m1_m2_m3_m4_spectral(spark, d):
     v = embed.spectral(_matrix(spark, d).withColumnRenamed("barcode", "cell"), 10, feature="peak")
-    return v.select("cell", F.size("vec").alias("dims"))
+    return v
 
 
 @query()
@@ -605,7 +606,7 @@ def m7_layout(spark, d):
 
 
 def _graph(spark, d):
-    return embed.with_weights(embed.neighbours(_vectors(spark, d)))
+    return materialise(embed.with_weights(embed.neighbours(_vectors(spark, d))))
 
 
 @query()
@@ -624,11 +625,29 @@ def m15_doublets(spark, d):
     return doublets.doublet_scores(_matrix(spark, d).withColumnRenamed("barcode", "cell"), feature="peak")[0]
 
 
-@query()
+@query("""WITH g AS (SELECT CAST(floor(0.9::DOUBLE * sum(m)) AS BIGINT) AS gsize FROM (SELECT max(cend) AS m FROM fr WHERE chrom <> 'chrM' GROUP BY chrom)),
+  st AS (SELECT barcode, chrom, p0 - p0 % 20000 + p0 % 40 - 100 + o0 AS a0 FROM (SELECT barcode, chrom, unnest([cstart, cend - 1]) AS p0, unnest([0, 1]) AS o0 FROM fr WHERE chrom <> 'chrM')),
+  tag AS (SELECT c.cluster AS c, st.chrom, greatest(0, a0) AS s, a0 + 200 AS e FROM st JOIN cl c USING (barcode) WHERE a0 + 200 > greatest(0, a0)),
+  ev AS (SELECT c, chrom, p, sum(v) AS v FROM (SELECT c, chrom, s AS p, 1 AS v FROM tag UNION ALL SELECT c, chrom, e, -1 FROM tag) GROUP BY ALL),
+  dep AS (SELECT * FROM (SELECT c, chrom, p AS s, lead(p) OVER w AS e, CAST(sum(v) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n FROM ev WINDOW w AS (PARTITION BY c, chrom ORDER BY p)) WHERE n >= 2),
+  near AS (SELECT c, chrom, s // 10000 AS w, count(*) AS near FROM tag GROUP BY ALL), tot AS (SELECT c, count(*) AS total FROM tag GROUP BY c),
+  d AS (SELECT dep.*, round_even(greatest(total * 200 / gsize::DOUBLE, coalesce(near, 0) * 200 / 10000.0::DOUBLE, 1e-9), 6) AS r FROM dep JOIN tot USING (c) LEFT JOIN near ON near.c = dep.c AND near.chrom = dep.chrom AND near.w = dep.s // 10000, g),
+  law AS (SELECT n, r, CASE WHEN n <= r THEN -log10(greatest(1 - list_sum(list_transform(range(n), lambda j: exp(-r + j * ln(r) - lgamma(j + 1)))), 1e-300))
+    ELSE -(-r + n * ln(r) - lgamma(n + 1)) / ln(10) - log10(list_sum(list_transform(range(300), lambda i: exp(i * ln(r) - lgamma(n + i + 1) + lgamma(n + 1))))) END AS p FROM (SELECT DISTINCT n, r FROM d)),
+  dp AS (SELECT d.c, d.chrom, d.s, d.e, d.n, law.p FROM d JOIN law USING (n, r)), base AS (SELECT c, p, sum(e - s) AS m FROM dp GROUP BY c, p),
+  q0 AS (SELECT c, p, p - log10(gsize::DOUBLE / sum(m) OVER (PARTITION BY c ORDER BY p DESC ROWS UNBOUNDED PRECEDING)) AS q FROM base, g), q AS (SELECT c, p, max(q) OVER (PARTITION BY c ORDER BY p ROWS UNBOUNDED PRECEDING) AS q FROM q0),
+  sig AS (SELECT dp.*, q.q FROM dp JOIN q USING (c, p) WHERE q.q >= -log10(0.05::DOUBLE)),
+  fl AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY c, chrom ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM sig),
+  rg AS (SELECT *, sum(new) OVER (PARTITION BY c, chrom ORDER BY s ROWS UNBOUNDED PRECEDING) AS i FROM fl),
+  top AS (SELECT c, chrom, min(s) OVER (PARTITION BY c, chrom, i) AS rs, max(e) OVER (PARTITION BY c, chrom, i) AS re, s, e, n, p, q, row_number() OVER (PARTITION BY c, chrom, i ORDER BY round(p, 9) DESC, s) AS k FROM rg)
+  SELECT c AS cluster, chrom, rs AS s, re AS e, CAST((s + e) // 2 - rs AS BIGINT) AS summit, n::DOUBLE AS signal, round(p, 4) AS pvalue, round(q, 4) AS qvalue FROM top WHERE k = 1""")
 def m17_called_peaks(spark, d):
-    at = F.col("start") - F.col("start") % 20_000 + F.col("start") % 40  # sites gathered in spots
-    s = C.routed(_sites(spark, d).drop("sample").withColumn("start", at).withColumn("end", at + 1), V.clusters(spark, d))
-    return P.call_peaks(s, 5_000_000)
+    f = R.without_mitochondrial(V.fragments(spark, d))
+    size = P.genome_size(f.groupBy("chrom").agg(F.max("end").alias("length"))).first()[0]
+    at = F.col("start") - F.col("start") % 20_000 + F.col("start") % 40  # all sites, gathered in spots, as the tables' positions are even
+    sites = C.routed(_sites(spark, d).drop("sample").withColumn("start", at).withColumn("end", at + 1), V.clusters(spark, d))
+    found = P.call_peaks(sites, size)
+    return found.select("cluster", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), "summit", "signal", F.round("pvalue", 4).alias("pvalue"), F.round("qvalue", 4).alias("qvalue"))
 
 
 @query()
@@ -647,7 +666,7 @@ def m18_j22_motif_sites(spark, d):
   l AS (SELECT motif, cell, avg(y) AS m, stddev_samp(y) AS s FROM y WHERE i > 0 GROUP BY ALL)
   SELECT motif, cell, round(y - m, 5) AS deviation FROM y JOIN l USING (motif, cell) WHERE i = 0""")
 def m20_a28_deviations(spark, d):
-    m = _matrix(spark, d).withColumnRenamed("barcode", "cell")
+    m = materialise(_matrix(spark, d).withColumnRenamed("barcode", "cell"))
     p = m.groupBy("peak").agg(F.sum("count").alias("reads")).withColumn("gc", (F.col("peak") % 10) / 10.0)
     pairs = p.select(F.concat(F.lit("M"), F.col("peak") % 12).alias("motif"), "peak")
     return motifs.deviations(m, pairs, motifs.backgrounds(p)).select("motif", "cell", F.round("deviation", 5).alias("deviation"))
