@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config, QcCutoffs
@@ -24,10 +24,13 @@ def tss_enrichment(fragments: DataFrame, promoters: DataFrame, cell: str = "barc
     counts = hits.groupBy(cell, (F.col("start") - F.col("r_start")).alias("off")).agg(F.count("*").alias("n"))
     in_flank = (F.col("off") < flank) | (F.col("off") >= length - flank)
     background = counts.groupBy(cell).agg((F.sum(F.when(in_flank, F.col("n")).otherwise(0)) / (2.0 * flank) + config.tss_pseudo).alias("bg"))
-    spread = counts.select(cell, "n", F.explode(F.sequence(F.greatest(F.lit(0), F.col("off") - taps), F.least(F.lit(length - 1), F.col("off") + taps))).alias("at"))
-    sums = spread.groupBy(cell, "at").agg(F.sum("n").alias("n"))
-    width = F.least(F.lit(length - 1), F.col("at") + taps) - F.greatest(F.lit(0), F.col("at") - taps) + 1
-    best = sums.groupBy(cell).agg(F.max(F.col("n") / width).alias("top"))
+    # A window that is whole has the highest sum if it begins at a cut or ends at the last place; windows cut off at the ends are few and summed as they are.
+    full, last = 2 * taps + 1, length - 1
+    ahead = F.sum("n").over(Window.partitionBy(cell).orderBy("off").rangeBetween(0, full - 1))
+    sums = counts.withColumn("ahead", F.when(F.col("off") <= last - full + 1, ahead))
+    within = lambda met: F.coalesce(F.sum(F.when(met, F.col("n"))), F.lit(0))
+    ends = [within(F.col("off") <= i + taps) / (i + taps + 1) for i in range(taps)] + [within(F.col("off") >= last - i - taps) / (i + taps + 1) for i in range(taps + 1)]
+    best = sums.groupBy(cell).agg(F.greatest(F.coalesce(F.max("ahead"), F.lit(0)) / full, *ends).alias("top"))
     return best.join(background, cell).select(cell, (F.col("top") / F.col("bg")).alias("tsse"))
 
 

@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 import struct
 import zlib
 
@@ -116,6 +117,20 @@ def test_fastq_in_blocks(spark, tmp_path):
     assert got == [(i, f"r{i}", "ACGT" * (i % 9 + 1), "@III" * (i % 9 + 1)) for i in range(5000)]
 
 
+def test_stream_forgets_old_fragments(spark, tmp_path):
+    """A copy within the delay doesn't count; what is kept of fragments goes once the delay has passed."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, day in enumerate((0, 1, 30, 31, 60)):  # what is old is forgotten at the end of a batch
+        path = write(folder / f"{i}.bed", f"chr1\t1\t5\tA\t1\t.\nchr1\t{i + 10}\t{i + 20}\tA\t1\t.\n")
+        os.utime(path, (1_700_000_000 + day * 86_400,) * 2)
+    q = stream.cell_counts(stream.fragment_stream(spark, str(folder), 1), "2 days").writeStream.outputMode("complete").format("memory").queryName("late").start()
+    q.processAllAvailable()
+    kept = max(op["numRowsTotal"] for op in q.lastProgress["stateOperators"] if "dedupe" in op["operatorName"].lower())
+    q.stop()
+    assert spark.table("late").first().uniq == 7 and kept <= 5
+
+
 def test_stream(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
