@@ -25,9 +25,9 @@ def attach(df: DataFrame, groups: DataFrame, key: str | list[str], size: str, to
     """Left join of df with groups (one row per non-null key, size = rows of df with that key).
 
     The rows of heavy keys meet a broadcast table of fewer than HEAVY_PARTS rows; the rest
-    shuffle by keys of which none has more than max(1000, total / HEAVY_PARTS) rows.
+    shuffle by keys of which none has more than max(100, total / HEAVY_PARTS) rows.
     """
-    most = max(1000, total // HEAVY_PARTS)
+    most = max(100, total // HEAVY_PARTS)
     heavy = groups.filter(F.col(size) > most)
     if not heavy.limit(1).count():
         return df.join(groups, key, "left")

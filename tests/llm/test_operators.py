@@ -169,6 +169,9 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {**dict.fromkeys(range(41), 0), 90: 90, 95: 90, 100: 90}
+    odd = spark.createDataFrame([(1, None), (None, 2), (None, None), (3, 3), (5, 4)], "a long, b long")
+    assert {r.node: r.component for r in components.components(odd, "a", "b").collect()} == {4: 4, 5: 4}
+    assert components.components(odd.filter("false"), "a", "b").count() == 0
 
 
 def test_toxicity_held_out(spark):
