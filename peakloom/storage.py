@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A table is broadcast only if it has at most this many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of a row group, which a task that writes holds in memory.
+ROW_GROUP = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +33,7 @@ def new_path(spark: SparkSession) -> str:
 def materialise(df: DataFrame, **options: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back, which cuts its lineage and fixes its row ids."""
     path = new_path(df.sparkSession)
-    df.write.options(**options).parquet(path)
+    df.write.options(**{"parquet.block.size": str(ROW_GROUP), **options}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
