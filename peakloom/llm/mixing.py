@@ -30,6 +30,8 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_WORDS = 1024
 CHUNK = 1 << 14
+#: Slots of a partition of the mix, at most.
+RUN_SLOTS = 1 << 14
 #: The golden ratio's fractional part times 2**31, made odd: i * GOLDEN modulo 2**31 runs through all points.
 POINTS, GOLDEN = 1 << 31, 1327217885
 #: A source of all rows would have at most a sixteenth of this many in a part of its order.
@@ -159,5 +161,9 @@ def mix(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") ->
     parts = F.transform("__takes", lambda t: F.struct(t["slot"].alias("slot"), t["start"].alias("start"), F.when(t["n_words"] < F.col("__size"), some(t)).alias("piece")))
     rows = split.select(*own, F.explode(parts).alias("__t")).withColumns({"__slot": F.col("__t.slot"), "__start": F.col("__t.start"), "__text": F.coalesce("__t.piece", text)})
     made = {text_col: F.col("__text"), **({length_col: F.length("__text").cast(docs.schema[length_col].dataType)} if length_col in names else {})}
-    ordered = rows.repartitionByRange("__slot", "__start").sortWithinPartitions("__slot", "__start")
+    # Partitions are runs of slots, which are known without a look at the rows.
+    total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    run = min(RUN_SLOTS, max(1024, total // 64))
+    n = max(1, -(-total // run))
+    ordered = rows.repartitionById(n, F.least(F.lit(n - 1), F.expr(f"__slot div {run}")).cast("int")).sortWithinPartitions("__slot", "__start")
     return ordered.select(*(made.get(c, F.col(column[c])).alias(c) for c in names))

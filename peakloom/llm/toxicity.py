@@ -42,6 +42,8 @@ TOLERATED = 0.005
 #: The bound of the model: labelled documents that it learns from, whose words bound its features.
 MAX_TRAINING = 400_000
 FOLDS = 5
+#: Bytes of text that a worker takes apart at once, about.
+TEXT = 1 << 20
 WORDS = re.compile(r"[^\W_]+")
 
 
@@ -129,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
-        for batch in slices(batches, column=0):
+        for batch in slices(batches, column=0, most=TEXT):
             toxic = pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
             offsets, codes, words = tokens(batch.column(0))
             doc = np.repeat(np.arange(len(toxic)), np.diff(offsets))
@@ -183,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, **names: str) -> Model:
     def exceed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         m, memo = shipped.value, {}
-        for batch in slices(batches, column=0):
+        for batch in slices(batches, column=0, most=TEXT):
             found = expected = 0.0
             for n, parts in scan_batch(batch.column(0), m, memo):
                 found += sum(s >= high for _, _, s in parts)
@@ -236,7 +238,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         m, memo = shipped.value, {}
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXT):
             out, where = [], []
             for n, parts in scan_batch(batch.column(1), m, memo):
                 out.append(TOLERATED / (TOLERATED + chance(parts, n, m.scale, m.k)))
@@ -267,7 +269,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         m, memo = shipped.value, {}
-        for batch in slices(batches, column=place):
+        for batch in slices(batches, column=place, most=TEXT):
             clean = [TOLERATED / (TOLERATED + chance(parts, n, m.scale, m.k)) < 0.5 for n, parts in scan_batch(batch.column(place), m, memo)]
             yield batch.filter(pa.array(clean, pa.bool_()))
         release()
