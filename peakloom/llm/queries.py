@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, licenses, media, mixing, ngram_join, quotes, secret_scan, toxicity, url_filter
+from . import audit, bpe, exact_dedup, licenses, media, mixing, negatives, ngram_join, packing, quotes, secret_scan, toxicity, url_filter
 
 #: The rules of op8 as (verdict, host, path).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -56,6 +57,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.usable(_table(spark, sf_dir, "embeddings"), label=label), F.col("id") % 100 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op2_toxicity, op3_bpe_codec, op4_exact_dedup, op5_license_scan, op6_media_columns, op7_source_mix, op8_url_filter, op9_quote_links, op10_secret_scan, pipeline)
+    for f in (op1_ngram_jaccard_join, op2_toxicity, op3_bpe_codec, op4_exact_dedup, op5_license_scan, op6_media_columns, op7_source_mix, op8_url_filter, op9_quote_links, op10_secret_scan, op11_packing, op12_hard_negatives, op13_filter_audit, pipeline)
 }
 
 _OP4 = r"""
@@ -114,4 +128,4 @@ FROM p LEFT JOIN rules r ON (p.host = r.rh OR ends_with(p.host, '.' || r.rh)) AN
 QUALIFY row_number() OVER (PARTITION BY p.page_id, p.host, p.path ORDER BY length(r.rule) DESC NULLS LAST, r.rule) = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": _OP4, "op7_source_mix": _OP7, "op8_url_filter": _OP8, "op9_quote_links": quotes.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": _OP4, "op7_source_mix": _OP7, "op8_url_filter": _OP8, "op9_quote_links": quotes.ORACLE_SQL, "op12_hard_negatives": negatives.ORACLE_SQL, "op13_filter_audit": audit.ORACLE_SQL}
