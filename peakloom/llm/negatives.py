@@ -35,7 +35,7 @@ POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90
 SCALE = 256
 #: Rows of the sample that planes are fitted to and searches start from, and of a leaf of it; anchors of a block; vectors of a leaf.
-SAMPLE, SAMPLE_LEAF, ANCHORS, LEAF = 4096, 64, 8192, 64
+SAMPLE, SAMPLE_LEAF, ANCHORS, LEAF = 4096, 64, 8192, 32
 NEVER = np.iinfo(np.int64).max
 
 
@@ -86,7 +86,7 @@ def direction(x: np.ndarray) -> np.ndarray:
 
 
 def build(x: np.ndarray, leaf: int = LEAF) -> Tree:
-    """A tree by halves along directions; equal vectors are cut like others, so it is balanced."""
+    """A tree by cuts along directions: in the middle of the vectors' range, or in halves where that leaves less than an eighth on a side. Equal vectors are cut like others."""
     x = x.astype(np.float64)
     order, start, end, left, right, centres, radii = np.arange(len(x)), [], [], [], [], [], []
 
@@ -96,8 +96,12 @@ def build(x: np.ndarray, leaf: int = LEAF) -> Tree:
         start.append(a), end.append(b), left.append(-1), right.append(-1), centres.append(centre)
         radii.append(float(np.sqrt(((own - centre) ** 2).sum(axis=1).max())))
         if b - a > leaf:
-            order[a:b] = order[a:b][np.argsort(own @ direction(own), kind="stable")]
-            middle = (a + b) // 2
+            along = own @ direction(own)
+            by = np.argsort(along, kind="stable")
+            order[a:b] = order[a:b][by]
+            middle = a + int(np.searchsorted(along[by], (along.min() + along.max()) / 2))
+            if min(middle - a, b - middle) < (b - a) / 8:
+                middle = (a + b) // 2
             left[at], right[at] = node(a, middle), node(middle, b)
         return at
 
