@@ -208,6 +208,7 @@ def s3_k5_fastq_files(spark, d):
 
 @query('SELECT name, flag, chrom, cstart AS s, cend AS e, mapq, tlen, CASE WHEN ord % 3 > 0 THEN quality END AS ms FROM rd')
 def s4_bam_files(spark, d):
+    """Each file is read in ranges, by several tasks."""
     path = _path(spark, "bam")
     r = V.reads(spark, d)
     T.write_bam(r.withColumn("ms", F.expr("IF(order % 3 > 0, quality, NULL)")), path)

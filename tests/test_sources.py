@@ -1,3 +1,4 @@
+import contextlib
 import gzip
 import json
 import os
@@ -82,8 +83,17 @@ def test_bam(spark, tmp_path):
     (tmp_path / "a.bam").write_bytes(c.compress(raw[:30]) + c.flush() + gzip.compress(raw[30:]))
     (r,) = tables.read_bam(spark, str(tmp_path / "a.bam")).collect()
     assert (r.name, r.flag, r.chrom, r.start, r.end, r.mapq, r.tlen, r.quality, r.ms) == ("AA:1", 99, "chr1", 99, 102, 60, 100, 90, 77)
-    with pytest.raises(ValueError, match="BAM"):
-        bam.references(bam.Buffer(iter([b"nope"])))
+    (tmp_path / "no.bam").write_bytes(gzip.compress(b"nope"))
+    with open_file(tmp_path / "no.bam") as (f, size), pytest.raises(ValueError, match="BAM"):
+        bam.references(bam.Inflated(f, size, 0))
+
+
+@contextlib.contextmanager
+def open_file(path):
+    from pyarrow import fs
+
+    with fs.LocalFileSystem().open_input_file(str(path)) as f:
+        yield f, os.path.getsize(path)
 
 
 def test_bam_streams_in_bounded_memory(spark, tmp_path):
@@ -94,13 +104,34 @@ def test_bam_streams_in_bounded_memory(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, reads.collect()))
     file = next((tmp_path / "b").glob("*.bam"))
     sizes = []
-    with open(file, "rb") as f:
-        buffer = bam.Buffer(bam.inflated(f, 1000))
-        bam.references(buffer)
-        while buffer.has(4):
-            buffer.take(struct.unpack("<i", buffer.take(4))[0])
-            sizes.append(len(buffer.data))
-    assert 9000 < len(sizes) < 11_000 and max(sizes) < 200_000
+    with open_file(file) as (f, size):
+        data = bam.Inflated(f, size, 0)
+        _, at = bam.references(data)
+        while data.has(at + 4):
+            at += 4 + struct.unpack("<i", data.get(at, at + 4))[0]
+            data.forget(at)
+            sizes.append(len(data.data))
+    assert 9000 < len(sizes) < 11_000 and max(sizes) < 400_000
+
+
+def test_bam_ranges_begin_anywhere(spark, tmp_path):
+    """Wherever a file is cut, at every block and inside blocks and alignments, each alignment is in one range, in order; blocks are shorter than some alignments."""
+    import pandas as pd
+
+    n = 60
+    rows = pd.DataFrame({"name": [f"A{i % 5}:{'x' * (i % 7 * 30 + 1)}{i}" for i in range(n)], "flag": 99, "chrom": [f"chr{i % 3}" for i in range(n)], "start": range(n), "end": [i + 50 for i in range(n)], "mapq": 30, "tlen": 200, "ms": [i if i % 2 else None for i in range(n)]})
+    path = str(tmp_path / "one" / "a.bam")
+    assert bam.write(path, ["chr0", "chr1", "chr2"], [rows], block=97) == n
+    with open_file(path) as (f, size):
+        whole = pd.concat(bam.alignments(f, size))
+        assert whole["name"].tolist() == rows["name"].tolist() and whole["order"].is_monotonic_increasing and whole["order"].is_unique
+        blocks = sorted({x >> 16 for x in whole["order"]})
+        for cuts in [[c] for c in {*blocks, *range(1, size, 13)}] + [list(range(step, size, step)) for step in (40, 150, 333, 1000)]:
+            parts = [r for a, b in zip([0, *cuts], [*cuts, size], strict=True) for r in bam.alignments(f, size, a, b)]
+            assert pd.concat(parts).reset_index(drop=True).equals(whole), cuts
+    got = tables.read_bam(spark, path, split=size // 8 + 1)
+    assert got.rdd.getNumPartitions() == 8
+    assert [r.name for r in got.orderBy("order").collect()] == rows["name"].tolist()
 
 
 def test_fastq_in_blocks(spark, tmp_path):
