@@ -1,11 +1,11 @@
 """License scans: Aho-Corasick for tags and notices, shunting-yard for licence expressions.
 
 Texts are taken as words: UTF-8 bytes with A-Z lower-cased, split at all ASCII that is no letter or digit.
-One automaton over the words finds the notice phrases and the places of identifier tags. At a tag
+One automaton over the words finds the notice phrases and the places of identifier tags. Behind the words of a tag
 the raw text is read up to the end of its line as an expression of identifiers, AND, OR, WITH and
 parentheses, which a shunting-yard parser turns into postfix order. Evaluation takes the least
 restrictive side of OR, the most restrictive of AND, and an exception (WITH) halves a restriction.
-A malformed expression is read up to its fault.
+A malformed expression is read up to its fault. Words that are no known identifier, nor a LicenseRef-, give no label, and an expression of such alone is none.
 
 scan() gives per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score
 (the highest restriction found, 0 to 1; 0 where nothing is found), expressions and findings (label, first
@@ -39,23 +39,28 @@ TAG = "spdx license identifier"
 #: How identifiers start, and their label; the first that fits.
 IDENTIFIERS = {
     "mit": "mit", "apache-2": "apache-2", "cc-by-nc": "cc-by-nc", "cc-by-nd": "cc-by-nd", "cc-by-sa": "cc-by-sa", "cc-by": "cc-by", "cc0": "cc0", "agpl": "agpl", "lgpl": "lgpl", "gpl": "gpl", "mpl": "mpl", "epl": "epl", "eupl": "eupl", "cddl": "cddl",
-    "bsd": "bsd", "bsl": "bsl", "unlicense": "unlicense", "isc": "isc", "zlib": "zlib", "ofl": "ofl", "artistic": "artistic", "psf": "psf",
+    "bsd": "bsd", "bsl": "bsl", "unlicense": "unlicense", "isc": "isc", "zlib": "zlib", "ofl": "ofl", "artistic": "artistic", "psf": "psf", "python": "psf", "0bsd": "bsd", "x11": "mit", "ncsa": "ncsa",
+    "postgresql": "postgresql", "wtfpl": "wtfpl", "sspl": "sspl", "busl": "busl",
 }
 RESTRICTION = {
-    "public-domain": 0.0, "cc0": 0.05, "unlicense": 0.05, "mit": 0.1, "isc": 0.1, "bsd": 0.1, "bsl": 0.1, "zlib": 0.1, "psf": 0.15, "apache-2": 0.15, "cc-by": 0.2, "ofl": 0.3, "artistic": 0.3, "mpl": 0.4, "epl": 0.4, "cddl": 0.4, "eupl": 0.5, "lgpl": 0.5,
-    "cc-by-sa": 0.6, "gpl": 0.7, "agpl": 0.8, "cc-by-nd": 0.9, "cc-by-nc": 0.9, "proprietary": 1.0,
+    "public-domain": 0.0, "cc0": 0.05, "unlicense": 0.05, "wtfpl": 0.05, "ncsa": 0.1, "postgresql": 0.1, "mit": 0.1, "isc": 0.1, "bsd": 0.1, "bsl": 0.1, "zlib": 0.1, "psf": 0.15, "apache-2": 0.15, "cc-by": 0.2, "ofl": 0.3, "artistic": 0.3, "mpl": 0.4, "epl": 0.4, "cddl": 0.4, "eupl": 0.5, "lgpl": 0.5,
+    "cc-by-sa": 0.6, "gpl": 0.7, "agpl": 0.8, "cc-by-nd": 0.9, "cc-by-nc": 0.9, "sspl": 0.9, "busl": 0.9, "proprietary": 1.0,
 }
 UNKNOWN = 0.5
 #: Bytes that end words become spaces, A-Z become a-z.
 LETTERS = bytes(b if b >= 0x80 or chr(b).isalnum() and not chr(b).isupper() else b + 32 if chr(b).isupper() else 32 for b in range(256))
-RAW_TAG = re.compile(r"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier[^\S\n]*:?[^\S\n]*([^\r\n]*)")
+EXPRESSION = re.compile(rb"[^\S\r\n]*:?([^\r\n]*)")
+#: Own identifiers, which are their own labels.
+OWN = ("licenseref-", "documentref-")
 TOKEN = re.compile(r"\s*(\(|\)|[A-Za-z0-9.+:-]+)")
 BINDS = {"or": 1, "and": 2, "with": 3}
 
 
-def label(identifier: str) -> str:
+def label(identifier: str) -> str | None:
+    """The label of an identifier, None if it isn't known."""
     name = identifier.lower()
-    return next((x for start, x in IDENTIFIERS.items() if name == start or name.startswith((f"{start}-", f"{start}.")) or (start == "apache-2" and name.startswith(start))), name)
+    known = (x for start, x in IDENTIFIERS.items() if name == start or name.startswith((f"{start}-", f"{start}.")) or (start == "apache-2" and name.startswith(start)))
+    return next(known, name if name.startswith(OWN) else None)
 
 
 def parse(text: str) -> list[str]:
@@ -93,14 +98,15 @@ def parse(text: str) -> list[str]:
 
 
 def evaluate(postfix: list[str]) -> tuple[list[str], float]:
-    """(labels, restriction); exceptions aren't labels."""
+    """(labels, restriction); exceptions and unknown identifiers aren't labels."""
     stack: list[tuple[list[str], float]] = []
     for x in postfix:
         if x in BINDS and len(stack) > 1:
             (right, r), (left, n) = stack.pop(), stack.pop()
             stack.append((left, n / 2) if x == "with" else (left + right, min(n, r) if x == "or" else max(n, r)))
         elif x not in BINDS:
-            stack.append(([label(x)], RESTRICTION.get(label(x), UNKNOWN)))
+            found = label(x)
+            stack.append(([found] if found else [], RESTRICTION.get(found, UNKNOWN)))
     return stack[-1] if stack else ([], 0.0)
 
 
@@ -116,7 +122,7 @@ def automaton() -> ahocorasick.Automaton:
 def scan_text(text: str | None, find: ahocorasick.Automaton) -> dict:
     raw = (text or "").encode()
     words = raw.translate(LETTERS).split()
-    base, more, places, expressions, score, tagged = set(), set(), [], [], 0.0, False
+    base, more, places, expressions, score, tags = set(), set(), [], [], 0.0, []
     findings = []
     joined = f" {b' '.join(words).decode('latin-1')} "
     last = ended = 0  # words that end before `last`
@@ -125,20 +131,20 @@ def scan_text(text: str | None, find: ahocorasick.Automaton) -> dict:
         last = end
         word = ended - 1 - joined.count(" ", end - size, end)
         if found is None:
-            tagged = True
+            tags.append(word + TAG.count(" "))
             continue
         findings.append((found, word))
         (base if is_base else more).add(found)
         score = max(score, RESTRICTION[found])
         if is_base:
             places.append(word)
-    if tagged:
-        for m in RAW_TAG.finditer(raw.decode("latin-1").lower()):
-            names, value = evaluate(postfix := parse(m[1]))
-            if names:
-                more.update(names)
-                score = max(score, value)
-                expressions.append(" ".join(postfix))
+    ends = [m.end() for m in re.finditer(rb"\S+", raw.translate(LETTERS))] if tags else []
+    for tag in tags:
+        names, value = evaluate(postfix := parse(EXPRESSION.match(raw, ends[tag])[1].decode("latin-1").lower()))
+        if names:
+            more.update(names)
+            score = max(score, value)
+            expressions.append(" ".join(postfix))
     return {
         "n_words": len(words), "n_base": len(places), "first_word": min(places, default=None), "last_word": max(places, default=None), "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | more)),
         "score": score, "expressions": expressions, "findings": [f"{x}@{w}" for x, w in findings],

@@ -105,36 +105,34 @@ def signatures(offsets: np.ndarray, hashes: np.ndarray, bands: int, rows: int) -
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """doc_id, fp (of the set, null if it is empty), size, bands (by which sets are found)."""
+def fingerprints(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Of docs (row, doc_id, text): row, doc_id, fp (of the set, null if it is empty), size, bands (by which sets are found)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngrams")
-        for batch in slices(batches, most=TEXT):
-            offsets, hashes = ngrams(batch.column(1))
+        for batch in slices(batches, column=2, most=TEXT):
+            offsets, hashes = ngrams(batch.column(2))
             some = np.diff(offsets) > 0
             sig = iter(signatures(offsets, hashes, bands, rows).view(np.int64))
             fps = [xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary()), pa.array(np.diff(offsets), pa.int64()), pa.array([next(sig) if s else None for s in some], pa.list_(pa.int64()))], ["doc_id", "fp", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary()), pa.array(np.diff(offsets), pa.int64()), pa.array([next(sig) if s else None for s in some], pa.list_(pa.int64()))], ["row", "doc_id", "fp", "size", "bands"])
         release()
 
-    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return map_arrow(ids, run, "doc_id long, fp binary, size long, bands array<long>")
+    return map_arrow(docs.select("row", "doc_id", "text"), run, "row long, doc_id long, fp binary, size long, bands array<long>")
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """docs (node, fp, text), those with the fingerprint: node and grams, the set's hashes as bytes."""
+    """Of docs (row, text): node (the row's number) and grams, the set's hashes as bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("ngrams")
-        for batch in slices(batches, column=2, most=TEXT):
-            offsets, hashes = ngrams(batch.column(2))
+        for batch in slices(batches, most=TEXT):
+            offsets, hashes = ngrams(batch.column(1))
             grams = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            own = [xxhash.xxh3_128_digest(g) == fp for g, fp in zip(grams, batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["node", "grams"]).filter(pa.array(own, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["node", "grams"])
         release()
 
-    return map_arrow(docs.select("node", "fp", "text"), run, "node long, grams binary")
+    return map_arrow(docs.select("row", "text"), run, "node long, grams binary")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
@@ -239,35 +237,48 @@ def comparisons(members: DataFrame, threshold: float, total: int) -> DataFrame:
     return met.select("node", "copies", F.explode(every).alias("x")).select("node", "copies", "x.pair", "x.side")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per document: doc_id, class_id, copy_id, n_links."""
+def linked(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """Of docs (row, doc_id, text), with fixed row numbers: row, doc_id, class_id, copy_id, n_links and stays (whether the row is the first of its class: by id, then row)."""
     bands, rows = bands_for(threshold, recall)
-    prints = materialise(fingerprints(docs, id_col, text_col, bands, rows).withColumn("row", F.monotonically_increasing_id()))
+    prints = materialise(fingerprints(docs, bands, rows))
     total = prints.count()
     classes = materialise(classes_of(prints))
-    reps = materialise(prints.join(classes.select(F.col("node").alias("row"), "copies"), "row").select(F.col("row").alias("node"), "doc_id", "fp", "copies", "size", "bands"))
+    reps = materialise(prints.join(classes.select(F.col("node").alias("row"), "copies"), "row").select(F.col("row").alias("node"), "doc_id", "copies", "size", "bands"))
     groups = materialise(candidates(reps))
-    members = materialise(groups.join(reps.select("node", "doc_id", "fp", "copies", "size"), "node"))
-    # The members' sets are made again from their texts, found by id and fingerprint, as rows may repeat an id.
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    grams = materialise(sets_of(texts.join(small(members.select("doc_id", "node", "fp")), "doc_id")).dropDuplicates(["node"]))
+    members = materialise(groups.join(reps.select("node", "copies", "size"), "node"))
+    # The members' sets are made again from their texts.
+    grams = materialise(sets_of(docs.select("row", "text").join(small(members.select(F.col("node").alias("row"))), "row")))
     tasks = comparisons(members.select("node", "copies", "size", "comp"), threshold, total).join(grams, "node").select("pair", "side", "node", "copies", "grams")
     found = materialise(tasks.groupBy("pair").applyInPandas(lambda g: compare(g, threshold), "node long, links long, parent long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     merged = materialise(components(found.filter("node <> parent").select("node", "parent"), "node", "parent"))
-    # A class is named by the least id of its members, which needn't be that of its least node.
+    # A class is named by the least id of its members, which needn't be that of its least node, and may be that of another class where ids repeat.
     ids = merged.join(classes.select("node", "rep"), "node")
-    names = ids.groupBy("component").agg(F.min("rep").alias("class"), F.count("*").alias("n"))
-    named = attach(ids, materialise(names), "component", "n", total).select("node", "class")
+    names = ids.groupBy("component").agg(F.min(F.struct("rep", "node")).alias("first"), F.count("*").alias("n"))
+    named = attach(ids, materialise(names), "component", "n", total).select("node", "first")
+    own = F.struct("rep", "node")
     final = classes.join(links, "node", "left").join(named, "node", "left")
-    final = materialise(final.select("fp", "rep", "copies", F.coalesce("class", "rep").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
-    result = attach(prints.select("doc_id", "fp"), final, "fp", "copies", total)
-    real = F.col("doc_id").isNotNull()
-    return result.select("doc_id", F.when(real, F.coalesce("class", "doc_id")).alias("class_id"), F.when(real, F.coalesce("rep", "doc_id")).alias("copy_id"), F.when(real, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
+    final = materialise(final.select("fp", "rep", "copies", F.coalesce("first", own).alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
+    result = attach(prints.select("row", "doc_id", "fp"), final, "fp", "copies", total)
+    real, usable = F.col("doc_id").isNotNull(), F.col("doc_id").isNotNull() & F.col("first").isNotNull()
+    return result.select(
+        "row", "doc_id", F.when(real, F.coalesce("first.rep", "doc_id")).alias("class_id"), F.when(real, F.coalesce("rep", "doc_id")).alias("copy_id"),
+        F.when(real, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"), (~usable | (F.col("row") == F.col("first.node"))).alias("stays"),
+    )
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row per document: doc_id, class_id, copy_id, n_links."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return linked(materialise(rows), threshold, recall).select("doc_id", "class_id", "copy_id", "n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, with their columns, but of each class only the document with the class's id (null ids and texts without words all stay)."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = materialise(found.filter("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(small(gone), docs[id_col] == F.col("__gone"), "left_anti")
+    """docs, with their columns, but of each class only one row, the first by id (null ids and texts without words all stay)."""
+    names = docs.columns
+    own = [f"__c{i}" for i in range(len(names))]  # no name of docs can clash with what is added
+    column = dict(zip(names, own, strict=True))
+    whole = materialise(docs.toDF(*own).withColumn("__row", F.monotonically_increasing_id()))
+    rows = whole.select(F.col("__row").alias("row"), F.col(column[id_col]).cast("long").alias("doc_id"), F.col(column[text_col]).cast("string").alias("text"))
+    gone = materialise(linked(rows).filter("not stays").select(F.col("row").alias("__row")))
+    return whole.join(small(gone), "__row", "left_anti").select(*(F.col(column[c]).alias(c) for c in names))

@@ -140,6 +140,26 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert sorted((r.doc_id, r.class_id, r.copy_id, r.n_links) for r in got) == [(1, 1, 1, 1), (1, 1, 1, 2), (2, 1, 2, 2), (3, 1, 3, 1), (4, 1, 1, 2), (4, 4, 4, 1), (4, 4, 4, 1)]
 
 
+def test_keep_one_drops_rows_and_not_ids(spark):
+    """Where ids repeat, one row of each class stays and rows of other classes are left alone."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a), (7, a + " tail"), (7, b), (9, c), (3, c + " end"), (3, a), (5, c + " end"), (None, a), (8, ""), (8, None), (10, "X y"), (10, "x  Y"), (9, b)]
+    docs = spark.createDataFrame([(*r, n, n, n) for n, r in enumerate(rows)], "doc_id long, text string, __gone int, row int, n int").repartition(3)
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = {r.n for r in kept.collect()}
+    sets = [grams(t) for _, t in rows]
+    same = lambda x, y: bool(sets[x] and sets[y]) and len(sets[x] & sets[y]) / len(sets[x] | sets[y]) >= 0.8
+    classes, alone = [], {n for n, (i, t) in enumerate(rows) if i is None or not sets[n]}
+    for n in sorted(set(range(len(rows))) - alone):
+        near = [x for x in classes if any(same(n, m) for m in x)]
+        classes = [x for x in classes if x not in near] + [{n}.union(*near)]
+    assert alone <= found and all(len(found & x) == 1 for x in classes) and len(found) == len(alone) + len(classes)
+    for x in classes:
+        (stays,) = found & x
+        assert rows[stays][0] == min(rows[m][0] for m in x)
+
+
 def test_near_duplicates_in_a_hot_group(spark, monkeypatch):
     """A group of different near copies that is most of the table, with every join beyond the broadcast bound and hot keys split off."""
     from peakloom import storage
@@ -358,7 +378,7 @@ def naive_value(text):
             words.pop(0)
         else:
             x = licenses.label(words.pop(0))
-            found = ([x], licenses.RESTRICTION.get(x, licenses.UNKNOWN))
+            found = ([x] if x else [], licenses.RESTRICTION.get(x, licenses.UNKNOWN))
         if words and words[0] == "WITH":
             del words[:2]
             found = (found[0], found[1] / 2)
@@ -388,11 +408,36 @@ def test_license_labels_and_scores_equal_brute_force():
         text = "\n".join(r.sample(x := [", ".join(parts), *(f"# SPDX-License-Identifier: {t}" for t in tags)], len(x)))
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
         hits = [label for p, label in phrases.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
-        values = [naive_value(t) for t in tags]
+        values = [v for v in map(naive_value, tags) if v[0]]
         got = licenses.scan_text(text, find)
         assert got["labels"] == ",".join(sorted({*hits, *(x for labels, _ in values for x in labels)}))
         assert got["score"] == pytest.approx(max([*(licenses.RESTRICTION[x] for x in hits), *(v for _, v in values), 0.0]))
-        assert sorted(x.split("@")[0] for x in got["findings"]) == sorted(hits) and len(got["expressions"]) == len(tags)
+        assert sorted(x.split("@")[0] for x in got["findings"]) == sorted(hits) and len(got["expressions"]) == len(values)
+
+
+def plain_tags(text):
+    """The expressions behind tags, by a plain tokenizer: three words on end, whatever stands between them, then the rest of the line."""
+    text = text.lower()
+    out, words = [], [(m[0], m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)]
+    for a, b, c in zip(words, words[1:], words[2:], strict=False):
+        if (a[0], b[0], c[0]) == ("spdx", "license", "identifier"):
+            out.append(re.split(r"[\r\n]", text[c[2] :])[0].lstrip(" \t\x0b\x0c").removeprefix(":"))
+    return out
+
+
+def test_license_tags_stand_at_the_automatons_places():
+    find = licenses.automaton()
+    of = lambda t: licenses.scan_text(t, find)["labels"]
+    assert of("SPDX-License-Identifier: MIT\nSPDX license identifiers are short") == "mit"
+    assert of("SPDX-License-Identifier: MIT\nxspdx-license-identifier: gpl-3.0") == "mit"
+    assert of("SPDX-License-Identifier: see the LICENSE file") == "" and licenses.scan_text("SPDX-License-Identifier: see it", find)["score"] == 0
+    assert of("é SPDX-License-Identifier: LicenseRef-Own AND Nothing") == "licenseref-own"
+    r = random.Random(4)
+    bits = ["SPDX-License-Identifier: ", "spdx license identifier ", "SPDX-License-Identifiers: ", "xSPDX-License-Identifier: ", "MIT", " OR GPL-3.0", " AND (", ")", "\n", "\r", " the file ", "é", " WITH x", " : ", "LicenseRef-a", "SPDX", "-License", "-Identifier", "\t"]
+    for _ in range(1000):
+        text = "".join(r.choices(bits, k=r.randrange(14)))
+        names = {x for t in plain_tags(text) for x in licenses.evaluate(licenses.parse(t.lower()))[0]}
+        assert of(text) == ",".join(sorted(names)), text
 
 
 def test_media_columns_equal_brute_force(spark):

@@ -75,6 +75,15 @@ def test_run_on_odd_documents(spark, tmp_path):
     assert seen[5] >= mixed[5] // 1024 and all(n <= 3 * sizes[i] for i, n in mixed.items())
 
 
+def test_run_keeps_other_documents_of_an_id(spark, tmp_path):
+    """Near copies go by row: a document that only shares its id with one stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = spark.createDataFrame([(3, a, "s"), (7, a + " tail", "s"), (7, b, "s"), (9, c, "s")], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    got = {r.decoded_sha256 for r in corpus_pipeline.run(spark, tables(spark, tmp_path, docs, labels)).collect()}
+    assert got == {hashlib.sha256(t.encode()).hexdigest() for t in (a, b, c)}
+
+
 def test_run_on_empty_tables(spark, tmp_path):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert corpus_pipeline.run(spark, tables(spark, tmp_path, odd_docs(spark).filter("false"), labels)).collect() == []
