@@ -2,7 +2,7 @@
 
 An interval join is an equality join on (chrom, bin) with the overlap as residual condition: each side is
 put into the bins that it touches, and a pair counts in the first bin that both touch. Windows over
-a chromosome are made in two levels, by bins and over the bins' summaries, so that no task holds a chromosome.
+a chromosome are made in two levels, within ranges of the rows and over the ranges' summaries, so that no task holds a dense chromosome, or many equal intervals.
 """
 
 from __future__ import annotations
@@ -12,10 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import materialise, running
-
-#: Base pairs of a bin of islands and coverage.
-SPAN = 1_000_000
+from ..storage import materialise, running, small
 
 
 def first_bin(start: Column, width: int) -> Column:
@@ -66,18 +63,35 @@ def _filtered(left: DataFrame, r: DataFrame, how: str, width: int) -> DataFrame:
     return left.join(found, keys, "left_semi" if how == "semi" else "left_anti")
 
 
+def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """df, written, with __part: rows dealt by ranges of chrom and order, of about as many rows each; of rows that are equal in these some may be in the next range."""
+    mixed = df.withColumn("__mix", F.monotonically_increasing_id())
+    return materialise(mixed.repartitionByRange("chrom", *order, "__mix").withColumn("__part", F.spark_partition_id()).drop("__mix"))
+
+
+def _over_ranges(frame: str) -> Window:
+    """The ranges of a chromosome before (or after) one: a row each."""
+    w = Window.partitionBy("chrom").orderBy("__part")
+    return w.rowsBetween(Window.unboundedPreceding, -1) if frame == "before" else w.rowsBetween(1, Window.unboundedFollowing)
+
+
+def _at_ranges(rows: DataFrame, per: DataFrame) -> DataFrame:
+    return rows.join(small(materialise(per)), ["chrom", "__part"])
+
+
 def islands(df: DataFrame, merge_adjacent: bool = True) -> DataFrame:
     """df with island: a number, from 0 in each chromosome, shared by intervals that overlap directly or through others."""
-    df = df.withColumn("__bin", first_bin(F.col("start"), SPAN))
-    before = Window.partitionBy("chrom").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("chrom", "__bin").orderBy("start", "end")
-    carried = df.groupBy("chrom", "__bin").agg(F.max("end").alias("__top")).select("chrom", "__bin", F.max("__top").over(before).alias("__carry"))
+    dealt = in_ranges(df, ["start", "end"])
+    within = Window.partitionBy("chrom", "__part").orderBy("start", "end")
+    tops = dealt.groupBy("chrom", "__part").agg(F.max("end").alias("__top"))
+    carried = _at_ranges(dealt, tops.select("chrom", "__part", F.max("__top").over(_over_ranges("before")).alias("__carry")))
     reach = F.greatest("__carry", F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1)))
     gap = F.col("start") > reach if merge_adjacent else F.col("start") >= reach
-    flagged = df.join(carried, ["chrom", "__bin"]).withColumn("__new", F.coalesce(gap, F.lit(True)).cast("long"))
-    earlier = flagged.groupBy("chrom", "__bin").agg(F.sum("__new").alias("__n")).select("chrom", "__bin", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    ranked = flagged.withColumn("__at", F.sum("__new").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    return ranked.join(earlier, ["chrom", "__bin"]).withColumn("island", F.col("__first") + F.col("__at") - 1).drop("__bin", "__carry", "__new", "__at", "__first")
+    flagged = carried.withColumn("__new", F.coalesce(gap, F.lit(True)).cast("long"))
+    ranked = materialise(flagged.withColumn("__at", F.sum("__new").over(within.rowsBetween(Window.unboundedPreceding, 0))))
+    new = ranked.groupBy("chrom", "__part").agg(F.sum("__new").alias("__n"))
+    earlier = new.select("chrom", "__part", F.coalesce(F.sum("__n").over(_over_ranges("before")), F.lit(0)).alias("__first"))
+    return _at_ranges(ranked, earlier).withColumn("island", F.col("__first") + F.col("__at") - 1).select(*df.columns, "island")
 
 
 def merged(df: DataFrame, merge_adjacent: bool = True) -> DataFrame:
@@ -147,11 +161,9 @@ def suppressed(df: DataFrame, score: str, tie: list[str]) -> DataFrame:
 def coverage(df: DataFrame) -> DataFrame:
     """chrom, start, end, depth of every stretch that intervals cover: +1 and -1 events, summed in two levels."""
     events = df.select("chrom", F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e"))
-    steps = events.groupBy("chrom", F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d")).withColumn("__bin", first_bin(F.col("at"), SPAN))
-    before = Window.partitionBy("chrom").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("chrom").orderBy("__bin").rowsBetween(1, Window.unboundedFollowing)
-    sums = steps.groupBy("chrom", "__bin").agg(F.sum("d").alias("s"), F.min("at").alias("low"))
-    sums = sums.select("chrom", "__bin", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("base"), F.min("low").over(after).alias("next_low"))
-    within = Window.partitionBy("chrom", "__bin").orderBy("at")
-    run = steps.join(sums, ["chrom", "__bin"]).select("chrom", F.col("at").alias("start"), F.coalesce(F.lead("at").over(within), "next_low").alias("end"), (F.col("base") + F.sum("d").over(within.rowsBetween(Window.unboundedPreceding, 0))).alias("depth"))
+    steps = in_ranges(events.groupBy("chrom", F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d")), ["at"])
+    sums = steps.groupBy("chrom", "__part").agg(F.sum("d").alias("s"), F.min("at").alias("low"))
+    sums = sums.select("chrom", "__part", F.coalesce(F.sum("s").over(_over_ranges("before")), F.lit(0)).alias("base"), F.min("low").over(_over_ranges("after")).alias("next_low"))
+    within = Window.partitionBy("chrom", "__part").orderBy("at")
+    run = _at_ranges(steps, sums).select("chrom", F.col("at").alias("start"), F.coalesce(F.lead("at").over(within), "next_low").alias("end"), (F.col("base") + F.sum("d").over(within.rowsBetween(Window.unboundedPreceding, 0))).alias("depth"))
     return run.filter("depth > 0")

@@ -11,6 +11,8 @@ from ..operators import clusters as C
 from ..operators import demultiplex as D
 from ..operators import fragments as R
 from ..operators import intervals as I
+from ..operators import tracks as K
+from ..sources import ranges as N
 from ..sources import tables as T
 from ..storage import materialise, new_path
 from . import motifs
@@ -224,6 +226,29 @@ def k6_coverage_files(spark, d):
     return spark.read.csv(path, sep="\t", schema="chrom string, s long, e long, depth long")
 
 
+ZOOM_SQL = """WITH e AS (SELECT chrom, cstart AS p, 1 AS v FROM pk UNION ALL SELECT chrom, cend, -1 FROM pk), s AS (SELECT chrom, p, sum(v) AS v FROM e GROUP BY ALL),
+  r AS (SELECT chrom, p AS s, lead(p) OVER (PARTITION BY chrom ORDER BY p) AS e, CAST(sum(v) OVER (PARTITION BY chrom ORDER BY p ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM s),
+  z AS (SELECT unnest([1024, 4096, 16384]) AS span), c AS (SELECT span, chrom, s, e, depth, unnest(range(s // span, (e - 1) // span + 1)) AS w FROM r, z WHERE depth > 0),
+  n AS (SELECT *, least(e, (w + 1) * span) - greatest(s, w * span) AS n FROM c)
+  SELECT span, chrom, w * span AS s, (w + 1) * span AS e, CAST(sum(n) AS BIGINT) AS covered, min(depth) AS low, max(depth) AS high, CAST(sum(n * depth) AS BIGINT) AS total, CAST(sum(n * depth * depth) AS BIGINT) AS squares FROM n GROUP BY span, chrom, w"""
+
+
+@query(ZOOM_SQL)
+def k6_coverage_zooms(spark, d):
+    """The coverage of peaks as a pyramid of three levels, each made from the one below."""
+    path = _path(spark, "zooms")
+    K.write_zooms(I.coverage(V.peaks(spark, d)), path, levels=3)
+    return spark.read.parquet(path).select("span", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), *K.SUMMARY)
+
+
+@query("SELECT p.feature, f.barcode, count(*) AS n FROM pr p JOIN fr f ON f.chrom = p.chrom AND f.cstart < p.cend AND p.cstart < f.cend GROUP BY ALL")
+def s20_k7_range_index(spark, d):
+    """Fragments over promoters, read through a range index of the fragments."""
+    path = _path(spark, "ranges")
+    N.write_ranges(V.fragments(spark, d).select("chrom", "start", "end", "barcode"), path)
+    return N.read_ranges(spark, path, V.promoters(spark, d).select("chrom", "start", "end", "feature")).groupBy("feature", "barcode").agg(F.count("*").alias("n"))
+
+
 @query("SELECT chrom, cstart AS s, cend AS e, peak FROM pk WHERE chrom = 'chr3'")
 def k7_peaks_by_chromosome(spark, d):
     path = _path(spark, "peaks")

@@ -600,6 +600,12 @@ def m7_nearest_neighbours(spark, d):
     return embed.neighbours(_vectors(spark, d), 50).select("src", "dst", F.round("distance", 5).alias("distance"))
 
 
+@query()
+def m7_near_neighbours(spark, d):
+    """The neighbours by the lists of the nearest centres, at a recall of 0.95; blocks are small, so that there are several of them here."""
+    return embed.neighbours(_vectors(spark, d), 50, block=128, recall=0.95).select("src", "dst", F.round("distance", 5).alias("distance"))
+
+
 @query()
 def m7_layout(spark, d):
     return embed.layout(_vectors(spark, d))
