@@ -13,7 +13,7 @@ from ..operators import fragments as R
 from ..operators import peaks as P
 from ..operators import qc as Q
 from ..storage import materialise, new_path, running
-from . import cluster, embed
+from . import cluster, embed, graph_layout
 from . import views as V
 from .queries import CUTOFFS, _matrix, _sites, _vectors, query, r6
 
@@ -284,4 +284,4 @@ def m11_sub_spectral(spark, d):
 @query()
 def m14_supervised_layout(spark, d):
     e = V.table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("cell"), F.col("label").cast("string").alias("cluster"))
-    return supervised_layout(_vectors(spark, d), e)
+    return graph_layout.of_vectors(_vectors(spark, d), labels=e)

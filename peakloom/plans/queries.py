@@ -17,7 +17,7 @@ from ..operators import intervals as I
 from ..operators import peaks as P
 from ..operators import qc as Q
 from ..storage import materialise
-from . import cluster, doublets, embed, motifs
+from . import cluster, doublets, embed, graph_layout, motifs
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -608,7 +608,7 @@ def m7_near_neighbours(spark, d):
 
 @query()
 def m7_layout(spark, d):
-    return embed.layout(_vectors(spark, d))
+    return graph_layout.of_vectors(_vectors(spark, d))
 
 
 def _graph(spark, d):
