@@ -23,9 +23,10 @@ def windows(sites: DataFrame, size: int, blacklist: DataFrame | None = None, cel
 
 
 def counts(sites: DataFrame, regions: DataFrame, feature: str, cell: str = "barcode", width: int = 4096) -> DataFrame:
-    """(cell, feature, count): sites in regions; a site in several regions counts in each."""
-    hits = interval_join(fr.query_base(sites).select("chrom", "start", "end", cell), regions.select(*KEYS, feature), width=width)
-    return hits.groupBy(cell, feature).agg(F.count("*").alias("count"))
+    """(cell, feature, count): sites in regions; a site in several regions counts in each. A cell's equal sites are counted first, and it is those counts that are dealt and meet the regions."""
+    bases = fr.query_base(sites).groupBy(*KEYS, cell).agg(F.count("*").alias("__n"))
+    hits = interval_join(bases, regions.select(*KEYS, feature), width=width)
+    return hits.groupBy(cell, feature).agg(F.sum("__n").alias("count"))
 
 
 def depths(matrix: DataFrame, cells: DataFrame | None = None, cell: str = "barcode") -> DataFrame:
@@ -61,7 +62,7 @@ def feature_matrix(sites: DataFrame, regions: DataFrame, sample: Column, replica
     """(cells with depth, features with total, matrix) of a sample, cells named across samples."""
     named = regions.select(*KEYS).distinct().withColumn("feature", S.region_name(F.col("chrom"), F.col("start"), F.col("end")))
     keyed = sites.withColumn("cell", S.cell_id(sample, replicate, F.col(cell)))
-    matrix = counts(keyed, named, "feature", "cell")
+    matrix = materialise(counts(keyed, named, "feature", "cell"))  # the three of them are of one join
     return depths(matrix, keyed, "cell"), feature_sums(matrix), matrix
 
 

@@ -111,15 +111,27 @@ def chart_series(metrics: DataFrame, by: str = "sample") -> DataFrame:
 # Clusters
 
 
-def cluster_report(found: DataFrame, vectors: DataFrame, others: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(cells, clusters) of the chosen resolution: barcode, cluster, x, y without small clusters, and cluster, n, reproducibility; names go by size."""
+def cluster_report(found: DataFrame, vectors: DataFrame, others: list[DataFrame], places: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(cells, clusters) of the chosen resolution: barcode, cluster, x, y without small clusters, and cluster, n, reproducibility; names go by size. places: (cell, x, y), else the principal components."""
     cells = materialise(C.without_small(found.withColumnRenamed("cell", "barcode")))
     named = materialise(C.named_by_size(cells))
-    places = embed.layout(vectors).withColumnRenamed("cell", "barcode")
+    places = (embed.layout(vectors) if places is None else places).withColumnRenamed("cell", "barcode")
     quality = cluster.reproducibility(named.withColumnRenamed("barcode", "cell"), others)
     return named.join(places, "barcode").select("barcode", "cluster", "x", "y"), C.sizes(named).join(quality, "cluster", "left").select("cluster", "n", "reproducibility")
 
 
+def searched_clusters(vectors: DataFrame, values: list[float], k: int = DEFAULT.neighbours, seeds: int = 2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From vectors to (cells, clusters, resolutions): the graph of neighbours, its clusters at all resolutions and how good they are, the best resolution, and the report
+    of its clusters at the places of the graph's layout."""
+    near = materialise(embed.neighbours(vectors, k))
+    edges = materialise(embed.with_weights(near))
+    table, found = cluster.search(edges, vectors, values, seeds)
+    best = cluster.best_resolution(table)
+    others = [materialise(cluster.clusters(cluster.perturbed(edges, seed=s), float(best))) for s in range(1, seeds + 1)]
+    places = graph_layout.layout(vectors, materialise(graph_layout.fuzzy(near, k)))
+    return (*cluster_report(found[best], vectors, others, places), table)
+
+
 def supervised_layout(vectors: DataFrame, cells: DataFrame) -> DataFrame:
     """(cell, x, y): the two axes that part the clusters best: the leading directions of the clusters' centres among each other, scaled by the spread within them."""
     import numpy as np
@@ -274,6 +286,13 @@ def m10_f7_o4_a26_cluster_report(spark, d):
     return cluster_report(cells, vectors, [other])[1].withColumn("reproducibility", r6("reproducibility"))
 
 
+@query()
+def m10_m9_m8_searched_clusters(spark, d):
+    """The named cells of the best resolution, with their places and their cluster's size and reproducibility: all steps from the vectors on."""
+    cells, clusters, _ = searched_clusters(_vectors(spark, d), [0.5, 1.0])
+    return cells.join(clusters, "cluster").select("barcode", "cluster", "x", "y", "n", "reproducibility")
+
+
 @query()
 def m11_sub_spectral(spark, d):
     cells = V.clusters(spark, d)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,19 +134,19 @@ MANIFEST_SQL = "SELECT 'S' || s_suppkey AS sample_id, CAST(s_suppkey % 3 + 1 AS
 
 
 def _manifest(spark, d) -> DataFrame:
-    """Experiments with files of all kinds, by the remainders of their keys."""
-    entries = []
-    for r in V.table(spark, d, "supplier").select("s_suppkey").orderBy("s_suppkey").collect():
-        k = r.s_suppkey
-        files = [{"path": f"p{k}.bed.gz", "format": "Bed"}] if k % 2 == 0 else []
-        files += [{"path": f"p{k}_{x}.fq", "format": "Fastq", "tags": ["Gzip"], "role": x} for x in ("index", "read1", "read2")[: 3 if k % 5 else 2]]
-        files += [{"path": f"p{k}.dm.fq", "format": "Fastq", "tags": ["Gzip", "Demultiplexed"]}] if k % 7 == 0 else []
-        files += [{"path": f"p{k}.bam", "format": "Bam", "tags": ["PairedEnd"] * (k % 2) + ["NameSorted"] * (k % 3 == 0)}]
-        files += [{"path": f"p{k}.{x}", "format": "Other", "role": x} for x in ("RowName", "ColumnName", "Matrix") if k % 11 == 0]
-        entries.append({"id": f"S{k}", "replicates": [{"rep": k % 3 + 1, "files": files}]})
-    path = _path(spark, "manifest.json")
-    spark.createDataFrame([(json.dumps({"scATAC-seq": entries}),)], "value string").coalesce(1).write.text(path)
-    return T.read_manifest(spark, path)
+    """Experiments with files of all kinds, by the remainders of their keys: a manifest of one experiment on each line."""
+    k = F.col("s_suppkey")
+    role = lambda r: F.lit(r).cast("string").alias("role")
+    file = lambda end, form, tags=(), of=None: F.struct(F.concat(F.lit("p"), k, F.lit(end)).alias("path"), F.lit(form).alias("format"), F.array(*map(F.lit, tags)).cast("array<string>").alias("tags"), role(of))
+    some = lambda when, *files: F.when(when, F.array(*files)).otherwise(F.slice(F.array(*files), 1, 0))
+    tags = F.filter(F.array(F.when(k % 2 == 1, "PairedEnd"), F.when(k % 3 == 0, "NameSorted")), lambda t: t.isNotNull())
+    bam = F.struct(F.concat(F.lit("p"), k, F.lit(".bam")).alias("path"), F.lit("Bam").alias("format"), tags.alias("tags"), role(None))
+    reads = F.array(*(file(f"_{x}.fq", "Fastq", ["Gzip"], x) for x in ("index", "read1", "read2")))
+    files = F.concat(some(k % 2 == 0, file(".bed.gz", "Bed")), F.slice(reads, F.lit(1), F.when(k % 5 != 0, 3).otherwise(2)), some(k % 7 == 0, file(".dm.fq", "Fastq", ["Gzip", "Demultiplexed"])), F.array(bam), some(k % 11 == 0, *(file(f".{x}", "Other", (), x) for x in ("RowName", "ColumnName", "Matrix"))))
+    entry = F.struct(F.concat(F.lit("S"), k).alias("id"), F.array(F.struct((k % 3 + 1).cast("int").alias("rep"), files.alias("files"))).alias("replicates"))
+    path = _path(spark, "manifest")
+    V.table(spark, d, "supplier").select(F.to_json(F.struct(F.array(entry).alias("scATAC-seq"))).alias("value")).write.text(path)
+    return T.read_manifest(spark, path, lines=True)
 
 
 @query(f"SELECT sample_id, replicate, 'p' || k || '.bed.gz' AS path FROM ({MANIFEST_SQL}) WHERE k % 2 = 0")
@@ -178,11 +176,14 @@ def s17_manifest_matrices(spark, d):
     return T.matrix_files(_manifest(spark, d))
 
 
-@query("SELECT 'genome' AS what, 'given' AS found UNION ALL SELECT 'annotation', 'assembly'")
+@query("SELECT 'genome' AS what, 'given' AS found, count(*) AS lines FROM documents UNION ALL SELECT 'annotation', 'assembly', count(*) FROM part")
 def s18_resolved_paths(spark, d):
-    here, there = (_text(spark, spark.createDataFrame([("x",)], "value string"), x) for x in ("given", "assembly"))
-    found = [("genome", T.resolved(spark, here, {"GRCh38": there}, "GRCh38")), ("annotation", T.resolved(spark, f"{here}/none", {"GRCh38": there}, "GRCh38"))]
-    return spark.createDataFrame([(what, path.rpartition("/")[2]) for what, path in found], "what string, found string")
+    """The lines of a genome at its given path, and of an annotation that is only there for the assembly."""
+    genome = _text(spark, V.table(spark, d, "documents").select(F.concat(F.lit("d"), "doc_id").alias("value")), "given")
+    genes = _text(spark, V.table(spark, d, "part").select(F.concat(F.lit("Gene"), "p_partkey").alias("value")), "assembly")
+    found = {"genome": T.resolved(spark, genome, {"GRCh38": genes}, "GRCh38"), "annotation": T.resolved(spark, f"{genome}/none", {"GRCh38": genes}, "GRCh38")}
+    one, other = (spark.read.text(path).agg(F.lit(what).alias("what"), F.lit(path.rpartition("/")[2]).alias("found"), F.count("*").alias("lines")) for what, path in found.items())
+    return one.unionByName(other)
 
 
 @query("SELECT barcode, chrom, pos AS position FROM (SELECT barcode, chrom, unnest([cstart, cend]) AS pos FROM fr WHERE chrom <> 'chrM') WHERE barcode = '7'")

@@ -16,6 +16,7 @@ from ..operators import fragments as R
 from ..operators import intervals as I
 from ..operators import peaks as P
 from ..operators import qc as Q
+from ..operators import runs as U
 from ..storage import materialise
 from . import cluster, doublets, embed, graph_layout, motifs
 from . import views as V
@@ -325,10 +326,14 @@ def j20_m19_a21_motif_incidence(spark, d):
     return motifs.incidence(V.peaks(spark, d), s)
 
 
-@query("SELECT r.res, c.n FROM (VALUES ('0.5', 7), ('1.0', 8)) r(res, n) JOIN (SELECT '1.0' AS res, count(*) AS n FROM cl) c USING (res)")
+@query("""WITH w AS (SELECT DISTINCT sample, CAST(0.5 + CAST(substr(sample, 2) AS INT) / 2 AS VARCHAR) AS res FROM qc), a AS (SELECT barcode, sample, '0.5' AS res, cluster FROM cl UNION ALL SELECT barcode, sample, '1.0', cluster || sample FROM cl)
+  SELECT a.barcode, w.res, a.cluster FROM w JOIN a USING (sample, res)""")
 def j21_resolution_lookup(spark, d):
-    keys = spark.createDataFrame([("0.5",), ("1.0",)], "res string")
-    return keys.join(V.clusters(spark, d).agg(F.count("*").alias("n")).withColumn("res", F.lit("1.0")), "res").select("res", "n")
+    """The clusters of each sample's cells at the resolution that is wanted for it; samples whose resolution isn't there have none."""
+    wanted = V.metrics(spark, d).select("sample").distinct().withColumn("res", (F.substring("sample", 2, 9).cast("int") / 2 + 0.5).cast("string"))
+    cells = V.clusters(spark, d)
+    at = cells.select("barcode", "sample", F.lit("0.5").alias("res"), "cluster").unionByName(cells.select("barcode", "sample", F.lit("1.0").alias("res"), F.concat("cluster", "sample").alias("cluster")))
+    return at.join(wanted, ["sample", "res"]).select("barcode", "res", "cluster")
 
 
 # Aggregations
@@ -454,6 +459,14 @@ ISLANDS_SQL = """f AS (SELECT *, CASE WHEN cstart <= max(cend) OVER (PARTITION B
   i AS (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY cstart, cend ROWS UNBOUNDED PRECEDING) AS i FROM f)"""
 
 
+@query("""WITH f AS (SELECT event_id, event_type, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER (ORDER BY event_id) AND row_number() OVER (ORDER BY event_id) > 1 THEN 0 ELSE 1 END AS new FROM events),
+  r AS (SELECT *, sum(new) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) - 1 AS run FROM f) SELECT CAST(run AS BIGINT) AS run, event_type AS barcode, count(*) AS n, min(event_id) AS first FROM r GROUP BY run, event_type""")
+def w6_adjacent_runs(spark, d):
+    """Groups of adjacent rows of a name, in the order of the file, in which a name comes again and again."""
+    rows = V.table(spark, d, "events").select("event_id", F.col("event_type").alias("barcode"))
+    return U.runs(rows, "barcode", "event_id").groupBy("run", "barcode").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
+
+
 @query(f"WITH {ISLANDS_SQL} SELECT chrom, min(cstart) AS s, max(cend) AS e, count(*) AS n FROM i GROUP BY chrom, i")
 def w2_islands(spark, d):
     return I.merged(V.peaks(spark, d)).select("chrom", F.col("start").alias("s"), F.col("end").alias("e"), "n")
@@ -671,9 +684,9 @@ def m18_j22_motif_sites(spark, d):
   sh AS (SELECT motif, i, sum(expected) AS share FROM sets JOIN x USING (peak) GROUP BY ALL), sn AS (SELECT motif, i, barcode AS cell, sum(n) AS seen FROM sets JOIN mat USING (peak) GROUP BY ALL),
   y AS (SELECT motif, i, cell, (coalesce(seen, 0) - share * depth) / (share * depth) AS y FROM sh CROSS JOIN d LEFT JOIN sn USING (motif, i, cell)),
   l AS (SELECT motif, cell, avg(y) AS m, stddev_samp(y) AS s FROM y WHERE i > 0 GROUP BY ALL)
-  SELECT motif, cell, round(y - m, 5) AS deviation FROM y JOIN l USING (motif, cell) WHERE i = 0""")
+  SELECT motif, cell, round(y - m, 5) AS deviation, round(CASE WHEN s > 1e-9 THEN (y - m) / s ELSE 0 END, 3) + 0.0::DOUBLE AS z FROM y JOIN l USING (motif, cell) WHERE i = 0""")
 def m20_a28_deviations(spark, d):
     m = materialise(_matrix(spark, d).withColumnRenamed("barcode", "cell"))
     p = m.groupBy("peak").agg(F.sum("count").alias("reads")).withColumn("gc", (F.col("peak") % 10) / 10.0)
     pairs = p.select(F.concat(F.lit("M"), F.col("peak") % 12).alias("motif"), "peak")
-    return motifs.deviations(m, pairs, motifs.backgrounds(p)).select("motif", "cell", F.round("deviation", 5).alias("deviation"))
+    return motifs.deviations(m, pairs, motifs.backgrounds(p)).select("motif", "cell", F.round("deviation", 5).alias("deviation"), (F.round("z", 3) + 0.0).alias("z"))

@@ -26,13 +26,13 @@ def _tab(spark: SparkSession, path: str | list[str], schema: str, **options) ->
 # Manifest
 
 
-def read_manifest(spark: SparkSession, path: str, assay: str = "scATAC-seq") -> DataFrame:
-    """(sample_id, replicate, path, format, tags, role): a row per file of a JSON manifest keyed by assay.
+def read_manifest(spark: SparkSession, path: str, assay: str = "scATAC-seq", lines: bool = False) -> DataFrame:
+    """(sample_id, replicate, path, format, tags, role): a row per file of a JSON manifest keyed by assay. lines: a manifest on each line, so that large ones are read in splits.
 
     {"scATAC-seq": [{"id": ..., "replicates": [{"rep": 1, "files": [{"path": ..., "format": "Bed", "tags": [...], "role": ...}]}]}]}
     """
     schema = f"`{assay}` array<struct<id: string, replicates: array<struct<rep: int, files: array<struct<path: string, format: string, tags: array<string>, role: string>>>>>>"
-    raw = spark.read.json(path, schema=schema, multiLine=True)
+    raw = spark.read.json(path, schema=schema, multiLine=not lines)
     reps = raw.select(F.explode(f"`{assay}`").alias("e")).select("e.id", F.explode("e.replicates").alias("r"))
     files = reps.select(F.col("id").alias("sample_id"), F.col("r.rep").alias("replicate"), F.explode("r.files").alias("f"))
     return files.select("sample_id", "replicate", "f.path", "f.format", F.coalesce("f.tags", F.array().cast("array<string>")).alias("tags"), "f.role")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from peakloom.operators import intervals, tracks
+from peakloom.operators import intervals, runs, tracks
 from peakloom.plans import embed
 from peakloom.sources import ranges
 
@@ -131,3 +131,22 @@ def test_near_neighbours_have_the_recall(spread, spark):
     assert hit >= 0.93 * 9000 and len({(r.src, r.dst) for r in near}) == len(near)
     lists = embed.lists_for(v, 900, 64)
     assert 8 <= len(lists.centres()) <= 32 and (lists.of(x) < len(lists.centres())).all()
+
+
+def test_runs_go_on_over_ranges(spark):
+    """A key whose run is most of the rows, null keys, and keys that come again; sorted rows give the groups of the keys."""
+    r = random.Random(2)
+    keys = [r.choice([None, "a", "b"]) for _ in range(300)] + ["a"] * 2000 + [None] * 50 + [r.choice("ab") for _ in range(300)]
+    rows = list(enumerate(keys))
+    want, at = {}, -1
+    for i, k in rows:
+        at += i == 0 or k != keys[i - 1]
+        want[i] = at
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "at long, name string")
+    got = runs.runs(df, "name", "at")
+    assert got.columns == ["at", "name", "run"] and {x.at: x.run for x in got.collect()} == want
+    ordered = sorted(k or "" for k in keys)
+    grouped = runs.runs(spark.createDataFrame(list(enumerate(ordered)), "at long, name string"), "name", "at").groupBy("run", "name").count().collect()
+    assert {x.name: x["count"] for x in grouped} == {k: ordered.count(k) for k in set(ordered)} and len(grouped) == len(set(ordered))
+    assert runs.runs(df.filter("false"), "name", "at").collect() == []
