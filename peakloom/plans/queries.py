@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import QcCutoffs
+from ..config import DEFAULT, QcCutoffs
 from ..functions import scalars as S
+from ..operators import basemap as B
 from ..operators import clusters as C
 from ..operators import features as X
 from ..operators import fragments as R
@@ -18,7 +19,7 @@ from ..operators import peaks as P
 from ..operators import qc as Q
 from ..operators import runs as U
 from ..storage import materialise
-from . import cluster, doublets, embed, graph_layout, motifs
+from . import backgrounds, cluster, doublets, embed, graph_layout, motifs
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,13 +446,25 @@ def a24_c21_specificity(spark, d):
     return P.specificity(ras, "peak").select("cluster", "peak", r6("ss").alias("ss"))
 
 
-@query("""WITH w AS (SELECT DISTINCT chrom, greatest(0, pos - 50) AS s, pos + 50 AS e FROM cut), f AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM w),
-  i AS (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM f) SELECT chrom, min(s) AS s, max(e) AS e FROM i GROUP BY chrom, i""")
+OPEN_SQL = """WITH w AS (SELECT DISTINCT chrom, greatest(0, pos - 50) AS s, pos + 50 AS e FROM cut), f AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM w),
+  i AS (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM f) SELECT chrom, min(s) AS s, max(e) AS e FROM i GROUP BY chrom, i"""
+
+
+@query(OPEN_SQL)
 def a27_open_regions(spark, d):
     cuts = R.cuts(R.without_mitochondrial(V.fragments(spark, d)))
     return P.open_regions(cuts).select("chrom", F.col("start").alias("s"), F.col("end").alias("e"))
 
 
+@query(OPEN_SQL)
+def a27_base_map(spark, d):
+    """The same from maps of the samples' bases, merged."""
+    cuts = R.cuts(R.without_mitochondrial(V.fragments(spark, d)))
+    reads = cuts.select("chrom", "start", F.pmod(F.xxhash64("barcode"), F.lit(2)).alias("half"))
+    maps = [B.base_map(reads.filter(F.col("half") == i)) for i in (0, 1)]
+    return B.regions(B.merged_maps(*maps), DEFAULT.open_half).select("chrom", F.col("start").alias("s"), F.col("end").alias("e"))
+
+
 # Windows
 
 
@@ -639,6 +652,14 @@ def m9_m10_a25_a26_o12_search(spark, d):
     return table
 
 
+@query()
+def m20_a28_matched_backgrounds(spark, d):
+    """Backgrounds by the kernel in the whitened space of GC content, of a sequence for each peak, and counts."""
+    p = _matrix(spark, d).groupBy("peak").agg(F.sum("count").alias("reads"))
+    seq = F.translate(F.md5(F.col("peak").cast("string").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACGT")
+    return backgrounds.matched(materialise(p.select("peak", "reads", S.gc_content(seq).alias("gc"))))
+
+
 @query()
 def m15_doublets(spark, d):
     return doublets.doublet_scores(_matrix(spark, d).withColumnRenamed("barcode", "cell"), feature="peak")[0]
