@@ -65,9 +65,9 @@ def poisson_tail(n: pd.Series, rate: pd.Series) -> pd.Series:
     return pd.Series([one(float(k), float(r)) for k, r in zip(n, rate, strict=True)], dtype=float)
 
 
-def call_peaks(sites: DataFrame, gsize: int, by: str = "cluster", config: Config = DEFAULT, local: int = 10_000, least: int = 2) -> DataFrame:
+def call_peaks(sites: DataFrame, gsize: int, by: str = "cluster", config: Config = DEFAULT, local: int | tuple[int, ...] = 10_000, least: int = 2) -> DataFrame:
     """Peaks of each cluster: sites are shifted and extended, stretches of coverage tested against a Poisson background
-    (the genome's rate, or the surrounding `local` bases' if higher), corrected by Benjamini and Hochberg and merged.
+    (the genome's rate, or that of the surrounding `local` bases, of one width or several, whichever is highest), corrected by Benjamini and Hochberg and merged.
 
     Columns: by, chrom, start, end, summit (offset), signal (depth), pvalue and qvalue (-log10).
     """
@@ -77,9 +77,13 @@ def call_peaks(sites: DataFrame, gsize: int, by: str = "cluster", config: Config
     keyed = tags.withColumn("chrom", F.concat_ws("\t", by, "chrom"))
     depth = coverage(keyed).filter(F.col("depth") >= least)
     totals = tags.groupBy(by).agg(F.count("*").alias("total"))
-    near = keyed.groupBy("chrom", F.floor(F.col("start") / local).alias("w")).agg(F.count("*").alias("near"))
-    d = depth.withColumn("w", F.floor(F.col("start") / local)).join(near, ["chrom", "w"], "left").withColumn(by, F.split("chrom", "\t")[0]).join(totals, by)
-    rate = F.greatest(F.col("total") * config.peak_extend / float(gsize), F.coalesce("near", F.lit(0)) * config.peak_extend / float(local), F.lit(1e-9))
+    d = depth.withColumn(by, F.split("chrom", "\t")[0]).join(totals, by)
+    rates = [F.col("total") * config.peak_extend / float(gsize), F.lit(1e-9)]
+    for width in (local,) if isinstance(local, int) else local:
+        near = keyed.groupBy("chrom", F.floor(F.col("start") / width).alias("w")).agg(F.count("*").alias(f"near{width}"))
+        d = d.withColumn("w", F.floor(F.col("start") / width)).join(near, ["chrom", "w"], "left").drop("w")
+        rates.append(F.coalesce(f"near{width}", F.lit(0)) * config.peak_extend / float(width))
+    rate = F.greatest(*rates)
     d = materialise(d.select(by, "chrom", "start", "end", "depth", F.bround(rate, 6).alias("rate")))
     law = d.select(by, "depth", "rate").distinct()
     d = d.join(law.withColumn("pvalue", poisson_tail(F.col("depth").cast("double"), "rate")), [by, "depth", "rate"])

@@ -665,13 +665,13 @@ def m15_doublets(spark, d):
     return doublets.doublet_scores(_matrix(spark, d).withColumnRenamed("barcode", "cell"), feature="peak")[0]
 
 
-@query("""WITH g AS (SELECT CAST(floor(0.9::DOUBLE * sum(m)) AS BIGINT) AS gsize FROM (SELECT max(cend) AS m FROM fr WHERE chrom <> 'chrM' GROUP BY chrom)),
-  st AS (SELECT barcode, chrom, p0 - p0 % 20000 + p0 % 40 - 100 + o0 AS a0 FROM (SELECT barcode, chrom, unnest([cstart, cend - 1]) AS p0, unnest([0, 1]) AS o0 FROM fr WHERE chrom <> 'chrM')),
+PEAKS_SQL = """WITH g AS (SELECT CAST(floor(0.9::DOUBLE * sum(m)) AS BIGINT) AS gsize FROM (SELECT max(cend) AS m FROM fr WHERE chrom <> 'chrM' GROUP BY chrom)),
+  st AS (SELECT barcode, chrom, {at} - 100 + o0 AS a0 FROM (SELECT barcode, chrom, unnest([cstart, cend - 1]) AS p0, unnest([0, 1]) AS o0 FROM fr WHERE chrom <> 'chrM')),
   tag AS (SELECT c.cluster AS c, st.chrom, greatest(0, a0) AS s, a0 + 200 AS e FROM st JOIN cl c USING (barcode) WHERE a0 + 200 > greatest(0, a0)),
   ev AS (SELECT c, chrom, p, sum(v) AS v FROM (SELECT c, chrom, s AS p, 1 AS v FROM tag UNION ALL SELECT c, chrom, e, -1 FROM tag) GROUP BY ALL),
   dep AS (SELECT * FROM (SELECT c, chrom, p AS s, lead(p) OVER w AS e, CAST(sum(v) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n FROM ev WINDOW w AS (PARTITION BY c, chrom ORDER BY p)) WHERE n >= 2),
-  near AS (SELECT c, chrom, s // 10000 AS w, count(*) AS near FROM tag GROUP BY ALL), tot AS (SELECT c, count(*) AS total FROM tag GROUP BY c),
-  d AS (SELECT dep.*, round_even(greatest(total * 200 / gsize::DOUBLE, coalesce(near, 0) * 200 / 10000.0::DOUBLE, 1e-9), 6) AS r FROM dep JOIN tot USING (c) LEFT JOIN near ON near.c = dep.c AND near.chrom = dep.chrom AND near.w = dep.s // 10000, g),
+  {near}, tot AS (SELECT c, count(*) AS total FROM tag GROUP BY c),
+  d AS (SELECT dep.*, round_even(greatest(total * 200 / gsize::DOUBLE, {rates}, 1e-9), 6) AS r FROM dep JOIN tot USING (c) {joins}, g),
   law AS (SELECT n, r, CASE WHEN n <= r THEN -log10(greatest(1 - list_sum(list_transform(range(n), lambda j: exp(-r + j * ln(r) - lgamma(j + 1)))), 1e-300))
     ELSE -(-r + n * ln(r) - lgamma(n + 1)) / ln(10) - log10(list_sum(list_transform(range(300), lambda i: exp(i * ln(r) - lgamma(n + i + 1) + lgamma(n + 1))))) END AS p FROM (SELECT DISTINCT n, r FROM d)),
   dp AS (SELECT d.c, d.chrom, d.s, d.e, d.n, law.p FROM d JOIN law USING (n, r)), base AS (SELECT c, p, sum(e - s) AS m FROM dp GROUP BY c, p),
@@ -680,16 +680,37 @@ def m15_doublets(spark, d):
   fl AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY c, chrom ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM sig),
   rg AS (SELECT *, sum(new) OVER (PARTITION BY c, chrom ORDER BY s ROWS UNBOUNDED PRECEDING) AS i FROM fl),
   top AS (SELECT c, chrom, min(s) OVER (PARTITION BY c, chrom, i) AS rs, max(e) OVER (PARTITION BY c, chrom, i) AS re, s, e, n, p, q, row_number() OVER (PARTITION BY c, chrom, i ORDER BY round(p, 9) DESC, s) AS k FROM rg)
-  SELECT c AS cluster, chrom, rs AS s, re AS e, CAST((s + e) // 2 - rs AS BIGINT) AS summit, n::DOUBLE AS signal, round(p, 4) AS pvalue, round(q, 4) AS qvalue FROM top WHERE k = 1""")
-def m17_called_peaks(spark, d):
+  SELECT c AS cluster, chrom, rs AS s, re AS e, CAST((s + e) // 2 - rs AS BIGINT) AS summit, n::DOUBLE AS signal, round(p, 4) AS pvalue, round(q, 4) AS qvalue FROM top WHERE k = 1"""
+
+
+def _peaks_sql(at: str, *widths: int) -> str:
+    """SQL of called peaks at some place for p0, and with local windows of these widths."""
+    near = ", ".join(f"near{w} AS (SELECT c, chrom, s // {w} AS w, count(*) AS near FROM tag GROUP BY ALL)" for w in widths)
+    rates = ", ".join(f"coalesce(near{w}.near, 0) * 200 / {w}.0::DOUBLE" for w in widths)
+    joins = " ".join(f"LEFT JOIN near{w} ON near{w}.c = dep.c AND near{w}.chrom = dep.chrom AND near{w}.w = dep.s // {w}" for w in widths)
+    return PEAKS_SQL.replace("{at}", at).replace("{near}", near).replace("{rates}", rates).replace("{joins}", joins)
+
+
+def _called(spark, d, at, local):
     f = R.without_mitochondrial(V.fragments(spark, d))
     size = P.genome_size(f.groupBy("chrom").agg(F.max("end").alias("length"))).first()[0]
-    at = F.col("start") - F.col("start") % 20_000 + F.col("start") % 40  # all sites, gathered in spots, as the tables' positions are even
     sites = C.routed(_sites(spark, d).drop("sample").withColumn("start", at).withColumn("end", at + 1), V.clusters(spark, d))
-    found = P.call_peaks(sites, size)
+    found = P.call_peaks(sites, size, local=local)
     return found.select("cluster", "chrom", F.col("start").alias("s"), F.col("end").alias("e"), "summit", "signal", F.round("pvalue", 4).alias("pvalue"), F.round("qvalue", 4).alias("qvalue"))
 
 
+@query(_peaks_sql("p0 - p0 % 20000 + p0 % 40", 10_000))
+def m17_called_peaks(spark, d):
+    """All sites, gathered in spots, as the tables' positions are even."""
+    return _called(spark, d, F.col("start") - F.col("start") % 20_000 + F.col("start") % 40, 10_000)
+
+
+@query(_peaks_sql("p0 - p0 % 20000 + p0 % 40", 1000, 5000, 10_000))
+def m17_called_peaks_local_windows(spark, d):
+    """The same sites, with three local windows."""
+    return _called(spark, d, F.col("start") - F.col("start") % 20_000 + F.col("start") % 40, (1000, 5000, 10_000))
+
+
 @query("""WITH s AS (SELECT doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS q FROM documents), p AS (SELECT doc_id, q, unnest(range(length(q))) AS i FROM s)
   SELECT 'chr1' AS chrom, doc_id * 1000000 + i AS "start", doc_id * 1000000 + i + 4 AS "end", 'TATA' AS motif, 7.64::DOUBLE AS score, t.strand FROM p, (VALUES (true), (false)) t(strand) WHERE substr(q, i + 1, 4) = 'TATA'""")
 def m18_j22_motif_sites(spark, d):
