@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,9 +17,14 @@ ROW_GROUP = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset (tests). On a cluster a warehouse on the driver's own disk is an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and re.match(r"/|file:", warehouse):
+        raise ValueError(f"executors don't share {warehouse}: set spark.checkpoint.dir")
+    return f"{warehouse}/scratch"
 
 
 #: The tables that this driver has written to the shared folder and not deleted.
@@ -51,6 +58,16 @@ def discard(spark: SparkSession, paths: Iterable[str]) -> None:
             _made.remove(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that are made inside are deleted at the end: what was made lazily from them has to be used inside."""
+    before = set(made())
+    try:
+        yield
+    finally:
+        discard(spark, [p for p in made() if p not in before])
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if it is known to have few rows, otherwise df as it is."""
     n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows

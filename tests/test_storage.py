@@ -3,6 +3,7 @@
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from peakloom import storage
@@ -32,3 +33,32 @@ def test_tables_are_in_the_shared_folder_until_discarded(spark):
     assert df.count() == 5 and path.startswith(storage.shared_dir(spark)) and os.path.isdir(path)
     storage.discard(spark, [path, "/not/ours"])
     assert not os.path.exists(path) and storage.made() == before
+
+
+def test_scratch_tables_go_at_the_end(spark):
+    before = storage.made()
+    with storage.scratch(spark):
+        df = storage.materialise(spark.range(3))
+        assert df.count() == 3 and len(storage.made()) == len(before) + 1
+    assert storage.made() == before
+
+
+def test_a_driver_s_own_folder_is_an_error_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getConf():
+            return {}
+
+    class Session:
+        sparkContext = Context
+        conf = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        storage.shared_dir(Session)
+    Session.conf = {"spark.sql.warehouse.dir": "hdfs://name/warehouse"}
+    assert storage.shared_dir(Session) == "hdfs://name/warehouse/scratch"
+    Context.master = "local[4]"
+    Session.conf = {"spark.sql.warehouse.dir": "/tmp/warehouse"}
+    assert storage.shared_dir(Session) == "/tmp/warehouse/scratch"
