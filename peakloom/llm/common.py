@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..storage import BROADCAST_ROWS, discard, made, materialise, running, small
+from ..storage import BROADCAST_ROWS, ROW_GROUP, discard, made, materialise, new_path, running, small
 
-__all__ = ["BROADCAST_ROWS", "attach", "claim", "discard", "made", "map_arrow", "materialise", "release", "running", "slices", "small"]
+__all__ = ["BROADCAST_ROWS", "attach", "claim", "discard", "made", "map_arrow", "materialise", "one_by_one", "release", "running", "slices", "small"]
 
 #: Bytes of an Arrow batch on its way to a Python worker, about (a row at least).
 ARROW_BYTES = 4 << 20
@@ -35,6 +35,20 @@ def attach(df: DataFrame, groups: DataFrame, key: str | list[str], size: str, to
     return df.join(hot, key).unionByName(df.join(hot, key, "left_anti").join(groups.filter(F.col(size) <= most), key, "left"))
 
 
+def one_by_one(frames: Iterable[DataFrame]) -> DataFrame:
+    """The rows of frames, each written in a job of its own, so that what one of them broadcasts is let go before the next one is made. At least one frame is needed."""
+    paths: list[str] = []
+    for df in frames:
+        spark, form = df.sparkSession, df.schema
+        paths.append(new_path(spark))
+        df.write.options(**{"parquet.block.size": str(ROW_GROUP)}).parquet(paths[-1])
+        if len(paths) > 1:
+            del df
+            gc.collect()
+            spark._jvm.System.gc()  # broadcasts go when the driver's JVM finds that no plan refers to them
+    return spark.read.schema(form).parquet(*paths)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], form: str | StructType) -> DataFrame:
     """df.mapInArrow(run, form) with batches of about ARROW_BYTES, where the session doesn't name a size: 10,000 whole texts can take most of a worker's memory."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"

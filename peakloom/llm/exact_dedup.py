@@ -8,7 +8,7 @@ pass straight through; only the rest shuffle, by their full SHA-256, so false po
 never a wrong result.
 
 A filter is at most FILTER_BYTES long. More rows than that allows are filtered in slices of the hashes, one after another, each with a filter
-of its own; the hashes are sorted by slice within their files, so a slice reads little else. There is no other path for large inputs.
+of its own, which is broadcast in the slice's own job and let go after it; the hashes are sorted by slice within their files, so a slice reads little else. There is no other path for large inputs.
 
 Defined cases: a null text is an empty text; equal texts are those identical after each run of
 space and \\t..\\r becomes one space; the smallest doc_id stays, null ids after all others; of rows
@@ -18,10 +18,12 @@ through, and result columns replace columns of the same name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, attach, materialise
+from .common import BROADCAST_ROWS, attach, materialise, one_by_one
 
 CELLS_A_ROW = 16
 BLOCK, PAGE = 64, 32768
@@ -54,19 +56,19 @@ def _cells(sha: str, blocks: int) -> tuple[Column, Column, Column]:
     return F.pmod(F.xxhash64(sha), F.lit(blocks)), first, F.pmod(first + 1 + F.expr(f"pmod(xxhash64({sha}, 1), {BLOCK * (BLOCK - 1)}) div {BLOCK}"), F.lit(BLOCK))
 
 
-def _pages(shas: DataFrame, blocks: int, least: int) -> DataFrame:
-    """The filter of the hashes that so many rows have at least, as rows (page, bits) of PAGE cells."""
-    block, first, second = _cells("text_sha256", blocks)
+def filter_pages(shas: DataFrame, blocks: int, least: int, name: str = "text_sha256") -> DataFrame:
+    """The filter of the hashes (in column name) that so many rows have at least, as rows (page, bits) of PAGE cells."""
+    block, first, second = _cells(name, blocks)
     pairs = shas.select((block * BLOCK * BLOCK + first * BLOCK + second).alias("pair"))
     pairs = pairs.groupBy("pair").count().filter(F.col("count") >= least) if least > 1 else pairs
     cells = pairs.select(F.explode(F.expr(f"array(pair div {BLOCK * BLOCK} * {BLOCK} + pair div {BLOCK} % {BLOCK}, pair div {BLOCK * BLOCK} * {BLOCK} + pair % {BLOCK})")).alias("cell"))
     return cells.groupBy(F.expr(f"cell div {PAGE}").alias("page")).agg(F.bitmap_construct_agg(F.col("cell") % PAGE).alias("bits"))
 
 
-def tested(rows: DataFrame, pages: DataFrame, blocks: int) -> DataFrame:
-    """rows with a column __maybe, false only where no row of the filter has the text. pages has at most FILTER_BYTES."""
-    block, first, second = _cells("text_sha256", blocks)
-    rows = rows.withColumns({"__page": F.expr(f"pmod(xxhash64(text_sha256), {blocks}) div {PAGE // BLOCK}"), "__base": F.pmod(block, F.lit(PAGE // BLOCK)) * BLOCK, "__a": first, "__b": second})
+def tested(rows: DataFrame, pages: DataFrame, blocks: int, name: str = "text_sha256") -> DataFrame:
+    """rows with a column __maybe, false only where no row of the filter has the hash (in column name). pages has at most FILTER_BYTES."""
+    block, first, second = _cells(name, blocks)
+    rows = rows.withColumns({"__page": F.expr(f"pmod(xxhash64({name}), {blocks}) div {PAGE // BLOCK}"), "__base": F.pmod(block, F.lit(PAGE // BLOCK)) * BLOCK, "__a": first, "__b": second})
     met = rows.join(F.broadcast(pages.withColumnRenamed("page", "__page")), "__page", "left")
     has = lambda c: F.expr(f"(cast(conv(hex(substring(bits, cast((__base + {c}) div 8 + 1 as int), 1)), 16, 10) as int) & shiftleft(1, cast({c} % 8 as int))) <> 0")
     return met.withColumn("__maybe", F.coalesce(has("__a") & has("__b"), F.lit(False))).drop("__page", "__base", "__a", "__b", "bits")
@@ -78,15 +80,18 @@ def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return materialise(rows.withColumn("__part", F.pmod(F.xxhash64("text_sha256", F.lit(2)), F.lit(PARTS)).cast("int")).sortWithinPartitions("__part"), **NARROW)
 
 
-def slices(rows: DataFrame, total: int) -> list[tuple[DataFrame, DataFrame, int]]:
-    """(rows of the slice, its filter of hashes that are possibly repeated, the filter's blocks)."""
-    n = min(PARTS, max(1, -(-CELLS_A_ROW * total // (FILTER_BYTES * 8))))
-    out = []
+def n_slices(total: int) -> int:
+    """The number of slices that so many rows are filtered in."""
+    return min(PARTS, max(1, -(-CELLS_A_ROW * total // (FILTER_BYTES * 8))))
+
+
+def slices(rows: DataFrame, total: int) -> Iterator[tuple[DataFrame, DataFrame, int]]:
+    """(rows of the slice, its filter of hashes that are possibly repeated, the filter's blocks), each made when it is asked for."""
+    n = n_slices(total)
     for i in range(n):
         mine = rows.filter((F.col("__part") >= i * PARTS // n) & (F.col("__part") < (i + 1) * PARTS // n)) if n > 1 else rows
         blocks = blocks_for(total // n)
-        out.append((mine, materialise(_pages(mine, blocks, 2)), blocks))
-    return out
+        yield mine, materialise(filter_pages(mine, blocks, 2)), blocks
 
 
 def _first() -> Column:
@@ -97,12 +102,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     """(rows that the filter clears, the others, the groups of equal texts among those, number of rows)."""
     rows = hashed(docs, id_col, text_col)
     total = rows.count()
-    straight = maybe = None
-    for mine, pages, blocks in slices(rows, total):
-        found = tested(mine.select("__id", "text_sha256", "__row"), pages, blocks)
-        clear, rest = found.filter("not __maybe").drop("__maybe"), found.filter("__maybe").drop("__maybe")
-        straight, maybe = (clear, rest) if straight is None else (straight.unionByName(clear), maybe.unionByName(rest))
-    maybe = materialise(maybe)
+    found = one_by_one(tested(mine.select("__id", "text_sha256", "__row"), pages, blocks) for mine, pages, blocks in slices(rows, total))
+    straight, maybe = (found.filter(x).drop("__maybe") for x in ("not __maybe", "__maybe"))
     groups = maybe.groupBy("text_sha256").agg(F.min(_first()).alias("__keep"), F.count("*").alias("group_size"))
     return straight, maybe, materialise(groups), total
 
@@ -126,7 +127,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = attach(maybe, groups.filter("group_size > 1"), "text_sha256", "group_size", total).filter(F.col("__id").eqNullSafe(F.col("__keep.id")) & F.col("group_size").isNotNull())
     several = materialise(firsts.groupBy("text_sha256").agg(F.min("__keep.id").alias("__least"), F.max("group_size").alias("__n"), F.count("*").alias("__same")))
     blocks = blocks_for(n := several.count())
-    pages = materialise(_pages(several, blocks, 1))
+    pages = materialise(filter_pages(several, blocks, 1))
     whole = tested(docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__doc"), text_sha256(F.col(f"`{text_col}`")).alias("text_sha256")), pages, blocks)
     rest = whole.filter("__maybe")
     met = rest.join(F.broadcast(several), "text_sha256", "left") if n <= BROADCAST_ROWS else attach(rest, several, "text_sha256", "__n", total)
