@@ -9,8 +9,8 @@ r modulo the number of blocks. A source gets the slots that fill its target, the
 partly, and those that the points leave short of it come at the end of the schedule. What a document has
 taken of it is summed over the slots that take its blocks.
 
-Running sums and ranks are made in two levels (by hash prefix, chunk of slots or range of sources), so no
-task holds all rows of a hot source, or all sources. A mix never takes a document over MAX_EPOCHS times.
+Running sums and ranks are made in two levels (by ranges of rows, chunks or sources, of as many as partitions, then
+over their sums), so no task holds all rows of a hot source, the sums of its parts, or all sources. A mix never takes a document over MAX_EPOCHS times.
 
 Defined cases: a null text has no words; documents without words are in no block and have taken 0;
 repeated rows are separate documents; if no document has words all targets are 0; an empty table gives
@@ -19,8 +19,6 @@ an empty result; columns other than doc_id, source and text are not read, and mi
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +32,6 @@ CHUNK = 1 << 14
 RUN_SLOTS = 1 << 14
 #: The golden ratio's fractional part times 2**31, made odd: i * GOLDEN modulo 2**31 runs through all points.
 POINTS, GOLDEN = 1 << 31, 1327217885
-#: A source of all rows would have at most a sixteenth of this many in a part of its order.
-PART_ROWS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -79,15 +75,10 @@ def lay_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), order_key(F.col(id_col)).alias("key"), F.col(row).alias("row") if row else F.monotonically_increasing_id().alias("row"))
     rows = materialise(rows)
     sources = materialise(targets(rows))
-    digits = 1 + math.ceil(math.log(max(rows.count() / PART_ROWS, 1), 16))
     number = small(sources.select("source", "src"))
-    rows = rows.join(number, rows["source"].eqNullSafe(number["source"])).select("doc_id", "row", "src", "size", "key", F.substring("key", 1, digits).alias("part"))
-    sums = rows.groupBy("src", "part").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("src", "part", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("src", "part").orderBy("key", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("at", F.sum("size").over(within) - F.col("size")).join(starts, ["src", "part"])
-    return materialise(placed.select("doc_id", "row", "src", "size", (F.col("start") + F.col("at")).alias("offset"))), sources
+    rows = rows.join(number, rows["source"].eqNullSafe(number["source"])).select("doc_id", "row", "src", "size", "key")
+    placed = running(rows, ["src"], ["key", "doc_id", "size", "row"], "offset", "size")
+    return materialise(placed.select("doc_id", "row", "src", "size", "offset")), sources
 
 
 def slots(sources: DataFrame) -> DataFrame:
@@ -101,8 +92,7 @@ def slots(sources: DataFrame) -> DataFrame:
     points = spark.range(total).select(F.col("id").alias("slot"), F.expr(f"((id % {POINTS}L) * {GOLDEN}L) % {POINTS}L").alias("u"))
     drawn = points.withColumn("bin", F.expr(f"shiftright(u, {bits})")).join(ranges, "bin").filter("u >= lo and u < hi").select("slot", "src", F.expr(f"slot div {CHUNK}").alias("chunk"))
     per = drawn.groupBy("src", "chunk").count()
-    before = Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per.select("src", "chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    starts = running(per, ["src"], ["chunk"], "first", "count").select("src", "chunk", "first")
     rank = F.col("first") + F.row_number().over(Window.partitionBy("src", "chunk").orderBy("slot")) - 1
     info = small(sources.select("src", "source_size", "words", "blocks", F.col("slots").alias("quota")), count)
     ranked = drawn.join(starts, ["src", "chunk"]).select("slot", "src", rank.alias("rank")).join(info, "src").filter("rank < quota")
