@@ -13,7 +13,8 @@ a thread by turn, so that every reply follows what it answers. Bodies have neith
 lines that introduce them.
 
 Heavy lines and conversations don't meet in one task: originals are reduced to one row per hash
-before the join (see common.attach), and ranks are made in two levels, by ranges of messages.
+before the join (see common.attach), and ranks are made in two levels, by ranges of messages. Words of messages
+meet the seeds of passages by broadcast or, where these are too many, through Bloom filters, so no row for each word shuffles.
 
 Result, one row per message: conv_id, turn, role, position (from 0), thread (the first turn), parent_turn, n_quoted (lines),
 n_linked (found in the conversation), source_conv and source_turn (of the first line found elsewhere), body.
@@ -27,7 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach, materialise, running, small
+from .. import storage
+from .common import attach, materialise, one_by_one, running, small
+from .exact_dedup import blocks_for, filter_pages, n_slices, tested
 
 MARKER = r"^(\s*>)+"
 INTRODUCTION = r"(?i)^\s*(on|le|am|el|il|op)\b.*\b(wrote|écrit|schrieb|escribió|ha scritto|schreef)\b.*:\s*$"
@@ -84,13 +87,28 @@ def written(rows: DataFrame) -> DataFrame:
     return split.select("__row", "conv_id", "turn", "run", F.split("text", " ").alias("words"))
 
 
+def whole_places(places: DataFrame, wanted: DataFrame) -> DataFrame:
+    """places (seed and others) joined with wanted (a row a seed). More seeds than can be broadcast are put in Bloom filters, slice by slice of the seeds' hashes, so that
+    only places that a filter doesn't clear shuffle, not a row for each word of the messages."""
+    n = wanted.count()
+    if n <= storage.BROADCAST_ROWS:
+        return places.join(F.broadcast(wanted), "seed")
+    parts = n_slices(n)
+    part = F.pmod(F.xxhash64("seed", F.lit(2)), F.lit(parts))
+    blocks = blocks_for(n // parts)
+    mine = ((places.filter(part == i), materialise(filter_pages(wanted.filter(part == i), blocks, 1, "seed"))) for i in range(parts))
+    kept = one_by_one(tested(some, pages, blocks, "seed").filter("__maybe").drop("__maybe") for some, pages in mine)
+    per = materialise(kept.groupBy("seed").agg(F.count("*").alias("__n")).join(wanted, "seed"))
+    return attach(kept, per, "seed", "__n", kept.count()).filter("__n is not null").drop("__n")
+
+
 def sought(rows: DataFrame, quoted: DataFrame) -> DataFrame:
     """Where messages wrote a sequence of words that a passage seeks: conv_id, turn, hash. Places are found by their first words, and of those places the whole sequences are compared."""
     wanted = materialise(quoted.groupBy("seed", "short").agg(F.collect_set(F.size("words")).alias("sizes")))
     runs = written(rows)
     places = F.sequence(F.lit(1), F.size("words"))
     whole = runs.select("__row", "run", F.posexplode(F.transform(places, lambda i: seed_of(F.slice("words", i, WORDS), F.lit(False)))).alias("at", "seed"))
-    found = whole.join(small(wanted.filter("not short")), "seed")
+    found = whole_places(whole, wanted.filter("not short"))
     talks = materialise(quoted.filter("short").select(conv_name().alias("name")).distinct())
     own = runs.join(small(talks), conv_name() == F.col("name"), "left_semi")
     short = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(WORDS - 1)), lambda n: F.transform(places, lambda i: F.struct((i - 1).alias("at"), seed_of(F.slice("words", i, n), F.lit(True)).alias("seed")))))

@@ -68,7 +68,7 @@ def test_exact_dedup_in_slices_shuffles_only_possible_repeats(spark, monkeypatch
     want = sorted(map(repr, exact_dedup.decide(docs).collect()))
     monkeypatch.setattr(exact_dedup, "FILTER_BYTES", 8192)
     rows = exact_dedup.hashed(docs, "doc_id", "text")
-    parts = exact_dedup.slices(rows, rows.count())
+    parts = list(exact_dedup.slices(rows, rows.count()))
     assert len(parts) == 3 and sum(mine.count() for mine, _, _ in parts) == 10_002
     monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 1)
     monkeypatch.setattr(storage, "BROADCAST_ROWS", 1)
@@ -80,6 +80,22 @@ def test_exact_dedup_in_slices_shuffles_only_possible_repeats(spark, monkeypatch
     assert straight.count("Join ") == straight.count("Hint=(strategy=broadcast)") == 1 and "Aggregate" not in straight.split("bits#")[0]
 
 
+def test_exact_dedup_has_one_filter_at_a_time(spark, monkeypatch):
+    """Each slice is a job of its own with one broadcast, and the cleared rows are read from what the slices wrote."""
+    plans, written = [], exact_dedup.one_by_one
+
+    def seen(frames):
+        return written(plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df for df in frames)
+
+    monkeypatch.setattr(exact_dedup, "one_by_one", seen)
+    monkeypatch.setattr(exact_dedup, "FILTER_BYTES", 8192)
+    docs = spark.createDataFrame([(i, f"t{i % 9000}") for i in range(20_000)], "doc_id long, text string")
+    straight, maybe, _, total = exact_dedup._groups(docs, "doc_id", "text")
+    assert len(plans) == 5 and all(p.count("Join ") == p.count("Hint=(strategy=broadcast)") == 1 for p in plans)
+    assert "Join" not in straight._jdf.queryExecution().optimizedPlan().toString()
+    assert straight.count() + maybe.count() == total == 20_000
+
+
 def grams(t):
     w = (t or "").lower().split()
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
@@ -797,3 +813,43 @@ def test_slices_cover_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["a" * 9, None, "", "b" * 30, "c", "d"])], ["i", "t"])
     for most in (1, 10, 1000):
         assert [x for s in slices([batch], most=most) for x in s.column(0).to_pylist()] == list(range(6))
+
+
+def test_quoted_seeds_go_through_filters(spark, monkeypatch):
+    """Beyond the broadcast bound words of messages meet the seeds' filters, several of them here, before any shuffle; links stay the same."""
+    from peakloom import storage
+
+    say = lambda i: " ".join(f"w{(i * 37 + j * 11) % 4001}" for j in range(30))
+    rows = [(c, 0, "user", say(c)) for c in range(300)] + [(c, 1, "user", "> " + " ".join(say(c).split()[4:14]) + "\nyes") for c in range(300)]
+    rows += [(1000 + c, 0, "user", "> " + " ".join(say(c).split()[9:19]) + "\nindeed") for c in range(50)]
+    rows += [(c, 2, "user", "as they all say every single day") for c in range(100)] + [(5, 3, "user", "> they all say every single\nno")]
+    messages = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").cache()
+    want = sorted(map(repr, quotes.link(messages).collect()))
+    assert sum("n_linked=1" in x for x in want) == 301 and sum("source_conv=" in x and "source_conv=None" not in x for x in want) == 50
+    plans, written = [], quotes.one_by_one
+
+    def seen(frames):
+        return written(plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df for df in frames)
+
+    monkeypatch.setattr(quotes, "one_by_one", seen)
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(exact_dedup, "FILTER_BYTES", 256)
+    monkeypatch.setattr(exact_dedup, "PAGE", 512)
+    assert sorted(map(repr, quotes.link(messages).collect())) == want
+    assert len(plans) > 1 and all(p.count("Join ") == p.count("Hint=(strategy=broadcast)") == 1 for p in plans)
+
+
+def test_mixing_has_no_window_of_a_whole_source(spark):
+    import re
+
+    docs = spark.createDataFrame([(i, "w " * (i % 7 + 1) * 300, "a" if i % 10 else f"s{i % 3}") for i in range(400)], "doc_id long, text string, source string")
+    documents, sources = mixing.lay_out(docs)
+    plan = mixing.slots(sources)._jdf.queryExecution().analyzed().toString()
+    keys = [re.findall(r"(\w+)#\d+", w.split("ASC")[0])[:-1] for w in re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", plan)]
+    assert keys and all(len(k) > 1 or k == ["__part"] for k in keys)
+    want = {}
+    for r in sorted(docs.select("doc_id", "source", mixing.n_words(mixing.F.col("text")).alias("n"), mixing.order_key(mixing.F.col("doc_id")).alias("k")).collect(), key=lambda r: r.k):
+        at = want.setdefault(r.source, {"end": 0})
+        at[r.doc_id], at["end"] = at["end"], at["end"] + r.n
+    want = {i: at for x in want.values() for i, at in x.items() if i != "end"}
+    assert {r.doc_id: r.offset for r in documents.collect()} == want
