@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
 from ..storage import materialise
+from .features import region_depths, region_sums
 from .intervals import coverage, interval_join, merged, suppressed
 
 
@@ -112,6 +113,20 @@ def relative_accessibility(matrix: DataFrame, clusters: DataFrame, feature: str
     return share.select("cluster", feature, (F.col("open") / F.col("cells") * 1000.0 / F.col("depth") * config.accessibility_scale).alias("ras"))
 
 
+def accessibility_of_sites(sites: DataFrame, regions: DataFrame, clusters: DataFrame, feature: str = "feature", cell: str = "barcode", config: Config = DEFAULT) -> DataFrame:
+    """relative_accessibility of the counts of sites in regions, without a matrix: open cells are counted by region and cluster where they meet."""
+    named = clusters.groupBy(cell, "cluster").agg(F.count("*").alias("__m"))
+    of = sites.select(cell, "chrom", "start", "end", "strand").join(named, cell)
+    met = materialise(region_sums(of, regions, feature, cell, ("cluster", "__m")).select(feature, "cluster", "__m", "cells"))
+    open_ = met.groupBy("cluster", feature).agg(F.sum("cells").alias("open"))
+    n = clusters.groupBy("cluster").agg(F.count("*").alias("cells"))
+    reached = region_depths(of, regions, cell).filter("depth > 0").join(named, cell).groupBy("cluster").agg(F.count("*").alias("reached"))
+    links = met.groupBy("cluster").agg(F.sum(F.col("cells") * F.col("__m")).alias("links"))
+    depth = links.join(reached, "cluster").select("cluster", (F.col("links") / F.col("reached")).alias("depth"))
+    share = open_.join(n, "cluster").join(depth, "cluster")
+    return share.select("cluster", feature, (F.col("open") / F.col("cells") * 1000.0 / F.col("depth") * config.accessibility_scale).alias("ras"))
+
+
 def specificity(ras: DataFrame, feature: str = "feature") -> DataFrame:
     """(cluster, feature, ss): 1 - the square root of the Jensen-Shannon divergence between a feature's law over
     clusters and the law that has only this cluster (1: only there)."""

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -97,6 +98,38 @@ def test_sites_count_in_all_regions_and_cells_without_any(spark):
     assert sorted(map(tuple, features.depths(m, sites).collect())) == [("a", 2), ("b", 0)]
 
 
+def test_counts_and_sums_without_a_matrix(spark):
+    """Short, long, empty, equal and repeated regions, features of several regions and of none, cells in several clusters: counts as by brute force, and all that is summed from them. Counts don't shuffle."""
+    r = random.Random(4)
+    sites = [(r.choice("abcde"), r.choice(["x", "y"]), s := r.randrange(70_000), s + r.randrange(1, 4), r.choice([None, True, False])) for _ in range(1500)]
+    sites += sites[:80] + [("f", "z", 5, 6, None)]
+    regions = [(r.choice(["x", "y"]), s := r.randrange(70_000), s + n, i) for i, n in enumerate([0, 1, 2, 400, 512, 513, 4001, 16_384, 16_385, 40_000] * 4)]
+    regions += [(*x[:3], 100 + x[3]) for x in regions] + regions[3:20:3] + [(*regions[7][:3], None), (*regions[13][:3], None)]
+    cl = [("a", "C1"), ("a", "C2"), ("b", "C1"), ("c", "C2"), ("f", "C1"), ("g", "C1"), ("b", "C1")]
+    df = spark.createDataFrame(sites, "barcode string, chrom string, start long, end long, strand boolean")
+    q = spark.createDataFrame(regions, "chrom string, start long, end long, peak long")
+    k = spark.createDataFrame(cl, "barcode string, cluster string")
+    want = Counter()
+    for b, chrom, s, e, plus in sites:
+        at = e - 1 if plus is False else s
+        for g, x, y, f in regions:
+            if g == chrom and x <= at < y:
+                want[b, f] += 1
+    m = features.counts(df, q, "peak")
+    assert Counter({(x.barcode, x.peak): x["count"] for x in m.collect()}) == want and m.count() == len(want)
+    key = lambda row: tuple((x is None, x) for x in row)
+    same = lambda a, b: sorted(map(tuple, a.select(b.columns).collect()), key=key) == sorted(map(tuple, b.collect()), key=key)
+    assert same(features.region_sums(df, q, "peak"), features.feature_sums(m, "peak")) and same(features.region_depths(df, q), features.depths(m, df))
+    known = q.filter("peak is not null")
+    mk = features.counts(df, known, "peak")
+    assert same(features.filtered_counts(df, known, "peak"), features.filtered_by_cells(mk, "peak")) and same(features.reindexed_counts(df, known, "peak"), features.reindexed(mk, "peak"))
+    got, by = peaks.accessibility_of_sites(df, known, k, "peak"), peaks.relative_accessibility(mk, k, "peak")
+    distinct = {(x.cluster, x.peak): x.ras for x in by.collect()}
+    assert {(x.cluster, x.peak): x.ras for x in got.collect()} == pytest.approx(distinct)
+    plan = features.counts(df, known.dropDuplicates(["peak"]).filter("end - start < 10000"), "peak")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "Exchange" not in plan.split("Join")[0]
+
+
 def test_clusters(spark):
     sites = spark.createDataFrame([("a", 1)], "barcode string, start long")
     twice = spark.createDataFrame([("a", "C1"), ("a", "C2")], "barcode string, cluster string")
