@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from peakloom.sources import bam, tables
 from peakloom.streaming import fragments as stream
@@ -171,3 +172,13 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("cells").collect())) == [("A", 1, 0.5), ("B", 1, 0.0)]
+
+
+def test_files_of_an_index_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    """No file of a cut index, and no task that sorts one, has more rows for there being more of them."""
+    monkeypatch.setattr(tables, "FILE_ROWS", 100)
+    sites = spark.range(2000).selectExpr("CAST(id % 500 AS STRING) AS barcode", "'chr1' AS chrom", "id AS start", "id + 1 AS end", "true AS strand")
+    tables.write_cut_index(sites, str(tmp_path / "index"), 4)
+    per = spark.read.parquet(str(tmp_path / "index")).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per) == 2000 and max(r["count"] for r in per) < 300
+    assert sorted(r.position for r in tables.look_up(spark, str(tmp_path / "index"), "7").collect()) == [7, 507, 1007, 1507]
