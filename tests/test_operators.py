@@ -130,6 +130,21 @@ def test_counts_and_sums_without_a_matrix(spark):
     assert "Exchange" in plan and "Exchange" not in plan.split("Join")[0]
 
 
+def test_incidence_and_best_sites(spark):
+    """Overlapping, adjacent, empty and equal sites and peaks as by brute force; a motif's sites are in no window."""
+    r = random.Random(8)
+    sites = [(r.choice(["a", "b", None]), s := r.randrange(9000), s + r.choice([0, 1, 30, 5000 if i % 50 == 0 else 9]), r.choice(["M1", "M2", 'x",y'])) for i in range(300)]
+    spots = [(r.choice(["a", "b", "c"]), s := r.randrange(9000), s + r.choice([0, 1, 40]), i) for i in range(200)]
+    spots += [(*x[:3], 900 + x[3]) for x in spots[:50]] + [(*spots[3][:3], 4)]
+    s = spark.createDataFrame(sites, "chrom string, start long, end long, motif string")
+    p = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    got = [tuple(x) for x in motifs.incidence(p, s).select("motif", "peak").collect()]
+    assert len(set(got)) == len(got) and set(got) == {(m, k) for c, x, y, m in sites for g, a, b, k in spots if c == g and x < b and a < y}
+    scored = s.withColumn("score", F.col("start") % 7)
+    best = motifs.best_sites(scored)
+    assert sorted(x.score for x in best.collect()) == [6] * scored.filter("score = 6").count() and "Window" not in best._jdf.queryExecution().toString()
+
+
 def test_clusters(spark):
     sites = spark.createDataFrame([("a", 1)], "barcode string, start long")
     twice = spark.createDataFrame([("a", "C1"), ("a", "C2")], "barcode string, cluster string")
