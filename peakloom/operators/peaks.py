@@ -120,7 +120,7 @@ def accessibility_of_sites(sites: DataFrame, regions: DataFrame, clusters: DataF
     met = materialise(region_sums(of, regions, feature, cell, ("cluster", "__m")).select(feature, "cluster", "__m", "cells"))
     open_ = met.groupBy("cluster", feature).agg(F.sum("cells").alias("open"))
     n = clusters.groupBy("cluster").agg(F.count("*").alias("cells"))
-    reached = region_depths(of, regions, cell).filter("depth > 0").join(named, cell).groupBy("cluster").agg(F.count("*").alias("reached"))
+    reached = region_depths(sites, regions, cell).filter("depth > 0").join(named, cell).groupBy("cluster").agg(F.count("*").alias("reached"))
     links = met.groupBy("cluster").agg(F.sum(F.col("cells") * F.col("__m")).alias("links"))
     depth = links.join(reached, "cluster").select("cluster", (F.col("links") / F.col("reached")).alias("depth"))
     share = open_.join(n, "cluster").join(depth, "cluster")

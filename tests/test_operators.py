@@ -130,6 +130,24 @@ def test_counts_and_sums_without_a_matrix(spark):
     assert "Exchange" in plan and "Exchange" not in plan.split("Join")[0]
 
 
+def test_sums_of_regions_shuffle_sites_once_and_make_no_lists(spark):
+    """Many cells with the same sites: as by counts, by cluster too; sites reach a region as one row for each base and distance, and depths shuffle no more than their cells."""
+    r = random.Random(5)
+    sites = [(f"c{i % 60}", r.choice(["a", "b"]), s := r.randrange(0, 700, 70), s + 1, i % 2) for i in range(900)]
+    spots = [(r.choice(["a", "b", "c"]), s := r.randrange(700), s + r.choice([1, 40, 300, 20_000]), i) for i in range(60)]
+    df = spark.createDataFrame(sites, "barcode string, chrom string, start long, end long, k long").withColumn("strand", F.lit(True))
+    q = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    m = features.counts(df, q, "peak", also=("k",))
+    sums = features.region_sums(df, q, "peak", by=("k",))
+    assert {tuple(x) for x in sums.collect()} == {tuple(x) for x in m.groupBy("peak", "k").agg(F.sum("count"), F.count("*")).collect()}
+    totals = features.region_totals(df, q.unionByName(q.limit(5)), "peak", ("k",))
+    assert {tuple(x) for x in totals.collect()} == {tuple(x) for x in features.counts(df, q.unionByName(q.limit(5)), "peak", "k").select("k", "peak", "count").collect()}
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan(sums) and "collect_list" not in plan(totals)
+    depths = features.region_depths(df, q)
+    assert plan(depths).count("Exchange hashpartitioning") == 1 and {tuple(x) for x in depths.collect()} == {tuple(x) for x in features.depths(features.counts(df, q, "peak"), df).collect()}
+
+
 def test_incidence_and_best_sites(spark):
     """Overlapping, adjacent, empty and equal sites and peaks as by brute force; a motif's sites are in no window."""
     r = random.Random(8)
