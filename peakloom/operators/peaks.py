@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
 from ..storage import materialise
-from .features import region_depths, region_sums
+from .features import region_depths, shared_sums
 from .intervals import coverage, interval_join, merged, suppressed
 
 
@@ -113,18 +113,31 @@ def relative_accessibility(matrix: DataFrame, clusters: DataFrame, feature: str
     return share.select("cluster", feature, (F.col("open") / F.col("cells") * 1000.0 / F.col("depth") * config.accessibility_scale).alias("ras"))
 
 
-def accessibility_of_sites(sites: DataFrame, regions: DataFrame, clusters: DataFrame, feature: str = "feature", cell: str = "barcode", config: Config = DEFAULT) -> DataFrame:
-    """relative_accessibility of the counts of sites in regions, without a matrix: open cells are counted by region and cluster where they meet."""
+def _shared_accessibility(sites: DataFrame, regions: DataFrame, clusters: DataFrame, feature: str, cell: str, config: Config) -> tuple[DataFrame, DataFrame]:
+    """(cluster, __of, ras) and (__of, feature), as shared_sums has them: open cells are counted by different region and cluster where they meet."""
     named = clusters.groupBy(cell, "cluster").agg(F.count("*").alias("__m"))
     of = sites.select(cell, "chrom", "start", "end", "strand").join(named, cell)
-    met = materialise(region_sums(of, regions, feature, cell, ("cluster", "__m")).select(feature, "cluster", "__m", "cells"))
-    open_ = met.groupBy("cluster", feature).agg(F.sum("cells").alias("open"))
+    sums, members = shared_sums(of, regions, feature, cell, ("cluster", "__m"))
+    met = materialise(sums.select("__of", "cluster", "__m", "cells"))
+    open_ = met.groupBy("cluster", "__of").agg(F.sum("cells").alias("open"))
     n = clusters.groupBy("cluster").agg(F.count("*").alias("cells"))
     reached = region_depths(sites, regions, cell).filter("depth > 0").join(named, cell).groupBy("cluster").agg(F.count("*").alias("reached"))
-    links = met.groupBy("cluster").agg(F.sum(F.col("cells") * F.col("__m")).alias("links"))
+    links = met.join(members.groupBy("__of").agg(F.count("*").alias("__size")), "__of").groupBy("cluster").agg(F.sum(F.col("cells") * F.col("__m") * F.col("__size")).alias("links"))
     depth = links.join(reached, "cluster").select("cluster", (F.col("links") / F.col("reached")).alias("depth"))
     share = open_.join(n, "cluster").join(depth, "cluster")
-    return share.select("cluster", feature, (F.col("open") / F.col("cells") * 1000.0 / F.col("depth") * config.accessibility_scale).alias("ras"))
+    return share.select("cluster", "__of", (F.col("open") / F.col("cells") * 1000.0 / F.col("depth") * config.accessibility_scale).alias("ras")), members
+
+
+def accessibility_of_sites(sites: DataFrame, regions: DataFrame, clusters: DataFrame, feature: str = "feature", cell: str = "barcode", config: Config = DEFAULT) -> DataFrame:
+    """relative_accessibility of the counts of sites in regions, without a matrix."""
+    ras, members = _shared_accessibility(sites, regions, clusters, feature, cell, config)
+    return ras.join(members, "__of").select("cluster", feature, "ras")
+
+
+def specificity_of_sites(sites: DataFrame, regions: DataFrame, clusters: DataFrame, feature: str = "feature", cell: str = "barcode", config: Config = DEFAULT) -> DataFrame:
+    """specificity of accessibility_of_sites, made once for equal regions."""
+    ras, members = _shared_accessibility(sites, regions, clusters, feature, cell, config)
+    return specificity(ras, "__of").join(members, "__of").select("cluster", feature, "ss")
 
 
 def specificity(ras: DataFrame, feature: str = "feature") -> DataFrame:

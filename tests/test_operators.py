@@ -148,6 +148,21 @@ def test_sums_of_regions_shuffle_sites_once_and_make_no_lists(spark):
     assert plan(depths).count("Exchange hashpartitioning") == 1 and {tuple(x) for x in depths.collect()} == {tuple(x) for x in features.depths(features.counts(df, q, "peak"), df).collect()}
 
 
+def test_specificity_is_made_once_for_equal_regions(spark):
+    """Equal regions, a feature of two regions and one without a name, a cell in two clusters: as by the matrix; the window over clusters has a row for each different region, not for each feature."""
+    sites = [(f"c{i % 9}", "a", i * 7 % 400, True) for i in range(60)]
+    df = spark.createDataFrame(sites, "barcode string, chrom string, start long, strand boolean").withColumn("end", F.col("start") + 1)
+    spots = [("a", 100 * (i % 3), 100 * (i % 3) + 90, None if i == 4 else i) for i in range(12)] + [("a", 350, 390, 5)]
+    q = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    k = spark.createDataFrame([(f"c{i % 8}", f"C{i % 3}") for i in range(10)], "barcode string, cluster string")
+    ras = peaks.relative_accessibility(features.counts(df, q, "peak"), k, "peak")
+    pairs = lambda x, of: {(r.cluster, r.peak): r[of] for r in x.collect()}
+    got = peaks.specificity_of_sites(df, q, k, "peak")
+    assert pairs(peaks.accessibility_of_sites(df, q, k, "peak"), "ras") == pytest.approx(pairs(ras, "ras"))
+    assert pairs(got, "ss") == pytest.approx(pairs(peaks.specificity(ras, "peak"), "ss"), abs=1e-6) and len(pairs(got, "ss")) == got.count()
+    assert "windowspecdefinition(__of" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_incidence_and_best_sites(spark):
     """Overlapping, adjacent, empty and equal sites and peaks as by brute force; a motif's sites are in no window."""
     r = random.Random(8)
