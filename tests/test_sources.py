@@ -182,3 +182,21 @@ def test_files_of_an_index_grow_with_its_rows(spark, tmp_path, monkeypatch):
     per = spark.read.parquet(str(tmp_path / "index")).groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in per) == 2000 and max(r["count"] for r in per) < 300
     assert sorted(r.position for r in tables.look_up(spark, str(tmp_path / "index"), "7").collect()) == [7, 507, 1007, 1507]
+
+
+def test_fastq_lines_stay_in_arrow(spark, tmp_path):
+    """No Python object for a line: records are cut from Arrow's columns, ids read by Spark; in small blocks, with a short last record, blank ids and ids after blanks."""
+    text = "".join(f"@ r{i} x\nACGT{'A' * (i % 7)}\n+\n{i}\n" for i in range(400)) + "@\nA\n+\nI\n@last\nAC\n"
+    path = tmp_path / "x.fq"
+    path.write_text(text)
+    want = sorted([(i, f"r{i}", "ACGT" + "A" * (i % 7), str(i)) for i in range(400)] + [(400, "", "A", "I")])
+    for size in ("128m", "700b", "40b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            df = tables.read_fastq(spark, str(path))
+            assert sorted((r.n, r.id, r.seq, r.quality) for r in df.collect()) == want
+            assert "MapInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
