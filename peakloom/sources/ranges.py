@@ -49,3 +49,13 @@ def sites_near(spark: SparkSession, path: str, queries: DataFrame) -> DataFrame:
 def read_ranges(spark: SparkSession, path: str, queries: DataFrame, width: int = 4096) -> DataFrame:
     """interval_join(queries, sites), read from the groups that it needs."""
     return interval_join(queries, sites_near(spark, path, queries).drop("group"), width=width)
+
+
+#: Sites for each task that counts what they meet.
+COUNTED = 1 << 18
+
+
+def counted(spark: SparkSession, path: str, queries: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n): the pairs of read_ranges, counted. They are dealt to tasks by the number of sites before they are counted, so that no task's table of counts grows with the sites."""
+    tasks = max(spark.sparkContext.defaultParallelism, -(-spark.read.parquet(f"{path}/sites").count() // COUNTED))
+    return read_ranges(spark, path, queries).select(*by).repartition(tasks, *by).groupBy(*by).agg(F.count("*").alias("n"))

@@ -150,3 +150,18 @@ def test_runs_go_on_over_ranges(spark):
     grouped = runs.runs(spark.createDataFrame(list(enumerate(ordered)), "at long, name string"), "name", "at").groupBy("run", "name").count().collect()
     assert {x.name: x["count"] for x in grouped} == {k: ordered.count(k) for k in set(ordered)} and len(grouped) == len(set(ordered))
     assert runs.runs(df.filter("false"), "name", "at").collect() == []
+
+
+def test_pairs_in_ranges_are_dealt_before_they_are_counted(spark, tmp_path, monkeypatch):
+    """A task counts the pairs of few sites, and no task holds a table of counts before the shuffle."""
+    monkeypatch.setattr(ranges, "COUNTED", 10)
+    rows = spark.createDataFrame([("x", 5 * i, 5 * i + 12, f"b{i % 3}") for i in range(200)], "chrom string, start long, end long, barcode string")
+    path = str(tmp_path / "r")
+    ranges.write_ranges(rows, path, group=16)
+    q = spark.createDataFrame([("x", 0, 300, 1), ("x", 299, 301, 2), ("y", 0, 9, 3)], "chrom string, start long, end long, feature long")
+    got = ranges.counted(spark, path, q, ["feature", "barcode"])
+    want = {(f, f"b{b}"): n for f, s, e in ((1, 0, 300), (2, 299, 301)) for b in range(3) if (n := sum(5 * i < e and s < 5 * i + 12 and i % 3 == b for i in range(200)))}
+    assert {(r.feature, r.barcode): r.n for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("REPARTITION_BY_NUM")[0]
+    assert "hashpartitioning(feature" in above and above.count("Exchange") == 1 and ", 20)" in above
