@@ -148,6 +148,24 @@ def test_sums_of_regions_shuffle_sites_once_and_make_no_lists(spark):
     assert plan(depths).count("Exchange hashpartitioning") == 1 and {tuple(x) for x in depths.collect()} == {tuple(x) for x in features.depths(features.counts(df, q, "peak"), df).collect()}
 
 
+def test_counts_shuffle_sites_once_and_meet_equal_regions_as_one(spark, monkeypatch):
+    """Sites shuffle to their cells alone if regions are few; the same counts with regions in a shuffle, in short lists of equals and in short stretches; a hot cell, cells and features without a name."""
+    r = random.Random(6)
+    sites = [(r.choice(["a", "a", "b", None]), r.choice(["x", "y"]), s := r.randrange(3000), s + 1) for _ in range(900)] + [("a", "x", 512, 513)] * 40
+    spots = [(r.choice(["x", "y"]), s := 64 * r.randrange(40), s + n, i) for i, n in enumerate([1, 30, 64, 65, 700] * 6)]
+    spots += [(*x[:3], 100 * k + x[3]) for x in spots for k in (1, 2, 3)] + [("x", 500, 600, None)]
+    df = spark.createDataFrame(sites, "barcode string, chrom string, start long, end long").withColumn("strand", F.lit(True))
+    q = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    want = Counter((b, f) for b, c, at, _ in sites for g, s, e, f in spots if c == g and s <= at < e)
+    plan = features.counts(df, q, "peak")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    for few, stretch, equals in ((1_000_000, 1024, 256), (1_000_000, 1, 2), (0, 2, 3)):
+        for name, value in (("BROADCAST_ROWS", few), ("STRETCH", stretch), ("EQUALS", equals)):
+            monkeypatch.setattr(features, name, value)
+        m = features.counts(df, q, "peak")
+        assert Counter({(x.barcode, x.peak): x["count"] for x in m.collect()}) == want and m.count() == len(want)
+
+
 def test_specificity_is_made_once_for_equal_regions(spark):
     """Equal regions, a feature of two regions and one without a name, a cell in two clusters: as by the matrix; the window over clusters has a row for each different region, not for each feature."""
     sites = [(f"c{i % 9}", "a", i * 7 % 400, True) for i in range(60)]
