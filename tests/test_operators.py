@@ -166,6 +166,21 @@ def test_counts_shuffle_sites_once_and_meet_equal_regions_as_one(spark, monkeypa
         assert Counter({(x.barcode, x.peak): x["count"] for x in m.collect()}) == want and m.count() == len(want)
 
 
+def test_totals_count_sites_by_stretch(spark, monkeypatch):
+    """Where few stretches of regions hold sites, these are counted by stretch, whatever lies beyond the sites; otherwise by base. Adjacent, equal, nested, empty and far regions."""
+    r = random.Random(7)
+    sites = [(r.choice("abc"), r.choice(["x", "y"]), s := r.randrange(500, 3000), s + 1, r.choice(["C1", None])) for _ in range(700)]
+    spots = [("x", 500, 600, 1), ("x", 600, 700, 2), ("x", 500, 600, 3), ("x", 550, 2600, 4), ("y", 0, 501, 5), ("y", 900, 900, 6), ("y", 2990, 9000, 2), ("x", 50_000, 90_000, 7), ("z", 0, 9000, 8)]
+    df = spark.createDataFrame(sites, "barcode string, chrom string, start long, end long, cluster string").withColumn("strand", F.lit(True))
+    q = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    want = Counter((k, f) for _, c, at, _, k in sites for g, s, e, f in spots if c == g and s <= at < e)
+    for few in (1000, 0):
+        monkeypatch.setattr(features, "BROADCAST_ROWS", few)
+        got = features.region_totals(df, q, "peak", ("cluster",))
+        assert Counter({(x.cluster, x.peak): x["count"] for x in got.collect()}) == want
+        assert (features._held_by_stretches(df, q.select("chrom", "start", "end").distinct(), ("cluster",)) is None) == (not few)
+
+
 def test_specificity_is_made_once_for_equal_regions(spark):
     """Equal regions, a feature of two regions and one without a name, a cell in two clusters: as by the matrix; the window over clusters has a row for each different region, not for each feature."""
     sites = [(f"c{i % 9}", "a", i * 7 % 400, True) for i in range(60)]
