@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType
 from ..config import DEFAULT, Config
 from ..functions import scalars as S
 from ..storage import materialise
-from .features import region_depths, shared_sums
+from .features import reached, shared_sums
 from .intervals import coverage, interval_join, merged, suppressed
 
 
@@ -121,9 +121,9 @@ def _shared_accessibility(sites: DataFrame, regions: DataFrame, clusters: DataFr
     met = materialise(sums.select("__of", "cluster", "__m", "cells"))
     open_ = met.groupBy("cluster", "__of").agg(F.sum("cells").alias("open"))
     n = clusters.groupBy("cluster").agg(F.count("*").alias("cells"))
-    reached = region_depths(sites, regions, cell).filter("depth > 0").join(named, cell).groupBy("cluster").agg(F.count("*").alias("reached"))
+    some = reached(sites, regions, cell).join(named, cell).groupBy("cluster").agg(F.count("*").alias("reached"))
     links = met.join(members.groupBy("__of").agg(F.count("*").alias("__size")), "__of").groupBy("cluster").agg(F.sum(F.col("cells") * F.col("__m") * F.col("__size")).alias("links"))
-    depth = links.join(reached, "cluster").select("cluster", (F.col("links") / F.col("reached")).alias("depth"))
+    depth = links.join(some, "cluster").select("cluster", (F.col("links") / F.col("reached")).alias("depth"))
     share = open_.join(n, "cluster").join(depth, "cluster")
     return share.select("cluster", "__of", (F.col("open") / F.col("cells") * 1000.0 / F.col("depth") * config.accessibility_scale).alias("ras")), members
 
