@@ -82,3 +82,27 @@ def test_pairs_are_listed_once_and_do_not_shuffle(spark):
     assert Counter({(x.barcode, x.peak): x["count"] for x in m.collect()}) == want and m.count() == len(want)
     plan = m._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_open_rows_equal_the_matrix(spark, monkeypatch):
+    """A cell's open features as by the counts, with equal regions, features of several regions and of none; in one row for a cell and chunk, and by the counts where regions are many."""
+    from peakloom.plans import embed
+
+    r = random.Random(4)
+    df = spark.createDataFrame(_sites(r, 500), SITE).withColumn("strand", F.lit(True))
+    spots = [(r.choice(["x", "y"]), s := r.choice([0, 65_200, 130_900]) + r.randrange(500), s + r.choice([0, 30, 400, 90_000]), i % 70) for i in range(90)] + [("x", 0, 500, None), ("x", 0, 500, 3)]
+    q = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    known = q.filter("peak is not null")
+    want = {(x.cell, *x.on) for x in embed.packed(features.counts(df, known, "peak"), "barcode", "peak").collect()}
+    got = features.open_rows(df, q, "peak")
+    assert {(x.cell, *x.on) for x in got.collect()} == want and "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(features, "BROADCAST_ROWS", 5)
+    assert {(x.cell, *x.on) for x in features.open_rows(df, q, "peak").collect()} == want
+
+
+def test_a_matrix_of_samples_makes_no_sums(spark, monkeypatch):
+    from peakloom.plans import queries as Q
+
+    for name in ("region_depths", "region_sums"):
+        monkeypatch.setattr(features, name, lambda *a, **k: pytest.fail("not asked for"))
+    assert Q.QUERIES["c11_feature_matrix"](spark, "/root/testdata/sf0.001").columns == ["cell", "feature", "count"]
