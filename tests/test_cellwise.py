@@ -106,3 +106,26 @@ def test_a_matrix_of_samples_makes_no_sums(spark, monkeypatch):
     for name in ("region_depths", "region_sums"):
         monkeypatch.setattr(features, name, lambda *a, **k: pytest.fail("not asked for"))
     assert Q.QUERIES["c11_feature_matrix"](spark, "/root/testdata/sf0.001").columns == ["cell", "feature", "count"]
+
+
+def test_deviations_of_equal_peaks_as_by_the_matrix(spark, monkeypatch):
+    """Peaks of the same region are one column, a peak of two regions is in two; a motif at a time; no counts meet sets in a join."""
+    from peakloom.operators.intervals import running
+    from peakloom.plans import motifs
+
+    r = random.Random(5)
+    df = spark.createDataFrame([x for x in _sites(r, 600) if x[0]], SITE).withColumn("strand", F.lit(True))
+    spots = [("x", 100 * (i % 5), 100 * (i % 5) + 90 + 400 * (i % 2), i) for i in range(20)] + [("y", 0, 300, 3)]
+    q = spark.createDataFrame(spots, "chrom string, start long, end long, peak long")
+    m = features.counts(df, q, "peak").withColumnRenamed("barcode", "cell")
+    p = m.groupBy("peak").agg(F.sum("count").alias("reads")).withColumn("gc", F.lit(0.5))
+    pairs, back = p.select(F.concat(F.lit("M"), F.col("peak") % 3).alias("motif"), "peak"), motifs.backgrounds(p, 6)
+    spans = q.join(p.select("peak"), "peak", "left_semi")
+    columns = running(spans.select("chrom", "start", "end").distinct(), [], ["chrom", "start", "end"], "column")
+    monkeypatch.setattr(motifs, "AT_ONCE", 1)
+    rows = features.counted_rows(df, columns)
+    got = motifs.deviations_of(rows, spans.join(columns, ["chrom", "start", "end"]).select("peak", "column"), motifs.expectation(m), pairs, back)
+    pick = lambda x: {(a.motif, a.cell): (a.deviation, a.z) for a in x.collect()}
+    want, have = pick(motifs.deviations(m, pairs, back)), pick(got)
+    assert have.keys() == want.keys() and len(want) >= 6 and all(have[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    assert max(len(x.on) for x in rows.collect()) <= columns.count()
